@@ -1,0 +1 @@
+"""Empty: validation works on tables and run slices, and none of its operators reads a stream."""
