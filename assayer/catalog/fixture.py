@@ -19,6 +19,7 @@ from assayer.model import (
     UNIQUE,
     Control,
 )
+from assayer.sources.local import local_frame
 from assayer.sources.tables import Tables, parquet_tables
 
 CHECKS = [
@@ -63,11 +64,13 @@ JOBS = [
 
 def control(spark: SparkSession) -> Control:
     return Control(
-        spark.createDataFrame(CHECKS, CHECKS_SCHEMA),
-        spark.createDataFrame(
+        local_frame(spark, CHECKS, CHECKS_SCHEMA),
+        local_frame(
+            spark,
             [(c, e, "main", t, col, p, f) for c, e, t, col, p, f in CONFIG], CONFIG_SCHEMA
         ),
-        spark.createDataFrame(
+        local_frame(
+            spark,
             [
                 (i, n, "main", t, full, run_col, run_val, None, status, None, None, None)
                 for i, n, t, full, run_col, run_val, status in JOBS

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayer.model import CheckError
+from assayer.sources.local import local_frame
 
 
 def quoted(name: str) -> str:
@@ -52,7 +53,7 @@ def typed_texts(spark: SparkSession, values: Iterable, dtype: T.DataType) -> lis
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
         raise CheckError(f"values cannot be compared with type {dtype.simpleString()}")
     if not isinstance(dtype, T.StringType):
-        given = spark.createDataFrame([(t,) for t in texts], "v string")
+        given = local_frame(spark, [(t,) for t in texts], "v string")
         bad = given.filter(F.col("v").try_cast(dtype).isNull()).limit(5).collect()
         if bad:
             raise CheckError(

@@ -15,17 +15,17 @@ def parse_params(text: Column) -> Column:
 
 def metric_check(metric_name: Column) -> Column:
     """`<check>.result.<key>` -> `<check>`."""
-    return F.get(F.split(metric_name, "[.]"), F.lit(0))
+    return F.substring_index(metric_name, ".", 1)
 
 
 def metric_key(metric_name: Column) -> Column:
     """`<check>.result.<key>`, `<check>.success`, `statistics.<key>` -> `<key>`."""
-    return F.try_element_at(F.split(metric_name, "[.]"), F.lit(-1))
+    return F.substring_index(metric_name, ".", -1)
 
 
 def metric_column(kwargs_id: Column) -> Column:
     """`column=<name>` -> `<name>`; NULL where there is no `=`, as suite statistics have."""
-    return F.get(F.split(kwargs_id, "[=]"), F.lit(1))
+    return F.get(F.split(kwargs_id, "="), F.lit(1))
 
 
 def metric_value(value: Column) -> Column:

@@ -34,10 +34,3 @@ def unlike(col: Column, pattern: str, ignore_case: bool = False) -> Column:
 
 def lacks_substring(col: Column, substring: str) -> Column:
     return ~F.contains(col.cast("string"), F.lit(substring))
-
-
-def within_tolerance(total: Column, failure: Column, mostly: Column) -> Column:
-    """The share of good rows reaches `mostly`; nothing to check is a success."""
-    return F.when(total == 0, F.lit(True)).otherwise(
-        (total - failure).cast("double") / total >= mostly
-    )

@@ -54,10 +54,14 @@ def repeated_rows(
     for key in keys:
         rows = rows.filter(column(key).isNotNull())
     names = rows.columns
-    counts = rows.groupBy(*[column(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
-        F.count(F.lit(1)).alias("__n"),
-        *([F.min(_tie(tie)).alias("__least")] if mode == "extra" else []),
-    ).filter("__n > 1")
+    least = []
+    if mode == "extra":
+        least = [F.min(_tie(tie)).alias("__least"), F.count(_tie(tie)).alias("__ties")]
+    counts = (
+        rows.groupBy(*[column(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+        .agg(F.count(F.lit(1)).alias("__n"), *least)
+        .filter("__n > 1")
+    )
     rows, counts = _salted(rows, counts, keys, tie, rows_per_salt)
 
     same = (F.col("__salt") == F.col("__key_salt"))
@@ -66,7 +70,9 @@ def repeated_rows(
     if mode == "all":
         joined = rows.join(counts, same, "left_semi")
     else:
-        joined = rows.join(counts, same & (_tie(tie) > F.col("__least")))
+        # A NULL tie comes before all others, so where a key has one it is that row which stays.
+        later = F.col("__has_null") | (_tie(tie) > F.col("__least"))
+        joined = rows.join(counts, same & _tie(tie).isNotNull() & later)
     return joined.select(*map(column, names))
 
 
@@ -82,11 +88,14 @@ def _salted(rows, counts, keys, tie, rows_per_salt):
     again gives the same one.
     """
     key_names = [f"__k{i}" for i in range(len(keys))]
-    # `__least` is never NULL here; asking keeps this branch's aggregate equal to the join's, so that
-    # both read one shuffle.
-    filled = F.col("__least").isNotNull() if "__least" in counts.columns else F.lit(True)
+    # A hot key has more than one tie, so asking for it changes nothing; it keeps this branch's
+    # aggregate equal to the join's, and both read one shuffle.
+    tied = F.lit(True)
+    if "__ties" in counts.columns:
+        tied = F.col("__least").isNotNull() & (F.col("__ties") > 0)
+        counts = counts.withColumn("__has_null", F.col("__n") > F.col("__ties"))
     hot = (
-        counts.filter((F.col("__n") > rows_per_salt) & filled)
+        counts.filter((F.col("__n") > rows_per_salt) & tied)
         .select(
             F.xxhash64(*key_names).alias("__hash"),
             F.ceil(F.col("__n") / rows_per_salt).cast("bigint").alias("__splits"),
@@ -115,7 +124,7 @@ def _salted(rows, counts, keys, tie, rows_per_salt):
                 F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("__splits"), F.lit(1)) - 1)
             ),
         )
-        .drop("__hash", "__splits", "__n")
+        .drop("__hash", "__splits", "__n", "__ties")
     )
     return salted_rows, salted_counts
 

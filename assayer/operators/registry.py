@@ -30,6 +30,7 @@ from assayer.model import (
     Check,
     CheckError,
 )
+from assayer.sources.local import local_frame
 
 # A value set up to this size becomes an IN list; a larger one is joined.
 INLINE_VALUES = 1_000
@@ -53,7 +54,7 @@ class Violation:
 
     check: Check
     broken: Column
-    present: Column | None  # rows that count for the tolerance; None: all rows
+    judges_nulls: bool = False  # whether rows with NULL count for the tolerance
     lookup: Lookup | None = None
 
 
@@ -77,7 +78,7 @@ def register_row_check(
     def compiled(batch: DataFrame, check: Check) -> Violation:
         column_type(batch, check.column)
         col = column(check.column)
-        return Violation(check, violation(col, check.params), col.isNotNull())
+        return Violation(check, violation(col, check.params))
 
     _row_checks[name] = compiled
 
@@ -160,9 +161,7 @@ def _row(name: str, **fixed: Any):
             check = Check(
                 check.config_id, check.name, check.column, {**fixed, **check.params}, check.parameters
             )
-            col = column(check.column)
-            present = None if name == NOT_NULL else col.isNotNull()
-            return Violation(check, build(col, check), present)
+            return Violation(check, build(column(check.column), check), name == NOT_NULL)
 
         _row_checks[name] = compiled
         return build
@@ -201,11 +200,9 @@ def _outside_set(batch: DataFrame, check: Check) -> Violation:
     col = column(check.column)
     if len(texts) <= INLINE_VALUES:
         literals = [typed_literal(t, dtype) for t in texts]
-        return Violation(check, P.outside_set(col, literals), col.isNotNull())
+        return Violation(check, P.outside_set(col, literals))
     lookup = _lookup(batch, check, texts, dtype)
-    return Violation(
-        check, col.isNotNull() & F.col(lookup.marker).isNull(), col.isNotNull(), lookup
-    )
+    return Violation(check, col.isNotNull() & F.col(lookup.marker).isNull(), lookup=lookup)
 
 
 _row_checks[IN_SET] = _outside_set
@@ -214,7 +211,7 @@ _row_checks[IN_SET] = _outside_set
 def _lookup(batch: DataFrame, check: Check, texts: list[str], dtype: T.DataType) -> Lookup:
     key, marker = f"__set_{check.config_id}", f"__in_set_{check.config_id}"
     values = (
-        batch.sparkSession.createDataFrame([(t,) for t in texts], "v string")
+        local_frame(batch.sparkSession, [(t,) for t in texts], "v string")
         .select(F.col("v").cast(dtype).alias(key))
         .distinct()  # two texts may be one typed value
         .withColumn(marker, F.lit(True))

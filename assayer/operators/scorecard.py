@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.functions.columns import column, column_type, quoted, typed_literal
-from assayer.functions.predicates import within_tolerance
-from assayer.model import Check, CheckError
+from assayer.model import SCORE_COLUMNS, Check, CheckError
 from assayer.operators import registry
+from assayer.sources.local import local_frame
 
 # `details` of a distinct-values check lists the values up to this many, the least first;
 # `distinct_values` gives all of them as rows.
@@ -25,6 +25,9 @@ LISTED_VALUES = 1_000
 
 UNKNOWN = "unknown check"
 
+# The share of good rows reaches `mostly`; nothing to check is a success.
+WITHIN_TOLERANCE = "present = 0 OR CAST(present - failure AS double) / present >= mostly"
+
 SCORE_SCHEMA = (
     "config_id bigint, expectation_status boolean, scanned bigint, success bigint, "
     "failure bigint, details string"
@@ -92,95 +95,74 @@ def _conditioned(batch: DataFrame, check: Check) -> DataFrame:
     return batch.filter(check.row_condition) if check.row_condition else batch
 
 
-def _shaped(df: DataFrame, by: str | None) -> DataFrame:
-    first = F.col("slice") if by else F.lit(None).cast("string").alias("slice")
-    return df.select(
-        first, "config_id", "expectation_status", "scanned", "success", "failure", "details"
-    )
-
-
-def _counted(check: Check, status: Column, scanned: Column, failure: Column, details: Column):
-    return [
-        F.lit(check.config_id).cast("bigint").alias("config_id"),
-        status.alias("expectation_status"),
-        scanned.alias("scanned"),
-        (scanned - failure).alias("success"),
-        failure.alias("failure"),
-        details.cast("string").alias("details"),
-    ]
+def _shaped(df: DataFrame, by: str | None, **values: str) -> DataFrame:
+    """The columns of a score; `values` are SQL for those that `df` does not have as they are."""
+    first = "slice" if by else "CAST(NULL AS string) AS slice"
+    return df.selectExpr(first, *[f"{values.get(c, c)} AS {c}" for c in SCORE_COLUMNS])
 
 
 def _row_scores(batch: DataFrame, checks: Sequence[Check], by: str | None) -> DataFrame:
     violations = [registry.violation(batch, c) for c in checks]
-    counts = []
+    counts, rows = [], []
     for i, v in enumerate(violations):
-        scope = F.expr(v.check.row_condition) if v.check.row_condition else F.lit(True)
-        present = scope if v.present is None else scope & v.present
+        scope, name = v.check.row_condition, quoted(v.check.column)
+        if scope:
+            broken = F.expr(scope) & v.broken
+            scanned = f"count_if({scope})"
+            present = scanned if v.judges_nulls else f"count_if(({scope}) AND {name} IS NOT NULL)"
+        else:
+            broken = v.broken
+            scanned = "count(1)"
+            present = scanned if v.judges_nulls else f"count({name})"
         counts += [
-            F.count_if(scope).alias(f"scanned_{i}"),
-            F.count_if(present).alias(f"present_{i}"),
-            F.count_if(scope & v.broken).alias(f"failure_{i}"),
+            F.expr(f"{scanned} AS scanned_{i}"),
+            F.expr(f"{present} AS present_{i}"),
+            F.count_if(broken).alias(f"failure_{i}"),
         ]
+        rows.append(
+            f"named_struct('config_id', {v.check.config_id}L, 'scanned', scanned_{i}, "
+            f"'present', present_{i}, 'failure', failure_{i}, 'mostly', {v.check.mostly}D)"
+        )
     wide = (
         registry.with_lookups(batch, violations)
         .groupBy(*_slice(batch, by))
         .agg(*counts)
     )
-    rows = [
-        F.struct(
-            F.lit(v.check.config_id).cast("bigint").alias("config_id"),
-            F.col(f"scanned_{i}").alias("scanned"),
-            F.col(f"present_{i}").alias("present"),
-            F.col(f"failure_{i}").alias("failure"),
-            F.lit(v.check.mostly).alias("mostly"),
-        )
-        for i, v in enumerate(violations)
-    ]
-    long = wide.select(*(["slice"] if by else []), F.inline(F.array(*rows)))
+    long = wide.selectExpr(*(["slice"] if by else []), f"inline(array({', '.join(rows)}))")
     return _shaped(
-        long.withColumns(
-            {
-                "expectation_status": within_tolerance(
-                    F.col("present"), F.col("failure"), F.col("mostly")
-                ),
-                "success": F.col("scanned") - F.col("failure"),
-                "details": F.lit(None).cast("string"),
-            }
-        ),
+        long,
         by,
+        expectation_status=f"({WITHIN_TOLERANCE})",
+        success="scanned - failure",
+        details="CAST(NULL AS string)",
     )
 
 
 def _unique_scores(batch: DataFrame, check: Check, by: str | None) -> DataFrame:
     column_type(batch, check.column)
-    slices = ["slice"] if by else []
     totals = (
         _conditioned(batch, check)
         .groupBy(*_slice(batch, by), column(check.column).alias("key"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(*slices)
+        .groupBy(*(["slice"] if by else []))
         .agg(
-            _sum("n").alias("scanned"),
-            _sum("n", F.col("key").isNotNull()).alias("present"),
-            _sum("n", F.col("key").isNotNull() & (F.col("n") > 1)).alias("failure"),
+            F.expr("coalesce(sum(n), 0L) AS scanned"),
+            F.expr("coalesce(sum(n) FILTER (WHERE key IS NOT NULL), 0L) AS present"),
+            F.expr("coalesce(sum(n) FILTER (WHERE key IS NOT NULL AND n > 1), 0L) AS failure"),
         )
     )
-    status = within_tolerance(F.col("present"), F.col("failure"), F.lit(check.mostly))
     return _shaped(
-        totals.select(
-            *slices,
-            *_counted(check, status, F.col("scanned"), F.col("failure"), F.lit(None)),
-        ),
+        totals.withColumn("mostly", F.lit(check.mostly)),
         by,
+        config_id=f"{check.config_id}L",
+        expectation_status=f"({WITHIN_TOLERANCE})",
+        success="scanned - failure",
+        details="CAST(NULL AS string)",
     )
 
 
-def _sum(name: str, where: Column | None = None) -> Column:
-    value = F.col(name) if where is None else F.when(where, F.col(name))
-    return F.coalesce(F.sum(value), F.lit(0).cast("bigint"))
-
-
 def _distinct_scores(batch: DataFrame, check: Check, by: str | None) -> DataFrame:
+    column_type(batch, check.column)
     slices = ["slice"] if by else []
     values = distinct_values(_conditioned(batch, check), check.column, by)
     on_values = Check(check.config_id, check.name, "value", check.params, check.text)
@@ -199,7 +181,7 @@ def _distinct_scores(batch: DataFrame, check: Check, by: str | None) -> DataFram
     else:
         listed = values.orderBy("value").limit(LISTED_VALUES)
     listed = listed.groupBy(*slices).agg(
-        F.to_json(F.array_sort(F.collect_list("value"))).alias("details")
+        F.expr("to_json(array_sort(collect_list(value))) AS details")
     )
     # Totals and list come together as two rows per slice rather than by a join.
     both = (
@@ -208,13 +190,11 @@ def _distinct_scores(batch: DataFrame, check: Check, by: str | None) -> DataFram
         .agg(*[F.max(c).alias(c) for c in ("scanned", "failure", "details")])
     )
     return _shaped(
-        both.select(
-            *slices,
-            *_counted(
-                check, F.col("failure") == 0, F.col("scanned"), F.col("failure"), F.col("details")
-            ),
-        ),
+        both,
         by,
+        config_id=f"{check.config_id}L",
+        expectation_status="failure = 0",
+        success="scanned - failure",
     )
 
 
@@ -225,29 +205,29 @@ def _group_scores(batch: DataFrame, check: Check, by: str | None) -> DataFrame:
     for name in columns:
         column_type(batch, name)
     value = registry.expected_value(check)
-    slices = ["slice"] if by else []
     largest = (
         _conditioned(batch, check)
         .groupBy(*_slice(batch, by), *[column(c).alias(f"g{i}") for i, c in enumerate(columns)])
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(*slices)
-        .agg(F.max(F.when(F.col("n") > 1, F.col("n"))).alias("largest"))
-        .withColumn("largest", F.coalesce("largest", F.lit(0).cast("bigint")))
+        .groupBy(*(["slice"] if by else []))
+        .agg(F.expr("coalesce(max(n) FILTER (WHERE n > 1), 0L) AS observed"))
     )
-    observed = F.col("largest")
-    return _shaped(largest.select(*slices, *_observed(check, observed, observed == value)), by)
+    return _observed(largest.withColumn("met", F.col("observed") == value), check, by)
 
 
-def _observed(check: Check, observed: Column, success: Column) -> list[Column]:
-    none = F.lit(None).cast("bigint")
-    return [
-        F.lit(check.config_id).cast("bigint").alias("config_id"),
-        F.coalesce(success, F.lit(False)).alias("expectation_status"),
-        none.alias("scanned"),
-        none.alias("success"),
-        none.alias("failure"),
-        observed.cast("string").alias("details"),
-    ]
+def _observed(df: DataFrame, check: Check, by: str | None) -> DataFrame:
+    """Scores of a check that only observes a value: `observed`, and `met` for its success."""
+    none = "CAST(NULL AS bigint)"
+    return _shaped(
+        df,
+        by,
+        config_id=f"{check.config_id}L",
+        expectation_status="coalesce(met, false)",
+        scanned=none,
+        success=none,
+        failure=none,
+        details="CAST(observed AS string)",
+    )
 
 
 def _query_scores(
@@ -270,24 +250,18 @@ def _query_score(batch: DataFrame, check: Check, query, slice_value: Column) ->
     first = F.col(quoted(result.columns[0]))
     cell = result.select(first.alias("observed")).limit(1)
     # A global aggregate gives its one row also where the query gives none.
-    seen = cell.agg(F.first("observed").alias("observed"))
-    return seen.select(
-        slice_value.alias("slice"),
-        *_observed(check, F.col("observed"), query.success(F.col("observed"), check.params)),
+    seen = cell.agg(F.first("observed").alias("observed")).withColumns(
+        {"met": query.success(F.col("observed"), check.params), "slice": slice_value}
     )
+    return _observed(seen, check, "slice")
 
 
 def _unknown_scores(batch: DataFrame, checks: Sequence[Check], by: str | None) -> DataFrame:
     """A row without status for each unknown name; per slice where there are slices."""
+    scores = [empty_score(c) for c in checks]
+    local = local_frame(batch.sparkSession, scores, SCORE_SCHEMA)
     if not by:
-        rows = [empty_score(c) for c in checks]
-        return _shaped(batch.sparkSession.createDataFrame(rows, SCORE_SCHEMA), None)
-    rows = [score_struct(empty_score(c)) for c in checks]
-    slices = batch.select(*_slice(batch, by)).distinct()
-    return _shaped(slices.select("slice", F.inline(F.array(*rows))), by)
-
-
-def score_struct(score: tuple) -> Column:
-    """A score as a struct literal with SCORE_SCHEMA's names and types."""
-    fields = [f.strip().split(" ") for f in SCORE_SCHEMA.split(",")]
-    return F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(score, fields)])
+        return _shaped(local, None)
+    slices = batch.select(*_slice(batch, by), F.array(*[F.lit(c.config_id) for c in checks]).alias("ids"))
+    named = slices.distinct().select("slice", F.explode("ids").cast("bigint").alias("config_id"))
+    return _shaped(named.join(local, "config_id"), by)

@@ -8,7 +8,7 @@ one costs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -18,23 +18,34 @@ from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayer.functions.columns import column, column_type, quoted, typed_literal
+from assayer.functions.metrics import passed_message
 from assayer.model import Check, CheckError, Control
 from assayer.operators import registry
 from assayer.operators.failed import CONFIG, failed_schema, tag_names, tagged_rows
-from assayer.operators.scorecard import SCORE_SCHEMA, empty_score, score_struct, scorecard
+from assayer.operators.scorecard import SCORE_SCHEMA, empty_score, scorecard
 from assayer.plans import control as C
 from assayer.plans import details as D
 from assayer.sources import sinks
-from assayer.sources.tables import Tables, is_slice_value
+from assayer.sources.local import local_frame
+from assayer.sources.tables import Tables
 
 # Up to this many jobs of a unit are read by the driver, and their slices become an IN filter that
 # prunes files and partitions; more stay a DataFrame, and the slices are picked by a semi join.
 LOCAL_JOBS = 1_000
 CONCURRENT_UNITS = 4
 
+INVALID = "invalid check: "
+
 UNIT = ["schema_name", "table_name", "full_table", "run_column"]
+SCORED = ["expectation_status", "scanned", "success", "failure", "details"]
+UNIT_JOBS_SCHEMA = "unit int, job_id bigint, slice string"
+UNIT_CHECKS_SCHEMA = (
+    "unit int, schema_name string, table_name string, expectation_name string, "
+    f"column_name string, {SCORE_SCHEMA}"
+)
 OUTCOME_SCHEMA = "job_id bigint, run_id string, job_status string, status_msg string"
 DETAILS_SCHEMA = (
     "run_id string, job_id bigint, expectation_name string, schema_name string, "
@@ -50,16 +61,15 @@ METRICS_SCHEMA = (
 class Unit:
     """The jobs of one table that share their checks, ready to score."""
 
-    run_id: str
+    number: int
     schema: str
     table: str
     by: str | None
     batch: DataFrame
-    jobs: DataFrame  # job_id, and `slice` of the run column's type where there is `by`
+    jobs: DataFrame  # UNIT_JOBS_SCHEMA; `slice` is empty text without `by`
     checks: list[Check]
     invalid: dict[int, str]  # config id -> why the check cannot run
-    slices: list[str] | None
-    unique_mode: str
+    scores: DataFrame | None  # of the usable checks
 
     @property
     def name(self) -> str:
@@ -69,93 +79,93 @@ class Unit:
     def usable(self) -> list[Check]:
         return [c for c in self.checks if c.config_id not in self.invalid]
 
-    def _slice_texts(self) -> list[str] | None:
-        """Query checks take one query per slice, so only they need the values of many slices."""
-        many = self.by is not None and self.slices is None
-        if many and any(registry.kind(c) == "query" for c in self.usable()):
-            texts = self.jobs.select(F.col("slice").cast("string")).distinct()
-            return [r[0] for r in texts.toLocalIterator()]
-        return self.slices
-
-    def details(self) -> DataFrame:
-        """One row per job and check; a slice without rows has the scores of an empty batch."""
-        planned = self.jobs.select("*", F.inline(F.array(*map(self._planned, self.checks))))
-        keys = ["config_id", *(["slice"] if self.by else [])]
-        scored = ["expectation_status", "scanned", "success", "failure", "details"]
-        if self.usable():
-            scores = scorecard(self.batch, self.usable(), self.by, self._slice_texts())
-            scores = scores.select(*keys, F.struct(*scored).alias("score"))
-            planned = planned.join(scores, keys, "left")
-        else:
-            planned = planned.withColumn("score", F.col("empty"))
-        score = F.when(F.col("score").isNull(), F.col("empty")).otherwise(F.col("score"))
-        return planned.withColumn("score", score).select(
-            F.lit(self.run_id).alias("run_id"),
-            "job_id",
-            "expectation_name",
-            F.lit(self.schema).alias("schema_name"),
-            F.lit(self.table).alias("table_name"),
-            "column_name",
-            "config_id",
-            *[F.col("score").getField(c).alias(c) for c in scored],
-        )
-
-    def _planned(self, check: Check) -> Column:
-        if check.config_id in self.invalid:
-            reason = f"invalid check: {self.invalid[check.config_id]}"
-            score = (check.config_id, None, None, None, None, reason)
-        else:
-            score = empty_score(check)
-        return F.struct(
-            F.lit(check.config_id).cast("bigint").alias("config_id"),
-            F.lit(check.name).alias("expectation_name"),
-            F.lit(check.column).cast("string").alias("column_name"),
-            score_struct(score).dropFields("config_id").alias("empty"),
-        )
-
-    def failed(self, details: DataFrame | None = None) -> DataFrame:
-        """Rows that broke a failed check. With the unit's `details` at hand only the checks that
-        did fail are looked at."""
-        checks = self.usable()
-        if details is not None:
-            failing = details.filter(~F.col("expectation_status")).select("config_id").distinct()
-            failing = {r["config_id"] for r in failing.collect()}  # at most one per check
-            checks = [c for c in checks if c.config_id in failing]
-        names = tag_names(self.batch.columns)
+    def planned(self) -> list[tuple]:
+        """UNIT_CHECKS_SCHEMA rows: the checks, scored as for a batch without rows."""
+        rows = []
+        for c in self.checks:
+            if c.config_id in self.invalid:
+                score = (c.config_id, None, None, None, None, INVALID + self.invalid[c.config_id])
+            else:
+                score = empty_score(c)
+            rows.append((self.number, self.schema, self.table, c.name, c.column, *score))
+        return rows
+
+    def failed(self, run_id: str, unique_mode: str, failing: set[int] | None = None) -> DataFrame:
+        """Rows that broke a failed check; `failing` are the checks known to have failed."""
+        checks = [c for c in self.usable() if failing is None or c.config_id in failing]
         if not any(registry.kind(c) in ("row", "distinct", "unique") for c in checks):
-            empty = failed_schema(self.batch.schema)
-            return self.batch.sparkSession.createDataFrame([], empty)
-        rows = tagged_rows(self.batch, checks, self.by, self.unique_mode)
+            return self.batch.sparkSession.createDataFrame([], failed_schema(self.batch.schema))
+        rows = tagged_rows(self.batch, checks, self.by, unique_mode)
         if any(c.mostly < 1 for c in checks):
-            rows = self._of_failed_checks(rows, checks)
-        return rows.drop(CONFIG).withColumn(names[2], F.lit(self.run_id))
+            rows = self._of_failed_checks(rows)
+        run_tag = tag_names(self.batch.columns)[2]
+        return rows.drop(CONFIG).withColumn(run_tag, F.lit(run_id))
 
-    def _of_failed_checks(self, rows: DataFrame, checks: list[Check]) -> DataFrame:
+    def _of_failed_checks(self, rows: DataFrame) -> DataFrame:
         """Only with a tolerance may a check succeed in spite of violations."""
-        scores = scorecard(self.batch, checks, self.by, self._slice_texts()).filter(
-            ~F.col("expectation_status")
+        failing = self.scores.filter(~F.col("expectation_status")).select(
+            F.col("config_id").alias("__failing"), F.col("slice").alias("__slice")
         )
-        failing = scores.select(F.col("config_id").alias("__failing"), "slice")
         on = F.col(CONFIG) == F.col("__failing")
         if self.by:
-            failing = failing.withColumnRenamed("slice", "__slice")
-            on = on & (column(self.by) == F.col("__slice"))
-        else:
-            failing = failing.drop("slice")
+            on = on & (column(self.by).cast("string") == F.col("__slice"))
         return rows.join(failing, on, "left_semi")
 
-    def outcomes(self, details: DataFrame) -> DataFrame:
-        """How each job ended: `Failed` where some check could not be run at all."""
-        message = F.col("status_msg")
-        if self.invalid:
-            left_out = ", ".join(map(str, sorted(self.invalid)))
-            message = F.concat(message, F.lit(f"; invalid checks: {left_out}"))
-        return D.suite_statistics(details).select(
-            "job_id",
-            "run_id",
-            F.lit("Failed" if self.invalid else "Success").alias("job_status"),
-            message.alias("status_msg"),
+
+def _details(spark: SparkSession, units: Sequence[Unit], run_id: str) -> DataFrame:
+    """One row per job and check of the units; what has no score has that of an empty batch."""
+    checks = local_frame(spark, [r for u in units for r in u.planned()], UNIT_CHECKS_SCHEMA)
+    jobs = _union([u.jobs for u in units], spark, UNIT_JOBS_SCHEMA)
+    empty = F.struct(*SCORED).alias("empty")
+    planned = jobs.join(checks.select("*", empty).drop(*SCORED), "unit")
+    scores = [
+        u.scores.select(
+            F.lit(u.number).alias("unit"),
+            F.coalesce("slice", F.lit("")).alias("slice"),
+            "config_id",
+            F.struct(*SCORED).alias("score"),
         )
+        for u in units
+        if u.scores is not None
+    ]
+    if scores:
+        keys = ["unit", "slice", "config_id"]
+        planned = planned.join(reduce(DataFrame.unionByName, scores), keys, "left")
+    else:
+        planned = planned.withColumn("score", F.col("empty"))
+    score = F.when(F.col("score").isNull(), F.col("empty")).otherwise(F.col("score"))
+    return planned.withColumn("score", score).select(
+        F.lit(run_id).alias("run_id"),
+        "job_id",
+        "expectation_name",
+        "schema_name",
+        "table_name",
+        "column_name",
+        "config_id",
+        *[F.col("score").getField(c).alias(c) for c in SCORED],
+    )
+
+
+def job_outcomes(details: DataFrame) -> DataFrame:
+    """How each job ended: `Failed` where some check could not be run at all."""
+    is_invalid = F.col("expectation_status").isNull() & F.startswith("details", F.lit(INVALID))
+    counted = details.groupBy("job_id", "run_id").agg(
+        F.count("expectation_status").alias("evaluated"),
+        F.count_if("expectation_status").alias("successful"),
+        F.array_sort(F.collect_list(F.when(is_invalid, F.col("config_id")))).alias("invalid"),
+    )
+    message = passed_message(F.col("successful"), F.col("evaluated"))
+    invalid = F.concat(
+        F.lit("; invalid checks: "), F.array_join(F.col("invalid").cast("array<string>"), ", ")
+    )
+    return counted.select(
+        "job_id",
+        "run_id",
+        F.when(F.size("invalid") > 0, "Failed").otherwise("Success").alias("job_status"),
+        F.when(F.size("invalid") > 0, F.concat(message, invalid))
+        .otherwise(message)
+        .alias("status_msg"),
+    )
 
 
 @dataclass
@@ -165,15 +175,16 @@ class Results:
     spark: SparkSession
     run_id: str
     jobs: DataFrame
-    units: list[Unit]
-    broken: list[DataFrame]  # outcomes of jobs that could not be run
+    unique_mode: str
     started: datetime
     ended: datetime | None = None
+    units: list[Unit] = field(default_factory=list)
+    broken: list[DataFrame] = field(default_factory=list)  # outcomes of jobs that cannot be run
     errors: dict[str, str] = field(default_factory=dict)
 
     @cached_property
     def details(self) -> DataFrame:
-        return _union([u.details() for u in self.units], self.spark, DETAILS_SCHEMA)
+        return _details(self.spark, self.units, self.run_id)
 
     @property
     def metrics(self) -> DataFrame:
@@ -186,56 +197,62 @@ class Results:
     @property
     def failed(self) -> dict[tuple[str, str, str], DataFrame]:
         """Violating rows by (schema, table, unit): tables differ in their columns."""
-        return {(u.schema, u.table, u.name): u.failed() for u in self.units}
+        return {
+            (u.schema, u.table, u.name): u.failed(self.run_id, self.unique_mode)
+            for u in self.units
+        }
 
     @property
     def ledger(self) -> DataFrame:
-        outcomes = [u.outcomes(u.details()) for u in self.units] + self.broken
-        return C.ledger_transition(self.jobs, self._timed(outcomes, self.started, self.ended))
+        outcomes = [job_outcomes(self.details), *self.broken]
+        return C.ledger_transition(self.jobs, self._timed(outcomes, self.started))
 
-    def _timed(self, outcomes: Sequence[DataFrame], started, ended) -> DataFrame:
-        end = F.current_timestamp() if ended is None else F.lit(ended)
+    def _timed(self, outcomes: Sequence[DataFrame], started: datetime) -> DataFrame:
+        end = F.current_timestamp() if self.ended is None else F.lit(self.ended)
         return _union(outcomes, self.spark, OUTCOME_SCHEMA).withColumns(
             {"execution_start_time": F.lit(started), "execution_end_time": end}
         )
 
     def save(self, base: str) -> DataFrame:
-        """Write details, metrics, violating rows and the ledger's next snapshot under `base`.
+        """Write details, metrics, violating rows and the ledger's next snapshot under `base`, a
+        folder that all executors share.
 
-        Each unit is written by itself: one that raises ends its jobs as `Failed`, the others go on.
-        Gives the ledger snapshot.
+        Each unit is written by itself, some at a time: one that raises ends its jobs as `Failed`,
+        the others go on. Gives the ledger snapshot.
         """
         target = inheritable_thread_target(self.spark)(lambda unit: self._save_unit(unit, base))
         with ThreadPoolExecutor(CONCURRENT_UNITS) as pool:
             outcomes = list(pool.map(target, self.units))
-        for frame in self.broken:
-            outcomes.append(self._timed([frame], self.started, self.ended))
+        if self.broken:
+            outcomes.append(self._timed(self.broken, self.started))
+        ledger = self.jobs
         if outcomes:
-            ledger = C.ledger_transition(self.jobs, reduce(DataFrame.unionByName, outcomes))
-        else:
-            ledger = self.jobs
+            ledger = C.ledger_transition(ledger, reduce(DataFrame.unionByName, outcomes))
         sinks.write_ledger(ledger, base, self.run_id)
         return sinks.read_ledger(self.spark, base, self.run_id)
 
     def _save_unit(self, unit: Unit, base: str) -> DataFrame:
-        started = datetime.now(timezone.utc)
-        place = {"run_id": self.run_id, sinks.BATCH: f"{unit.schema}.{unit.table} {unit.name}"}
+        started = datetime.now(timezone.utc) if self.ended is None else self.started
+        label = f"{unit.schema}.{unit.table} {unit.name}"
+        place = {"run_id": self.run_id, sinks.BATCH: label}
         try:
-            sinks.write_partition(unit.details(), f"{base}/details", **place)
-            details = self.saved_details(base).filter(F.col(sinks.BATCH) == place[sinks.BATCH])
-            details = details.drop(sinks.BATCH)
+            scored = _details(self.spark, [unit], self.run_id)
+            sinks.write_partition(scored, f"{base}/details", **place)
+            details = self.saved_details(base).filter(F.col(sinks.BATCH) == label)
             sinks.write_partition(D.metrics_long(details), f"{base}/metrics", **place)
+            failing = details.filter(~F.col("expectation_status")).select("config_id").distinct()
+            ids = {r["config_id"] for r in failing.collect()}  # at most one per check
             run_tag = tag_names(unit.batch.columns)[2]
             sinks.write_partition(
-                unit.failed(details),
+                unit.failed(self.run_id, self.unique_mode, ids),
                 f"{base}/failed/{unit.schema}.{unit.table}",
                 **{run_tag: self.run_id, sinks.BATCH: unit.name},
             )
-            outcomes = unit.outcomes(details)
+            outcomes = job_outcomes(details)
         except Exception as error:  # whatever it is, it is this unit's
-            self.errors[place[sinks.BATCH]] = str(error)
+            self.errors[label] = str(error)
             outcomes = _failed_jobs(unit.jobs, self.run_id, str(error))
-        return self._timed([outcomes], self.started and started, self.ended)
+        return self._timed([outcomes], started)
 
     def saved_details(self, base: str) -> DataFrame:
         """The run's details as saved, with the unit they come from."""
@@ -275,18 +292,24 @@ def run_jobs(
     pending = C.pending_jobs(control.jobs).withColumn(
         "run_column", F.when(F.col("full_table") == 0, F.col("pipeline_run_id_name"))
     )
-    active = C.active_checks(control.config, control.checks)
-    plan = C.job_plan(active, pending)
+    plan = C.job_plan(C.active_checks(control.config, control.checks), pending)
     planned_jobs = pending.join(plan.select("job_id").distinct(), "job_id", "left_semi")
 
     results = Results(
-        spark, run_id, control.jobs, [], [], started or datetime.now(timezone.utc), ended
+        spark, run_id, control.jobs, unique_mode, started or datetime.now(timezone.utc), ended
     )
     local_jobs = _local_jobs(planned_jobs)
-    for key, rows in _checks_by_unit(plan).items():
-        jobs = _jobs_of(spark, planned_jobs, key, local_jobs.get(key, []))
+    for number, (key, rows) in enumerate(_checks_by_unit(plan).items()):
+        few = local_jobs[key] if len(local_jobs[key]) <= LOCAL_JOBS else None
+        if few is None:
+            same = zip(UNIT, key)
+            jobs = planned_jobs.filter(
+                reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(v)) for c, v in same])
+            )
+        else:
+            jobs = local_frame(spark, few, "job_id bigint, pipeline_run_id string")
         try:
-            results.units.append(_unit(run_id, key, rows, jobs, tables, unique_mode, results))
+            results.units.append(_unit(results, number, key, rows, jobs, few, tables))
         except (CheckError, PySparkException) as error:
             results.errors[f"{key[0]}.{key[1]}"] = str(error)
             results.broken.append(_failed_jobs(jobs, run_id, str(error)))
@@ -296,15 +319,15 @@ def run_jobs(
 def _checks_by_unit(plan: DataFrame) -> dict[tuple, list]:
     """The configuration to run: as many rows as there are active checks per table and run column,
     however many jobs and rows stand behind them."""
-    checks = (
+    rows = (
         plan.select(
             *UNIT, "config_id", "column_name", "expectation_parameters", "expectation_name"
         )
         .distinct()
-        .orderBy(*UNIT, "config_id")
+        .collect()
     )
     units: dict[tuple, list] = {}
-    for row in checks.toLocalIterator():
+    for row in sorted(rows, key=lambda r: (*[str(r[c]) for c in UNIT], r["config_id"])):
         units.setdefault(tuple(row[c] for c in UNIT), []).append(row)
     return units
 
@@ -325,16 +348,8 @@ def _local_jobs(jobs: DataFrame) -> dict[tuple, list]:
     return units
 
 
-def _jobs_of(spark: SparkSession, jobs: DataFrame, key: tuple, local: list) -> DataFrame:
-    """job_id, pipeline_run_id of a unit's jobs; without partitions' worth of work when few."""
-    if len(local) <= LOCAL_JOBS:
-        few = spark.createDataFrame(local, "job_id bigint, pipeline_run_id string")
-        return few.coalesce(1)
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(UNIT, key)])
-    return jobs.filter(same).select("job_id", "pipeline_run_id")
-
-
-def _unit(run_id, key, rows, jobs, tables, unique_mode, results) -> Unit:
+def _unit(results, number, key, rows, jobs, few, tables) -> Unit:
+    """A unit from its configuration rows and jobs; `few` are the jobs where they are local."""
     schema, table, full_table, by = key
     if full_table not in (0, 1):
         raise CheckError(f"full_table must be 0 or 1, not {full_table!r}")
@@ -342,71 +357,82 @@ def _unit(run_id, key, rows, jobs, tables, unique_mode, results) -> Unit:
         raise CheckError("a run slice needs the name of its run column")
     batch = tables(schema, table)
     slices = None
-    if by is not None:
+    if by is None:
+        jobs = jobs.select("job_id", F.lit("").alias("slice"))
+    else:
         dtype = column_type(batch, by)
-        usable = is_slice_value("pipeline_run_id", dtype)
-        results.broken.append(
-            _failed_jobs(
-                jobs.filter(F.coalesce(~usable, F.lit(True))),
-                run_id,
-                f"no value of run column {by} ({dtype.simpleString()})",
-            )
+        jobs, bad = _slices_of(results.spark, jobs, few, dtype)
+        if bad is not None:
+            why = f"no value of run column {by} ({dtype.simpleString()})"
+            results.broken.append(_failed_jobs(bad, results.run_id, why))
+        if few is not None:
+            slices = sorted({r["slice"] for r in jobs.select("slice").distinct().collect()})
+        batch = _sliced(batch, by, dtype, jobs, slices)
+    jobs = jobs.select(F.lit(number).alias("unit"), "job_id", "slice")
+    checks, invalid = _parsed(rows)
+    if slices is None and by and any(registry.kind(c) == "query" for c in checks):
+        # Such a check is one query per slice anyway.
+        slices = [r["slice"] for r in jobs.select("slice").distinct().toLocalIterator()]
+    scores = _scores(batch, checks, invalid, by, slices)
+    return Unit(number, schema, table, by, batch, jobs, checks, invalid, scores)
+
+
+def _slices_of(spark, jobs, few, dtype) -> tuple[DataFrame, DataFrame | None]:
+    """job_id and `slice` as the run column spells it, and the jobs whose slice it cannot hold."""
+    if few is not None and isinstance(dtype, T.StringType):
+        good = [(i, text) for i, text in few if text is not None]
+        bad = [(i,) for i, text in few if text is None]
+        return (
+            local_frame(spark, good, "job_id bigint, slice string"),
+            local_frame(spark, bad, "job_id bigint") if bad else None,
         )
-        jobs = jobs.filter(usable)
-        batch, slices = _sliced(batch, by, jobs)
-        jobs = jobs.select("job_id", F.col("pipeline_run_id").cast(dtype).alias("slice"))
-    else:
-        jobs = jobs.select("job_id")
-    checks, invalid = _compiled(batch, rows, by)
-    return Unit(run_id, schema, table, by, batch, jobs, checks, invalid, slices, unique_mode)
-
-
-def _sliced(batch: DataFrame, by: str, jobs: DataFrame) -> tuple[DataFrame, list[str] | None]:
-    """The rows of the jobs' slices, and the slices' texts when they are few."""
-    dtype = column_type(batch, by)
-    # By way of the column's type, so that two spellings of one value are one slice.
-    texts = jobs.select(
-        F.col("pipeline_run_id").cast(dtype).cast("string").alias("pipeline_run_id")
-    ).distinct()
-    few = [r["pipeline_run_id"] for r in texts.limit(LOCAL_JOBS + 1).collect()]
-    if not few:
-        return batch.filter(F.lit(False)), []
-    if len(few) <= LOCAL_JOBS:
-        return batch.filter(column(by).isin(*[typed_literal(t, dtype) for t in sorted(few)])), few
-    wanted = texts.select(F.col("pipeline_run_id").cast(dtype).alias("__wanted"))
-    return batch.join(wanted, column(by) == F.col("__wanted"), "left_semi"), None
-
-
-def _compiled(batch: DataFrame, rows: Sequence, by: str | None) -> tuple[list[Check], dict]:
+    spelled = F.col("pipeline_run_id").try_cast(dtype).cast("string").alias("slice")
+    jobs = jobs.select("job_id", spelled)
+    return jobs.filter(F.col("slice").isNotNull()), jobs.filter(F.col("slice").isNull())
+
+
+def _sliced(batch, by, dtype, jobs, slices) -> DataFrame:
+    if slices is None:
+        wanted = jobs.select(F.col("slice").cast(dtype).alias("__wanted"))
+        return batch.join(wanted, column(by) == F.col("__wanted"), "left_semi")
+    if not slices:
+        return batch.filter(F.lit(False))
+    return batch.filter(column(by).isin(*[typed_literal(text, dtype) for text in slices]))
+
+
+def _parsed(rows: Sequence) -> tuple[list[Check], dict[int, str]]:
     """Checks of the configuration rows, and why some of them cannot run."""
     checks, invalid = [], {}
     for row in rows:
         try:
-            checks.append(Check.from_row(row))
+            check = Check.from_row(row)
+            check.mostly
         except CheckError as error:
             text = row["expectation_parameters"]
-            checks.append(
-                Check(row["config_id"], row["expectation_name"], row["column_name"], {}, text)
-            )
+            check = Check(row["config_id"], row["expectation_name"], row["column_name"], {}, text)
             invalid[row["config_id"]] = str(error)
+        checks.append(check)
+    return checks, invalid
+
+
+def _scores(batch, checks, invalid, by, slices) -> DataFrame | None:
+    """Scores of the checks that Spark can analyse; adds the others to `invalid`."""
+
+    def build(some: list[Check]) -> DataFrame:
+        scores = scorecard(batch, some, by, slices)
+        return scores.withColumn("slice", F.col("slice").cast("string"))
+
     usable = [c for c in checks if c.config_id not in invalid]
     try:
-        if usable:
-            _try_out(batch, usable)
+        return build(usable) if usable else None
     except (CheckError, PySparkException):
         for check in usable:
             try:
-                _try_out(batch, [check])
+                build([check])
             except (CheckError, PySparkException) as error:
                 invalid[check.config_id] = str(error)
-    return checks, invalid
-
-
-def _try_out(batch: DataFrame, checks: list[Check]) -> None:
-    """Let Spark analyse the checks' plan; nothing runs."""
-    for check in checks:
-        check.mostly
-    scorecard(batch, checks).schema
+    usable = [c for c in usable if c.config_id not in invalid]
+    return build(usable) if usable else None
 
 
 def _failed_jobs(jobs: DataFrame, run_id: str, message: str) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from assayer.functions.columns import column, column_type, quoted, typed_literal, typed_texts
 from assayer.sources.jdbc import read_jdbc
@@ -34,7 +33,3 @@ def run_slice(table: DataFrame, run_column: str, run_value) -> DataFrame:
     (text,) = typed_texts(table.sparkSession, [run_value], dtype)
     return table.filter(column(run_column) == typed_literal(text, dtype))
 
-
-def is_slice_value(values, dtype):
-    """Whether a text column's values can be values of the run column at all."""
-    return F.col(values).try_cast(dtype).isNotNull()
