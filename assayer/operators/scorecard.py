@@ -258,10 +258,18 @@ def _query_score(batch: DataFrame, check: Check, query, slice_value: Column) ->
 
 def _unknown_scores(batch: DataFrame, checks: Sequence[Check], by: str | None) -> DataFrame:
     """A row without status for each unknown name; per slice where there are slices."""
-    scores = [empty_score(c) for c in checks]
-    local = local_frame(batch.sparkSession, scores, SCORE_SCHEMA)
     if not by:
-        return _shaped(local, None)
-    slices = batch.select(*_slice(batch, by), F.array(*[F.lit(c.config_id) for c in checks]).alias("ids"))
-    named = slices.distinct().select("slice", F.explode("ids").cast("bigint").alias("config_id"))
-    return _shaped(named.join(local, "config_id"), by)
+        scores = [empty_score(c) for c in checks]
+        return _shaped(local_frame(batch.sparkSession, scores, SCORE_SCHEMA), None)
+    ids = ", ".join(f"{c.config_id}L" for c in checks)
+    slices = batch.select(*_slice(batch, by)).distinct()
+    none = "CAST(NULL AS bigint)"
+    return _shaped(
+        slices.selectExpr("slice", f"explode(array({ids})) AS config_id"),
+        by,
+        expectation_status="CAST(NULL AS boolean)",
+        scanned=none,
+        success=none,
+        failure=none,
+        details=f"'{UNKNOWN}'",
+    )

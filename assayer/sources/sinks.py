@@ -39,9 +39,10 @@ def read_partitions(
 
 
 def write_ledger(ledger: DataFrame, base: str, snapshot: str) -> str:
-    """Write a ledger snapshot to a path of its own and give the path; refuses to replace one."""
+    """Write a ledger snapshot to a path of its own and give the path. A run that is started again
+    replaces its snapshot; Spark refuses to replace the one `ledger` is read from."""
     path = partition_path(f"{base}/ledger", snapshot=snapshot)
-    ledger.write.mode("errorifexists").parquet(path)
+    ledger.write.mode("overwrite").parquet(path)
     return path
 
 

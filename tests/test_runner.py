@@ -1,0 +1,263 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from assayer import run_jobs
+from assayer.catalog import fixture
+from assayer.model import (
+    CHECKS_SCHEMA,
+    CONFIG_SCHEMA,
+    IN_SET,
+    JOBS_SCHEMA,
+    NOT_NULL,
+    QUERIED_UNIQUE,
+    UNIQUE,
+    Control,
+)
+from assayer.plans import runner
+
+START = datetime.datetime(2024, 5, 1, 12, 0, 0)
+END = datetime.datetime(2024, 5, 1, 12, 30, 0)
+
+
+@pytest.fixture(scope="module")
+def saved(spark, sf, tmp_path_factory):
+    base = str(tmp_path_factory.mktemp("results"))
+    results = run_jobs(spark, fixture.control(spark), fixture.tables(spark, sf), "007", START, END)
+    ledger = results.save(base)
+    return results, base, {r["job_id"]: r for r in ledger.collect()}
+
+
+# config id -> job, scanned, failure, status, details
+EXPECTED = {
+    101: (6, 1000, 601, False, None),
+    102: (1, 15000, 5088, False, None),
+    103: (3, 5, 3, False, '["click","error","purchase","signup","view"]'),
+    104: (1, 15000, 14998, False, None),
+    105: (2, 2000, 739, False, None),
+    106: (2, 2000, 1752, False, None),
+    107: (4, 50, 19, False, None),
+    108: (5, None, None, True, "6"),
+    109: (4, 50, 18, False, None),
+    110: (1, 15000, 0, True, None),
+    112: (2, None, None, None, "unknown check"),
+    113: (1, 15000, 0, True, None),
+}
+
+
+def test_details(saved):
+    results, base, _ = saved
+    for details in (results.details, results.saved_details(base)):
+        rows = {r["config_id"]: r for r in details.collect()}
+        assert {
+            c: (r["job_id"], r["scanned"], r["failure"], r["expectation_status"], r["details"])
+            for c, r in rows.items()
+        } == EXPECTED
+        for r in rows.values():
+            assert r["run_id"] == "007"
+            assert r["scanned"] is None or r["scanned"] == r["success"] + r["failure"]
+
+
+def test_ledger(saved):
+    _, _, ledger = saved
+    message = {i: r["status_msg"] for i, r in ledger.items()}
+    assert message[1] == "2/4 Validations Passed"
+    assert message[2] == "0/2 Validations Passed"
+    assert message[5] == "1/1 Validations Passed"
+    assert {i for i, r in ledger.items() if r["job_status"] == "Failed"} == {8}
+    assert ledger[7]["run_id"] is None and ledger[7]["status_msg"] is None
+    assert ledger[7]["execution_end_time"] is None
+    assert {r["run_id"] for i, r in ledger.items() if i != 7} == {"007"}
+    assert ledger[1]["execution_start_time"] == START
+    assert ledger[1]["execution_end_time"] == END
+    assert "full_table" in message[8]
+
+
+def test_failed_rows(saved):
+    results, base, _ = saved
+    counts = {}
+    for unit in results.units:
+        for r in results.saved_failed(base, unit).groupBy("expectation_name").count().collect():
+            counts[unit.table, r["expectation_name"]] = r["count"]
+    assert counts == {
+        ("documents_labeled", NOT_NULL): 601,
+        ("orders", IN_SET): 5088,
+        ("orders", UNIQUE): 13500,
+        ("events", "expect_column_distinct_values_to_be_in_set"): 6012,
+        ("part", "expect_column_value_lengths_to_equal"): 739,
+        ("part", "expect_column_values_to_match_like_pattern"): 1752,
+        ("documents", "expect_column_values_to_contain"): 19,
+        ("documents", IN_SET): 18,
+    }
+
+
+def test_metrics_agree_with_details(saved):
+    results, base, _ = saved
+    metrics = {
+        (r["config_id"], r["metric"]): r["value"] for r in results.saved_metrics(base).collect()
+    }
+    assert metrics[102, "unexpected_count"] == "5088" and metrics[102, "success"] == "false"
+    assert metrics[108, "observed_value"] == "6" and (108, "element_count") not in metrics
+    statistics = {r["job_id"]: r for r in results.statistics.collect()}
+    assert statistics[1]["success_percent"] == 50.0
+    assert statistics[2]["evaluated_expectations"] == 2
+
+
+def test_second_run_replaces_the_first(spark, sf, saved):
+    results, base, ledger = saved
+    before = sorted(map(str, results.saved_details(base).collect()))
+    again = run_jobs(spark, fixture.control(spark), fixture.tables(spark, sf), "007", START, END)
+    assert {r["job_id"]: r for r in again.save(base).collect()} == ledger
+    assert sorted(map(str, again.saved_details(base).collect())) == before
+    assert sum(again.saved_failed(base, u).count() for u in again.units) == 27729
+
+
+def control(spark, config, jobs, checks=((1, NOT_NULL), (2, IN_SET), (3, QUERIED_UNIQUE), (4, UNIQUE))):
+    """`config`: (config_id, exp_id, table, column, parameters); `jobs`: (job_id, table, full, column,
+    value)."""
+    return Control(
+        spark.createDataFrame(list(checks), CHECKS_SCHEMA),
+        spark.createDataFrame([(c, e, "s", t, col, p, 1) for c, e, t, col, p in config], CONFIG_SCHEMA),
+        spark.createDataFrame(
+            [(i, f"job{i}", "s", t, full, col, v, None, None, None, None, None) for i, t, full, col, v in jobs],
+            JOBS_SCHEMA,
+        ),
+    )
+
+
+def by_job(results):
+    return {(r["job_id"], r["config_id"]): r for r in results.details.collect()}
+
+
+def outcomes(results):
+    return {r["job_id"]: (r["job_status"], r["status_msg"]) for r in results.ledger.collect()}
+
+
+@pytest.fixture
+def loads(spark):
+    rows = [(1, "a", 10), (1, None, 10), (2, "b", 11), (2, "b", 12), (3, "c", 13)]
+    df = spark.createDataFrame(rows, "load bigint, v string, k int")
+    return lambda schema, table: df
+
+
+SLICE_CONFIG = [
+    (11, 1, "t", "v", "{}"),
+    (12, 2, "t", "v", '{"value_set":["a","c"]}'),
+    (13, 3, "t", None, '{"query":"SELECT count(*) FROM {active_batch}","value":2}'),
+    (14, 4, "t", "v", "{}"),
+    (15, 3, "t", None, '{"columns":["v"],"value":0}'),
+]
+SLICE_JOBS = [
+    (1, "t", 0, "load", "1"),
+    (2, "t", 0, "load", "2"),
+    (3, "t", 0, "load", "02"),
+    (4, "t", 0, "load", "9"),
+    (5, "t", 0, "load", "x"),
+    (6, "t", 0, "load", None),
+    (7, "t", 1, None, None),
+]
+
+
+@pytest.mark.parametrize("local_jobs", [1000, 1])
+def test_slices(spark, loads, monkeypatch, local_jobs):
+    monkeypatch.setattr(runner, "LOCAL_JOBS", local_jobs)
+    results = run_jobs(spark, control(spark, SLICE_CONFIG, SLICE_JOBS), loads, "r")
+    rows = by_job(results)
+    counts = {k: (r["scanned"], r["failure"], r["expectation_status"]) for k, r in rows.items()}
+    assert {j for j, _ in counts} == {1, 2, 3, 4, 7}
+    assert counts[1, 11] == (2, 1, False) and counts[2, 11] == (2, 0, True)
+    assert counts[1, 12] == (2, 0, True) and counts[2, 12] == (2, 2, False)
+    assert counts[1, 14] == (2, 0, True) and counts[2, 14] == (2, 2, False)
+    for check in (11, 12, 14):
+        assert counts[3, check] == counts[2, check]  # two spellings of one slice
+        assert counts[4, check] == (0, 0, True)  # a slice without rows
+    assert [rows[j, 13]["details"] for j in (1, 2, 3, 4, 7)] == ["2", "2", "2", "0", "5"]
+    assert [rows[j, 13]["expectation_status"] for j in (1, 4)] == [True, False]
+    assert [rows[j, 15]["details"] for j in (1, 2, 4, 7)] == ["0", "2", "0", "2"]
+    assert rows[4, 15]["expectation_status"] is True
+    assert counts[7, 11] == (5, 1, False)
+    ended = outcomes(results)
+    assert ended[5][0] == ended[6][0] == "Failed" and "load" in ended[5][1]
+    assert ended[1] == ("Success", "4/5 Validations Passed")
+    full = results.failed["s", "t", "full"]
+    sliced = results.failed["s", "t", "slices of load"]
+    assert sliced.count() == 4  # a NULL, two outside the set, one repeated
+    assert full.filter(F.col("expectation_name") == IN_SET).count() == 2
+
+
+def test_tolerated_violations_are_no_failed_rows(spark, loads):
+    config = [(1, 2, "t", "v", '{"value_set":["a","c"],"mostly":0.5}'), (2, 1, "t", "v", "{}")]
+    jobs = [(1, "t", 1, None, None), (2, "t", 0, "load", "2"), (3, "t", 0, "load", "3")]
+    results = run_jobs(spark, control(spark, config, jobs), loads, "r")
+    full = results.failed["s", "t", "full"].collect()
+    assert [r["expectation_name"] for r in full] == [NOT_NULL]
+    sliced = results.failed["s", "t", "slices of load"].collect()
+    assert [(r["load"], r["expectation_name"]) for r in sliced] == [(2, IN_SET)] * 2
+
+
+def test_invalid_checks_do_not_stop_others(spark, loads):
+    config = [
+        (1, 1, "t", "v", "{}"),
+        (2, 2, "t", "v", '{"value_set":[]}'),
+        (3, 2, "t", "v", "not json"),
+        (4, 1, "t", "no_such_column", "{}"),
+        (5, 1, "t", "v", '{"row_condition":"((("}'),
+        (6, 3, "t", None, '{"query":"SELECT nothing FROM {active_batch}","value":1}'),
+        (7, 1, "t", "v", '{"mostly":7}'),
+    ]
+    results = run_jobs(spark, control(spark, config, [(1, "t", 1, None, None)]), loads, "r")
+    rows = by_job(results)
+    assert rows[1, 1]["failure"] == 1
+    for check in range(2, 8):
+        assert rows[1, check]["expectation_status"] is None
+        assert rows[1, check]["details"].startswith("invalid check: ")
+    status, message = outcomes(results)[1]
+    assert status == "Failed"
+    assert message == "0/1 Validations Passed; invalid checks: 2, 3, 4, 5, 6, 7"
+
+
+def test_only_invalid_checks(spark, loads):
+    jobs = [(1, "t", 1, None, None)]
+    results = run_jobs(spark, control(spark, [(1, 1, "t", "nope", "{}")], jobs), loads, "r")
+    assert by_job(results)[1, 1]["details"].startswith("invalid check: ")
+    assert results.failed["s", "t", "full"].isEmpty()
+
+
+def test_broken_tables_do_not_stop_others(spark, loads, tmp_path):
+    boom = F.raise_error(F.lit("unreadable"))
+
+    def tables(schema, table):
+        if table == "missing":
+            return spark.table("no_such_table_anywhere")
+        df = loads(schema, table)
+        return df.withColumn("v", F.when(F.col("k") > 0, boom)) if table == "broken" else df
+
+    names = ("missing", "broken", "t", "unsliced")
+    config = [(i, 1, t, "v", "{}") for i, t in enumerate(names)]
+    jobs = [(i, t, 1, None, None) for i, t in enumerate(names[:3])] + [(3, "unsliced", 0, None, "1")]
+    results = run_jobs(spark, control(spark, config, jobs), tables, "r")
+    ledger = {r["job_id"]: r for r in results.save(str(tmp_path)).collect()}
+    assert [ledger[i]["job_status"] for i in range(4)] == ["Failed", "Failed", "Success", "Failed"]
+    assert "unreadable" in ledger[1]["status_msg"]
+    assert ledger[2]["status_msg"] == "0/1 Validations Passed"
+    assert results.errors.keys() == {"s.missing", "s.broken full", "s.unsliced"}
+
+
+def test_one_job_name_on_two_tables(spark, loads):
+    # Jobs are kept apart by id: a shared name does not mix their checks.
+    both = control(
+        spark,
+        [(1, 1, "t", "v", "{}"), (2, 1, "u", "k", "{}")],
+        [(1, "t", 1, None, None), (2, "u", 1, None, None)],
+    )
+    both = Control(both.checks, both.config, both.jobs.withColumn("job_name", F.lit("same")))
+    assert by_job(run_jobs(spark, both, loads, "r")).keys() == {(1, 1), (2, 2)}
+
+
+def test_nothing_pending(spark, loads, tmp_path):
+    empty = control(spark, [(1, 1, "t", "v", "{}")], [(1, "other", 1, None, None)])
+    results = run_jobs(spark, empty, loads, "r")
+    assert results.details.isEmpty()
+    (row,) = results.save(str(tmp_path)).collect()
+    assert row["job_status"] is None  # no check is configured for its table: it stays pending
