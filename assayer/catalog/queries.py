@@ -591,13 +591,12 @@ def parse_params(spark, sf_dir):
 
 @query(
     G.with_tables(G.CHECKS, G.CONFIG, G.ACTIVE)
-    + """SELECT 'suite_' || (config_id // 10) AS expectation_suite_name, count(*) AS checks_in_suite,
-      string_agg(concat_ws('|', expectation_name, expectation_parameters, schema_name, table_name), ';'
-        ORDER BY expectation_name, expectation_parameters, schema_name, table_name) AS checks
-    FROM active WHERE expectation_name IS NOT NULL GROUP BY 1"""
+    + """SELECT 'suite_' || (config_id // 10) AS expectation_suite_name, expectation_name,
+      expectation_parameters, schema_name, table_name, count(*) AS entries
+    FROM active WHERE expectation_name IS NOT NULL GROUP BY ALL"""
 )
 def build_suites(spark, sf_dir):
-    catalogue = (
+    return C.build_suites(
         _active(spark, sf_dir)
         .filter("expectation_name IS NOT NULL")
         .select(
@@ -608,12 +607,6 @@ def build_suites(spark, sf_dir):
             "table_name",
         )
     )
-    # Lists as text, for the comparison.
-    texts = F.expr(
-        "transform(checks, c -> concat_ws('|', c.expectation_name, c.expectation_code, "
-        "c.schema_name, c.table_name))"
-    )
-    return C.build_suites(catalogue).withColumn("checks", F.array_join(texts, ";"))
 
 
 OUTCOMES = """outcomes AS (

@@ -42,7 +42,7 @@ def json_text(value) -> str:
 
 
 def typed_texts(spark: SparkSession, values: Iterable, dtype: T.DataType) -> list[str]:
-    """Texts of the distinct non-NULL `values`, all of which cast to `dtype`.
+    """Texts of the distinct non-NULL `values`, all of which cast to `dtype`, as the type spells them.
 
     A value that does not cast is refused here: cast to NULL inside a query it would make `NOT IN`
     true for no row at all. NULLs are dropped for the same reason.
@@ -52,16 +52,33 @@ def typed_texts(spark: SparkSession, values: Iterable, dtype: T.DataType) -> lis
         raise CheckError("the value set is empty")
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
         raise CheckError(f"values cannot be compared with type {dtype.simpleString()}")
-    if not isinstance(dtype, T.StringType):
-        given = local_frame(spark, [(t,) for t in texts], "v string")
-        bad = given.filter(F.col("v").try_cast(dtype).isNull()).limit(5).collect()
-        if bad:
-            raise CheckError(
-                f"not of type {dtype.simpleString()}: " + ", ".join(repr(r["v"]) for r in bad)
-            )
-    return texts
+    if isinstance(dtype, T.StringType):
+        return texts
+    spelled = F.col("v").try_cast(dtype).cast("string").alias("spelled")
+    rows = local_frame(spark, [(t,) for t in texts], "v string").select("v", spelled).collect()
+    bad = [r["v"] for r in rows if r["spelled"] is None]
+    if bad:
+        raise CheckError(f"not of type {dtype.simpleString()}: {bad[:5]}")
+    zero = ("0.0", "-0.0")  # one value to Spark's comparisons
+    return list(dict.fromkeys(zero[0] if r["spelled"] in zero else r["spelled"] for r in rows))
 
 
 def typed_literal(text: str, dtype: T.DataType) -> Column:
     """A literal of the column's own type; constant folding leaves a plain value to push down."""
     return F.lit(text) if isinstance(dtype, T.StringType) else F.lit(text).cast(dtype)
+
+
+# Text keys longer than this many bytes are grouped by their SHA-256.
+KEY_BYTES = 64
+
+
+def group_key(df: DataFrame, name: str) -> Column:
+    """A column as a grouping key: long texts by their digest, so that grouping documents shuffles
+    some bytes of each and not the document. A digest with its mark is longer than any text that is
+    kept as it is, so the two cannot be taken for each other."""
+    dtype = column_type(df, name)
+    col = column(name)
+    if dtype != T.StringType():
+        return col
+    digest = F.concat(F.lit("#"), F.sha2(col, 256))
+    return F.when(F.octet_length(col) > KEY_BYTES, digest).otherwise(col)

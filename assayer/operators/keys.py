@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayer.functions.columns import column
+from assayer.functions.columns import column, group_key
 from assayer.model import CheckError
 
 # A key with more rows than this gets one salt per so many rows.
@@ -54,19 +54,24 @@ def repeated_rows(
     for key in keys:
         rows = rows.filter(column(key).isNotNull())
     names = rows.columns
+    key_names = [f"__k{i}" for i in range(len(keys))]
+    row_names = [f"__r{i}" for i in range(len(keys))]
+    row_keys = [group_key(rows, k) for k in keys]
     least = []
     if mode == "extra":
         least = [F.min(_tie(tie)).alias("__least"), F.count(_tie(tie)).alias("__ties")]
     counts = (
-        rows.groupBy(*[column(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+        rows.groupBy(*[k.alias(n) for k, n in zip(row_keys, key_names)])
         .agg(F.count(F.lit(1)).alias("__n"), *least)
         .filter("__n > 1")
     )
-    rows, counts = _salted(rows, counts, keys, tie, rows_per_salt)
+    spread = [column(c) for c in tie] if tie else _hashable(rows)
+    rows = rows.withColumns(dict(zip(row_names, row_keys)))
+    rows, counts = _salted(rows, row_names, spread, counts, key_names, rows_per_salt)
 
-    same = (F.col("__salt") == F.col("__key_salt"))
-    for i, key in enumerate(keys):
-        same = same & (column(key) == F.col(f"__k{i}"))
+    same = F.col("__salt") == F.col("__key_salt")
+    for row_name, key_name in zip(row_names, key_names):
+        same = same & (F.col(row_name) == F.col(key_name))
     if mode == "all":
         joined = rows.join(counts, same, "left_semi")
     else:
@@ -81,13 +86,12 @@ def _tie(tie: Sequence[str]) -> Column:
     return column(tie[0]) if len(tie) == 1 else F.struct(*map(column, tie))
 
 
-def _salted(rows, counts, keys, tie, rows_per_salt):
+def _salted(rows, row_names, spread, counts, key_names, rows_per_salt):
     """Both sides with a salt: 0, but for hot keys, whose count rows are repeated once per salt.
 
-    Hot keys are told by hash. The salt is computed from the row's own values, so a task that runs
-    again gives the same one.
+    Hot keys are told by hash. The salt is computed from the row's own values in `spread`, so a task
+    that runs again gives the same one.
     """
-    key_names = [f"__k{i}" for i in range(len(keys))]
     # A hot key has more than one tie, so asking for it changes nothing; it keeps this branch's
     # aggregate equal to the join's, and both read one shuffle.
     tied = F.lit(True)
@@ -106,9 +110,8 @@ def _salted(rows, counts, keys, tie, rows_per_salt):
         .limit(HOT_KEYS)
     )
     hot = F.broadcast(hot)  # at most HOT_KEYS rows of two bigints
-    spread = [column(c) for c in tie] if tie else _hashable(rows)
     salted_rows = (
-        rows.withColumn("__hash", F.xxhash64(*map(column, keys)))
+        rows.withColumn("__hash", F.xxhash64(*row_names))
         .join(hot, "__hash", "left")
         .withColumn(
             "__salt",

@@ -210,11 +210,8 @@ _row_checks[IN_SET] = _outside_set
 
 def _lookup(batch: DataFrame, check: Check, texts: list[str], dtype: T.DataType) -> Lookup:
     key, marker = f"__set_{check.config_id}", f"__in_set_{check.config_id}"
-    values = (
-        local_frame(batch.sparkSession, [(t,) for t in texts], "v string")
-        .select(F.col("v").cast(dtype).alias(key))
-        .distinct()  # two texts may be one typed value
-        .withColumn(marker, F.lit(True))
+    values = local_frame(batch.sparkSession, [(t,) for t in texts], "v string").select(
+        F.col("v").cast(dtype).alias(key), F.lit(True).alias(marker)
     )
     if sum(map(len, texts)) * 4 + 32 * len(texts) <= BROADCAST_BYTES:
         values = F.broadcast(values)

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayer.functions.columns import column, column_type, quoted, typed_literal
+from assayer.functions.columns import column, column_type, group_key, quoted, typed_literal
 from assayer.model import SCORE_COLUMNS, Check, CheckError
 from assayer.operators import registry
 from assayer.sources.local import local_frame
@@ -139,10 +139,9 @@ def _row_scores(batch: DataFrame, checks: Sequence[Check], by: str | None) -> Da
 
 
 def _unique_scores(batch: DataFrame, check: Check, by: str | None) -> DataFrame:
-    column_type(batch, check.column)
     totals = (
         _conditioned(batch, check)
-        .groupBy(*_slice(batch, by), column(check.column).alias("key"))
+        .groupBy(*_slice(batch, by), group_key(batch, check.column).alias("key"))
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy(*(["slice"] if by else []))
         .agg(
@@ -202,12 +201,10 @@ def _group_scores(batch: DataFrame, check: Check, by: str | None) -> DataFrame:
     columns = check.params.get("columns")
     if not isinstance(columns, list) or not columns:
         raise CheckError("columns must be a list of column names")
-    for name in columns:
-        column_type(batch, name)
     value = registry.expected_value(check)
     largest = (
         _conditioned(batch, check)
-        .groupBy(*_slice(batch, by), *[column(c).alias(f"g{i}") for i, c in enumerate(columns)])
+        .groupBy(*_slice(batch, by), *[group_key(batch, c).alias(f"g{i}") for i, c in enumerate(columns)])
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy(*(["slice"] if by else []))
         .agg(F.expr("coalesce(max(n) FILTER (WHERE n > 1), 0L) AS observed"))

@@ -88,15 +88,15 @@ def with_params(config: DataFrame) -> DataFrame:
 
 
 def build_suites(catalogue: DataFrame) -> DataFrame:
-    """One row per suite of a catalogue that names suites itself, with its checks in a fixed order.
-
-    A suite is what one run checks together, so its list is as long as someone configured it.
-    """
-    check = F.struct("expectation_name", "expectation_code", "schema_name", "table_name")
-    return catalogue.groupBy("expectation_suite_name").agg(
-        F.count(F.lit(1)).alias("checks_in_suite"),
-        F.array_sort(F.collect_list(check)).alias("checks"),
-    )
+    """The suites of a catalogue that names suites itself: one row per check of a suite, with the
+    number of catalogue rows it stands for. A suite of any size is rows, never one list."""
+    return catalogue.groupBy(
+        "expectation_suite_name",
+        "expectation_name",
+        F.col("expectation_code").alias("expectation_parameters"),
+        "schema_name",
+        "table_name",
+    ).agg(F.count(F.lit(1)).alias("entries"))
 
 
 def ledger_transition(jobs: DataFrame, outcomes: DataFrame) -> DataFrame:

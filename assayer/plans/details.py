@@ -96,7 +96,19 @@ def join_metrics(plan: DataFrame, packed: DataFrame) -> DataFrame:
     """
     keys = ["run_id", "expectation_name", "column_name"]
     planned = plan.select(*keys, "job_id", "config_id", "schema_name", "table_name")
-    return planned.join(parse_metrics(packed).drop("suite"), keys)
+    # What is not a key is parsed after the join, for the rows that are left.
+    keyed = packed.select(
+        F.col("run_name").alias("run_id"),
+        metric_check(F.col("metric_name")).alias("expectation_name"),
+        metric_column(F.col("metric_kwargs_id")).alias("column_name"),
+        "metric_name",
+        "value",
+    )
+    return planned.join(keyed, keys).select(
+        *planned.columns,
+        metric_key(F.col("metric_name")).alias("metric"),
+        metric_value(F.col("value")).alias("value"),
+    )
 
 
 def suite_statistics(details: DataFrame) -> DataFrame:

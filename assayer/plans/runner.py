@@ -33,8 +33,9 @@ from assayer.sources.local import local_frame
 from assayer.sources.tables import Tables
 
 # Up to this many jobs of a unit are read by the driver, and their slices become an IN filter that
-# prunes files and partitions; more stay a DataFrame, and the slices are picked by a semi join.
-LOCAL_JOBS = 1_000
+# prunes files and partitions; more stay a DataFrame, and the slices are picked by a semi join. (Below
+# the 1,000 up to which Spark limits a window's groups before it shuffles them.)
+LOCAL_JOBS = 500
 CONCURRENT_UNITS = 4
 
 INVALID = "invalid check: "
@@ -70,6 +71,7 @@ class Unit:
     checks: list[Check]
     invalid: dict[int, str]  # config id -> why the check cannot run
     scores: DataFrame | None  # of the usable checks
+    few_slices: bool
 
     @property
     def name(self) -> str:
@@ -90,22 +92,36 @@ class Unit:
             rows.append((self.number, self.schema, self.table, c.name, c.column, *score))
         return rows
 
-    def failed(self, run_id: str, unique_mode: str, failing: set[int] | None = None) -> DataFrame:
-        """Rows that broke a failed check; `failing` are the checks known to have failed."""
-        checks = [c for c in self.usable() if failing is None or c.config_id in failing]
+    def failed(
+        self, run_id: str, unique_mode: str, details: DataFrame | None = None
+    ) -> DataFrame:
+        """Rows that broke a failed check. With the unit's saved `details` only the checks that did
+        fail are looked at; without, which ones failed is found in the same query."""
+        checks = self.usable()
+        failing = None
+        if details is not None:
+            failing = details.filter(~F.col("expectation_status")).select("job_id", "config_id")
+            ids = {r[0] for r in failing.select("config_id").distinct().collect()}
+            checks = [c for c in checks if c.config_id in ids]
+            failing = failing.join(self.jobs, "job_id").select("config_id", "slice").distinct()
         if not any(registry.kind(c) in ("row", "distinct", "unique") for c in checks):
             return self.batch.sparkSession.createDataFrame([], failed_schema(self.batch.schema))
         rows = tagged_rows(self.batch, checks, self.by, unique_mode)
-        if any(c.mostly < 1 for c in checks):
-            rows = self._of_failed_checks(rows)
+        # Only with a tolerance may a check succeed in spite of violations; that of a whole table,
+        # once known, is left out above.
+        if any(c.mostly < 1 for c in checks) and (self.by or failing is None):
+            rows = self._of_failed_checks(rows, failing)
         run_tag = tag_names(self.batch.columns)[2]
         return rows.drop(CONFIG).withColumn(run_tag, F.lit(run_id))
 
-    def _of_failed_checks(self, rows: DataFrame) -> DataFrame:
-        """Only with a tolerance may a check succeed in spite of violations."""
-        failing = self.scores.filter(~F.col("expectation_status")).select(
+    def _of_failed_checks(self, rows: DataFrame, failing: DataFrame | None) -> DataFrame:
+        if failing is None:
+            failing = self.scores.filter(~F.col("expectation_status"))
+        failing = failing.select(
             F.col("config_id").alias("__failing"), F.col("slice").alias("__slice")
         )
+        if self.few_slices:  # at most LOCAL_JOBS rows per check
+            failing = F.broadcast(failing)
         on = F.col(CONFIG) == F.col("__failing")
         if self.by:
             on = on & (column(self.by).cast("string") == F.col("__slice"))
@@ -228,7 +244,7 @@ class Results:
         ledger = self.jobs
         if outcomes:
             ledger = C.ledger_transition(ledger, reduce(DataFrame.unionByName, outcomes))
-        sinks.write_ledger(ledger, base, self.run_id)
+        sinks.write_ledger(ledger, base, self.run_id, self.jobs)
         return sinks.read_ledger(self.spark, base, self.run_id)
 
     def _save_unit(self, unit: Unit, base: str) -> DataFrame:
@@ -240,11 +256,9 @@ class Results:
             sinks.write_partition(scored, f"{base}/details", **place)
             details = self.saved_details(base).filter(F.col(sinks.BATCH) == label)
             sinks.write_partition(D.metrics_long(details), f"{base}/metrics", **place)
-            failing = details.filter(~F.col("expectation_status")).select("config_id").distinct()
-            ids = {r["config_id"] for r in failing.collect()}  # at most one per check
             run_tag = tag_names(unit.batch.columns)[2]
             sinks.write_partition(
-                unit.failed(self.run_id, self.unique_mode, ids),
+                unit.failed(self.run_id, self.unique_mode, details),
                 f"{base}/failed/{unit.schema}.{unit.table}",
                 **{run_tag: self.run_id, sinks.BATCH: unit.name},
             )
@@ -374,7 +388,8 @@ def _unit(results, number, key, rows, jobs, few, tables) -> Unit:
         # Such a check is one query per slice anyway.
         slices = [r["slice"] for r in jobs.select("slice").distinct().toLocalIterator()]
     scores = _scores(batch, checks, invalid, by, slices)
-    return Unit(number, schema, table, by, batch, jobs, checks, invalid, scores)
+    few_slices = by is None or few is not None
+    return Unit(number, schema, table, by, batch, jobs, checks, invalid, scores, few_slices)
 
 
 def _slices_of(spark, jobs, few, dtype) -> tuple[DataFrame, DataFrame | None]:

@@ -6,7 +6,7 @@ that is started again under its id leaves one copy of its rows, and none of an e
 
 from __future__ import annotations
 
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -38,10 +38,19 @@ def read_partitions(
     return spark.read.schema(full).parquet(path)
 
 
-def write_ledger(ledger: DataFrame, base: str, snapshot: str) -> str:
-    """Write a ledger snapshot to a path of its own and give the path. A run that is started again
-    replaces its snapshot; Spark refuses to replace the one `ledger` is read from."""
+def write_ledger(
+    ledger: DataFrame, base: str, snapshot: str, previous: DataFrame | None = None
+) -> str:
+    """Write a ledger snapshot to a path of its own and give the path.
+
+    A run that is started again replaces its snapshot, but never the one it started from: `previous`
+    is the ledger that was read, and overwriting its files would lose it.
+    """
     path = partition_path(f"{base}/ledger", snapshot=snapshot)
+    if previous is not None:
+        place = path.split("://")[-1].rstrip("/") + "/"
+        if any(place in unquote(f) or place in f for f in previous.inputFiles()):
+            raise ValueError(f"the ledger is read from {path}: run under another id")
     ledger.write.mode("overwrite").parquet(path)
     return path
 

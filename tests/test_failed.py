@@ -143,3 +143,17 @@ def test_long_value_set(spark, monkeypatch, name):
     rows = failed_rows(df, [check], "r")
     assert rows.columns == ["v", "expectation_name", "parameters", "run_id"]
     assert Counter(r["v"] for r in rows.collect()) == {0: 10, 4: 10, 5: 10}
+
+
+def test_long_texts_are_told_apart(spark):
+    long = "x" * 500
+    texts = [long, long, long + "y", "short", "short", "#" + "0" * 64, None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, v string")
+    ids = sorted(r["id"] for r in repeated_rows(df, ["v"], "all").collect())
+    assert ids == [0, 1, 3, 4]
+    extra = repeated_rows(df, ["v"], "extra", ["id"]).collect()
+    assert sorted(r["id"] for r in extra) == [1, 4]
+    from assayer import scorecard
+
+    (row,) = scorecard(df, [Check(1, UNIQUE, "v")]).collect()
+    assert (row["scanned"], row["failure"]) == (8, 4)

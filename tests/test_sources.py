@@ -61,10 +61,12 @@ def test_partitions_are_replaced(spark, tmp_path):
 
 
 def test_ledger_snapshots(spark, tmp_path):
-    ledger = spark.range(2)
-    sinks.write_ledger(ledger, str(tmp_path), "r1")
-    sinks.write_ledger(sinks.read_ledger(spark, str(tmp_path), "r1"), str(tmp_path), "r2")
-    assert sinks.read_ledger(spark, str(tmp_path), "r2").count() == 2
-    sinks.write_ledger(ledger, str(tmp_path), "r1")
-    with pytest.raises(PySparkException):
-        sinks.write_ledger(sinks.read_ledger(spark, str(tmp_path), "r1"), str(tmp_path), "r1")
+    base = str(tmp_path)
+    sinks.write_ledger(spark.range(2), base, "r 1")
+    first = sinks.read_ledger(spark, base, "r 1")
+    sinks.write_ledger(first, base, "r 2", first)
+    sinks.write_ledger(first, base, "r 2", first)
+    with pytest.raises(ValueError):
+        sinks.write_ledger(first, base, "r 1", first)
+    for snapshot in ("r 1", "r 2"):
+        assert sinks.read_ledger(spark, base, snapshot).count() == 2
