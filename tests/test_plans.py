@@ -1,0 +1,132 @@
+"""The physical plans are the ones meant for large tables."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from assayer import Check, run_jobs, scorecard
+from assayer.catalog.queries import QUERIES
+from assayer.model import IN_SET, NOT_NULL, UNIQUE
+from assayer.operators.keys import repeated_rows
+from test_runner import control
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_no_cross_join_and_no_python(name, spark, sf):
+    text = plan(QUERIES[name](spark, sf))
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert node not in text
+
+
+def test_row_checks_share_one_scan(spark, sf):
+    text = plan(QUERIES["scorecard_lineitem"](spark, sf))
+    assert text.count("FileScan") == 1
+    assert text.count("Exchange") == 1 and "Exchange SinglePartition" in text
+    assert "l_comment" not in text and "l_extendedprice" not in text
+
+
+def test_each_slice_of_each_row_check_shares_one_scan(spark, sf):
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    checks = [Check(1, NOT_NULL, "lang"), Check(2, IN_SET, "lang", {"value_set": ["en"]})]
+    text = plan(scorecard(documents, checks, by="source"))
+    assert text.count("FileScan") == 1 and "ReadSchema: struct<lang:string,source:string>" in text
+    assert "partial_count" in text
+
+
+def test_filters_reach_the_files(spark, sf):
+    text = plan(QUERIES["scan_run_slice"](spark, sf))
+    assert "EqualTo(source,src0)" in text
+    text = plan(QUERIES["failed_rows_in_set"](spark, sf))
+    assert "Not(In(o_orderstatus, [F,O]))" in text
+    text = plan(QUERIES["failed_rows_not_null"](spark, sf))
+    assert text.count("FileScan") == 2
+
+
+def test_slices_prune_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).withColumn("load", F.col("id") % 10).write.partitionBy("load").parquet(path)
+    jobs = [(1, "t", 0, "load", "3"), (2, "t", 0, "load", "7")]
+    ctl = control(spark, [(1, 1, "t", "id", "{}")], jobs)
+    results = run_jobs(spark, ctl, lambda schema, table: spark.read.parquet(path), "r")
+    text = plan(results.units[0].scores)
+    assert re.search(r"PartitionFilters: \[.*load.* IN \(3,7\)", text)
+    assert {r["scanned"] for r in results.details.collect()} == {10}
+
+
+def test_listed_values_are_limited_before_the_shuffle(spark, sf):
+    text = plan(QUERIES["scorecard_slices"](spark, sf))
+    assert re.search(r"WindowGroupLimit .*Partial", text)
+    assert "TakeOrderedAndProject" in plan(QUERIES["check_distinct_in_set"](spark, sf))
+
+
+def test_unique_check_shuffles_partial_counts(spark, sf):
+    text = plan(QUERIES["check_unique"](spark, sf))
+    assert "partial_count(1)" in text and "Window" not in text and "Expand" not in text
+    assert "ReadSchema: struct<o_custkey:bigint>" in text
+
+
+def test_repeated_rows_without_window(spark, sf, no_broadcast):
+    for name in ("failed_rows_unique", "failed_rows_unique_all"):
+        text = final_plan(QUERIES[name](spark, sf))
+        assert "Window" not in text
+        assert "ReusedExchange" in text  # the counts are shuffled once
+
+
+def test_aqe_can_split_what_is_not_salted(spark, no_broadcast):
+    """Both inputs of the join come straight from a shuffle, which is what AQE needs to split one."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        ids = spark.range(0, 60000, 1, 8)
+        rows = ids.withColumn("k", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 20000))
+        for mode in ("all", "extra"):
+            text = final_plan(repeated_rows(rows, ["k"], mode, ["id"]))
+            assert "skew=true" in text
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_hot_keys_are_spread(spark, no_broadcast):
+    """A key with a third of the rows goes to many partitions of the join."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ids = spark.range(0, 60000, 1, 8)
+        rows = ids.withColumn("k", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 20000))
+        out = repeated_rows(rows, ["k"], "all", ["id"], rows_per_salt=100)
+        parts = out.filter("k = -1").groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) == 8 and max(r["count"] for r in parts) < 20000 / 8 * 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_unique_failures_of_documents_shuffle_no_text_keys(spark, sf):
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    text = plan(scorecard(documents, [Check(1, UNIQUE, "text")]))
+    assert "sha2" in text
