@@ -23,7 +23,7 @@ def column(name: str) -> Column:
 
 def column_type(df: DataFrame, name: str | None) -> T.DataType:
     """Type of a top-level column; refuses a missing one with the names there are."""
-    if not name:
+    if not name or not isinstance(name, str):
         raise CheckError("the check needs a column")
     for spelled in (lambda s: s, str.lower):
         for fld in df.schema.fields:

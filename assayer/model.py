@@ -98,7 +98,10 @@ class Check:
 
     @property
     def row_condition(self) -> str | None:
-        return self.params.get("row_condition")
+        value = self.params.get("row_condition")
+        if value is not None and not isinstance(value, str):
+            raise CheckError("row_condition must be SQL text")
+        return value
 
 
 @dataclass(frozen=True)

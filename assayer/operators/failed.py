@@ -55,13 +55,10 @@ def tagged_rows(
     for check in checks:
         if registry.kind(check) == "unique":
             column_type(batch, check.column)
+            mode, tie = registry.repeated_row_options(batch, check)
             rows = batch.filter(check.row_condition) if check.row_condition else batch
-            repeated = repeated_rows(
-                rows,
-                [*([by] if by else []), check.column],
-                check.params.get("failed_rows", unique_mode),
-                check.params.get("tie_columns"),
-            )
+            keys = [*([by] if by else []), check.column]
+            repeated = repeated_rows(rows, keys, mode or unique_mode, tie)
             parts.append(
                 repeated.select("*", *[c.alias(n) for c, n in zip(_tags(check), [CONFIG, *names])])
             )

@@ -145,6 +145,18 @@ def expected_value(check: Check) -> int:
     return value
 
 
+def repeated_row_options(batch: DataFrame, check: Check) -> tuple[str | None, list[str] | None]:
+    """Which repeated rows a uniqueness check gives, and the columns that tell them apart."""
+    mode, tie = check.params.get("failed_rows"), check.params.get("tie_columns")
+    if mode not in (None, "all", "extra"):
+        raise CheckError("failed_rows must be 'all' or 'extra'")
+    if tie is not None and (not isinstance(tie, list) or not tie):
+        raise CheckError("tie_columns must be a list of column names")
+    for name in tie or []:
+        column_type(batch, name)
+    return mode, tie
+
+
 def _text_param(check: Check, key: str) -> str:
     value = check.params.get(key)
     if not isinstance(value, str):

@@ -139,6 +139,7 @@ def _row_scores(batch: DataFrame, checks: Sequence[Check], by: str | None) -> Da
 
 
 def _unique_scores(batch: DataFrame, check: Check, by: str | None) -> DataFrame:
+    registry.repeated_row_options(batch, check)
     totals = (
         _conditioned(batch, check)
         .groupBy(*_slice(batch, by), group_key(batch, check.column).alias("key"))

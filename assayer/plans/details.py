@@ -60,7 +60,9 @@ def details_wide(metrics: DataFrame) -> DataFrame:
     def value(metric: str) -> Column:
         return F.max(F.when(F.col("metric") == metric, F.col("value")))
 
-    wide = metrics.groupBy(*CHECK_KEYS).agg(
+    # Numbers first: where the aggregate sorts, it sorts by them without comparing texts.
+    keys = sorted(CHECK_KEYS, key=["job_id", "config_id"].count, reverse=True)
+    wide = metrics.groupBy(*keys).agg(
         value("success").cast("boolean").alias("expectation_status"),
         value("element_count").cast("bigint").alias("scanned"),
         value("unexpected_count").cast("bigint").alias("failure"),
@@ -111,6 +113,13 @@ def join_metrics(plan: DataFrame, packed: DataFrame) -> DataFrame:
     )
 
 
+def details_table(details: DataFrame) -> DataFrame:
+    """Details as the results table of a database has them."""
+    return details.select(
+        "job_id", "config_id", "expectation_status", "scanned", "success", "failure", "details"
+    )
+
+
 def suite_statistics(details: DataFrame) -> DataFrame:
     """Evaluated, successful and unsuccessful checks per run and job. A check without a status (its
     name is unknown, or it could not be run) is not counted as evaluated."""
@@ -169,9 +178,9 @@ def failed_checks(
     failed = details.filter(~F.col("expectation_status")).select(
         "job_id", "config_id", "expectation_status"
     )
+    # Configuration and catalogue first: what they make is small beside the details.
     return (
-        failed.join(config, "config_id")
-        .join(checks, "exp_id")
+        failed.join(config.join(checks, "exp_id"), "config_id")
         .join(jobs.drop("schema_name", "table_name"), "job_id")
         .select(
             "job_id",

@@ -15,7 +15,6 @@ from datetime import datetime, timezone
 from functools import cached_property, reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +51,11 @@ DETAILS_SCHEMA = (
     "run_id string, job_id bigint, expectation_name string, schema_name string, "
     f"table_name string, column_name string, {SCORE_SCHEMA}"
 )
+PLAN_SCHEMA = (
+    "run_id string, job_id bigint, job_name string, config_id bigint, exp_id bigint, "
+    "schema_name string, table_name string, column_name string, expectation_name string, "
+    "expectation_parameters string"
+)
 METRICS_SCHEMA = (
     "run_id string, job_id bigint, config_id bigint, expectation_name string, column_name string, "
     "metric string, value string"
@@ -191,6 +195,7 @@ class Results:
     spark: SparkSession
     run_id: str
     jobs: DataFrame
+    checks: DataFrame  # PLAN_SCHEMA: what is checked for which job
     unique_mode: str
     started: datetime
     ended: datetime | None = None
@@ -230,12 +235,13 @@ class Results:
         )
 
     def save(self, base: str) -> DataFrame:
-        """Write details, metrics, violating rows and the ledger's next snapshot under `base`, a
-        folder that all executors share.
+        """Write the planned checks, details, metrics of checks and suites, violating rows and the
+        ledger's next snapshot under `base`, a folder that all executors share.
 
         Each unit is written by itself, some at a time: one that raises ends its jobs as `Failed`,
         the others go on. Gives the ledger snapshot.
         """
+        sinks.write_partition(self.checks, f"{base}/checks", run_id=self.run_id)
         target = inheritable_thread_target(self.spark)(lambda unit: self._save_unit(unit, base))
         with ThreadPoolExecutor(CONCURRENT_UNITS) as pool:
             outcomes = list(pool.map(target, self.units))
@@ -256,6 +262,8 @@ class Results:
             sinks.write_partition(scored, f"{base}/details", **place)
             details = self.saved_details(base).filter(F.col(sinks.BATCH) == label)
             sinks.write_partition(D.metrics_long(details), f"{base}/metrics", **place)
+            suites = D.suite_metrics_long(D.suite_statistics(details))
+            sinks.write_partition(suites, f"{base}/suite_metrics", **place)
             run_tag = tag_names(unit.batch.columns)[2]
             sinks.write_partition(
                 unit.failed(self.run_id, self.unique_mode, details),
@@ -279,6 +287,16 @@ class Results:
         saved = sinks.read_partitions(self.spark, f"{base}/metrics", METRICS_SCHEMA, partitions)
         return saved.filter(F.col("run_id") == self.run_id)
 
+    def saved_suite_metrics(self, base: str) -> DataFrame:
+        schema = "run_id string, job_id bigint, metric string, value string"
+        partitions = f"run_id, {sinks.BATCH}"
+        saved = sinks.read_partitions(self.spark, f"{base}/suite_metrics", schema, partitions)
+        return saved.filter(F.col("run_id") == self.run_id)
+
+    def saved_checks(self, base: str) -> DataFrame:
+        saved = sinks.read_partitions(self.spark, f"{base}/checks", PLAN_SCHEMA, "run_id")
+        return saved.filter(F.col("run_id") == self.run_id)
+
     def saved_failed(self, base: str, unit: Unit) -> DataFrame:
         run_tag = tag_names(unit.batch.columns)[2]
         return sinks.read_partitions(
@@ -309,9 +327,11 @@ def run_jobs(
     plan = C.job_plan(C.active_checks(control.config, control.checks), pending)
     planned_jobs = pending.join(plan.select("job_id").distinct(), "job_id", "left_semi")
 
-    results = Results(
-        spark, run_id, control.jobs, unique_mode, started or datetime.now(timezone.utc), ended
+    checks = plan.select(
+        F.lit(run_id).alias("run_id"), *T.StructType.fromDDL(PLAN_SCHEMA).names[1:]
     )
+    started = started or datetime.now(timezone.utc)
+    results = Results(spark, run_id, control.jobs, checks, unique_mode, started, ended)
     local_jobs = _local_jobs(planned_jobs)
     for number, (key, rows) in enumerate(_checks_by_unit(plan).items()):
         few = local_jobs[key] if len(local_jobs[key]) <= LOCAL_JOBS else None
@@ -324,7 +344,7 @@ def run_jobs(
             jobs = local_frame(spark, few, "job_id bigint, pipeline_run_id string")
         try:
             results.units.append(_unit(results, number, key, rows, jobs, few, tables))
-        except (CheckError, PySparkException) as error:
+        except Exception as error:  # of a table's source, say: it ends this unit only
             results.errors[f"{key[0]}.{key[1]}"] = str(error)
             results.broken.append(_failed_jobs(jobs, run_id, str(error)))
     return results
@@ -421,7 +441,7 @@ def _parsed(rows: Sequence) -> tuple[list[Check], dict[int, str]]:
     for row in rows:
         try:
             check = Check.from_row(row)
-            check.mostly
+            check.mostly, check.row_condition
         except CheckError as error:
             text = row["expectation_parameters"]
             check = Check(row["config_id"], row["expectation_name"], row["column_name"], {}, text)
@@ -440,11 +460,11 @@ def _scores(batch, checks, invalid, by, slices) -> DataFrame | None:
     usable = [c for c in checks if c.config_id not in invalid]
     try:
         return build(usable) if usable else None
-    except (CheckError, PySparkException):
+    except Exception:  # registered checks may raise anything
         for check in usable:
             try:
                 build([check])
-            except (CheckError, PySparkException) as error:
+            except Exception as error:
                 invalid[check.config_id] = str(error)
     usable = [c for c in usable if c.config_id not in invalid]
     return build(usable) if usable else None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,9 +21,17 @@ def catalog_tables(spark: SparkSession) -> Tables:
     return lambda schema, table: spark.table(f"{quoted(schema)}.{quoted(table)}")
 
 
-def jdbc_tables(spark: SparkSession, url: str, **options) -> Tables:
-    """Tables of a database; `options` as for `read_jdbc`. Filters and columns are pushed down."""
-    return lambda schema, table: read_jdbc(spark, url, table=f"{schema}.{table}", **options)
+def jdbc_tables(
+    spark: SparkSession, url: str, by_table: Mapping[str, Mapping] | None = None, **options
+) -> Tables:
+    """Tables of a database; `options` as for `read_jdbc`, and `by_table` those of single tables, such
+    as how to split them. Filters and columns are pushed down."""
+
+    def table(schema: str, name: str) -> DataFrame:
+        full = f"{schema}.{name}"
+        return read_jdbc(spark, url, table=full, **{**options, **(by_table or {}).get(full, {})})
+
+    return table
 
 
 def run_slice(table: DataFrame, run_column: str, run_value) -> DataFrame:

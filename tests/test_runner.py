@@ -3,7 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from assayer import run_jobs
+from assayer import register_row_check, run_jobs
 from assayer.catalog import fixture
 from assayer.model import (
     CHECKS_SCHEMA,
@@ -99,6 +99,11 @@ def test_metrics_agree_with_details(saved):
     }
     assert metrics[102, "unexpected_count"] == "5088" and metrics[102, "success"] == "false"
     assert metrics[108, "observed_value"] == "6" and (108, "element_count") not in metrics
+    suites = {(r["job_id"], r["metric"]): r["value"] for r in results.saved_suite_metrics(base).collect()}
+    assert suites[1, "successful_expectations"] == "2" and suites[1, "success_percent"] == "50.0"
+    checks = results.saved_checks(base)
+    assert checks.filter("job_id = 8").count() == 3 and checks.filter("config_id = 111").isEmpty()
+    assert checks.count() == 15
     statistics = {r["job_id"]: r for r in results.statistics.collect()}
     assert statistics[1]["success_percent"] == 50.0
     assert statistics[2]["evaluated_expectations"] == 2
@@ -186,7 +191,9 @@ def test_slices(spark, loads, monkeypatch, local_jobs):
     assert full.filter(F.col("expectation_name") == IN_SET).count() == 2
 
 
-def test_tolerated_violations_are_no_failed_rows(spark, loads):
+@pytest.mark.parametrize("local_jobs", [500, 1])
+def test_tolerated_violations_are_no_failed_rows(spark, loads, monkeypatch, tmp_path, local_jobs):
+    monkeypatch.setattr(runner, "LOCAL_JOBS", local_jobs)
     config = [(1, 2, "t", "v", '{"value_set":["a","c"],"mostly":0.5}'), (2, 1, "t", "v", "{}")]
     jobs = [(1, "t", 1, None, None), (2, "t", 0, "load", "2"), (3, "t", 0, "load", "3")]
     results = run_jobs(spark, control(spark, config, jobs), loads, "r")
@@ -194,6 +201,11 @@ def test_tolerated_violations_are_no_failed_rows(spark, loads):
     assert [r["expectation_name"] for r in full] == [NOT_NULL]
     sliced = results.failed["s", "t", "slices of load"].collect()
     assert [(r["load"], r["expectation_name"]) for r in sliced] == [(2, IN_SET)] * 2
+    results.save(str(tmp_path))
+    for unit in results.units:
+        rows = results.saved_failed(str(tmp_path), unit).collect()
+        assert len(rows) == (2 if unit.by else 1)
+        assert {r["expectation_name"] for r in rows} == {IN_SET if unit.by else NOT_NULL}
 
 
 def test_invalid_checks_do_not_stop_others(spark, loads):
@@ -205,16 +217,23 @@ def test_invalid_checks_do_not_stop_others(spark, loads):
         (5, 1, "t", "v", '{"row_condition":"((("}'),
         (6, 3, "t", None, '{"query":"SELECT nothing FROM {active_batch}","value":1}'),
         (7, 1, "t", "v", '{"mostly":7}'),
+        (8, 1, "t", "v", '{"row_condition":5}'),
+        (9, 4, "t", "v", '{"tie_columns":["nope"]}'),
+        (10, 4, "t", "v", '{"failed_rows":"some"}'),
+        (11, 5, "t", "v", "{}"),
     ]
-    results = run_jobs(spark, control(spark, config, [(1, "t", 1, None, None)]), loads, "r")
+    register_row_check("test_needs_limit", lambda col, params: col > params["limit"])
+    names = [(1, NOT_NULL), (2, IN_SET), (3, QUERIED_UNIQUE), (4, UNIQUE), (5, "test_needs_limit")]
+    ctl = control(spark, config, [(1, "t", 1, None, None)], names)
+    results = run_jobs(spark, ctl, loads, "r")
     rows = by_job(results)
     assert rows[1, 1]["failure"] == 1
-    for check in range(2, 8):
+    for check in range(2, 12):
         assert rows[1, check]["expectation_status"] is None
         assert rows[1, check]["details"].startswith("invalid check: ")
     status, message = outcomes(results)[1]
     assert status == "Failed"
-    assert message == "0/1 Validations Passed; invalid checks: 2, 3, 4, 5, 6, 7"
+    assert message == "0/1 Validations Passed; invalid checks: 2, 3, 4, 5, 6, 7, 8, 9, 10, 11"
 
 
 def test_only_invalid_checks(spark, loads):
