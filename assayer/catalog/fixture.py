@@ -62,21 +62,19 @@ JOBS = [
 ]
 
 
-def control(spark: SparkSession) -> Control:
+def control(
+    spark: SparkSession, checks=CHECKS, config=CONFIG, jobs: DataFrame | None = None
+) -> Control:
+    """Control tables from rows as above; `jobs` replaces the ledger."""
+    if jobs is None:
+        rows = [
+            (i, n, "main", t, full, run_col, run_val, None, status, None, None, None)
+            for i, n, t, full, run_col, run_val, status in JOBS
+        ]
+        jobs = local_frame(spark, rows, JOBS_SCHEMA)
+    rows = [(c, e, "main", t, col, p, f) for c, e, t, col, p, f in config]
     return Control(
-        local_frame(spark, CHECKS, CHECKS_SCHEMA),
-        local_frame(
-            spark,
-            [(c, e, "main", t, col, p, f) for c, e, t, col, p, f in CONFIG], CONFIG_SCHEMA
-        ),
-        local_frame(
-            spark,
-            [
-                (i, n, "main", t, full, run_col, run_val, None, status, None, None, None)
-                for i, n, t, full, run_col, run_val, status in JOBS
-            ],
-            JOBS_SCHEMA,
-        ),
+        local_frame(spark, checks, CHECKS_SCHEMA), local_frame(spark, rows, CONFIG_SCHEMA), jobs
     )
 
 

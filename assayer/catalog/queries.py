@@ -838,3 +838,104 @@ def run_scorecard(spark, sf_dir):
 )
 def run_ledger(spark, sf_dir):
     return _run(spark, sf_dir).ledger.select("job_id", "run_id", "job_status", "status_msg")
+
+
+ORDERS_UNIQUE = Check(104, UNIQUE, "o_custkey", {}, "{}")
+ORDERS_SET = Check(102, IN_SET, "o_orderstatus", {}, '{"value_set":["O","F"]}')
+
+
+@query(
+    _failed_sql("orders", "o_orderstatus NOT IN ('O', 'F')", ORDERS_SET)
+    + " UNION ALL "
+    + _failed_sql(
+        "orders",
+        """o_custkey IS NOT NULL QUALIFY row_number() OVER (PARTITION BY o_custkey
+          ORDER BY o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+            o_orderpriority) > 1""",
+        ORDERS_UNIQUE,
+    )
+)
+def run_failed_rows(spark, sf_dir):
+    return _run(spark, sf_dir).failed["main", "orders", "full"]
+
+
+SLICE_CONFIG = [
+    (501, 2, "documents", "lang", '{"value_set":["en","de"]}', 1),
+    (502, 7, "documents", "text", '{"substring":"the","mostly":0.5}', 1),
+    (503, 4, "documents", "text", "{}", 1),
+    (504, 3, "documents", "lang", '{"value_set":["en","de","fr"]}', 1),
+    (505, 8, "documents", None, '{"columns":["lang","text"],"value":0}', 1),
+]
+
+
+def _slice_jobs(documents: DataFrame) -> DataFrame:
+    """A job per source of the documents."""
+    job = documents.groupBy("source").agg(F.min("doc_id").alias("job_id"))
+    none = [
+        F.lit(None).cast(t).alias(n)
+        for n, t in [
+            ("run_id", "string"),
+            ("job_status", "string"),
+            ("status_msg", "string"),
+            ("execution_start_time", "timestamp"),
+            ("execution_end_time", "timestamp"),
+        ]
+    ]
+    return job.select(
+        "job_id",
+        F.concat(F.lit("load of "), "source").alias("job_name"),
+        F.lit("main").alias("schema_name"),
+        F.lit("documents").alias("table_name"),
+        F.lit(0).alias("full_table"),
+        F.lit("source").alias("pipeline_run_id_name"),
+        F.col("source").alias("pipeline_run_id"),
+        *none,
+    )
+
+
+@query(f"""WITH jobs AS (SELECT min(doc_id) AS job_id, source FROM documents GROUP BY source),
+    scores AS (
+      SELECT source, 501::bigint AS config_id, '{IN_SET}' AS expectation_name, 'lang' AS column_name,
+        bool_and(lang IN ('en', 'de')) AS expectation_status, count(*) AS scanned,
+        count(*) FILTER (WHERE lang NOT IN ('en', 'de')) AS failure, NULL::varchar AS details
+      FROM documents GROUP BY source
+      UNION ALL
+      SELECT source, 502, '{CONTAINS}', 'text',
+        count(*) FILTER (WHERE contains(text, 'the'))::double / count(*) >= 0.5, count(*),
+        count(*) FILTER (WHERE NOT contains(text, 'the')), NULL
+      FROM documents GROUP BY source
+      UNION ALL
+      SELECT source, 503, '{UNIQUE}', 'text', bool_and(n = 1), sum(n)::bigint,
+        coalesce(sum(n) FILTER (WHERE n > 1), 0)::bigint, NULL
+      FROM (SELECT source, text, count(*) AS n FROM documents GROUP BY ALL) GROUP BY source
+      UNION ALL
+      SELECT source, 504, '{DISTINCT_IN_SET}', 'lang', bool_and(lang IN ('en', 'de', 'fr')), count(*),
+        count(*) FILTER (WHERE lang NOT IN ('en', 'de', 'fr')), to_json(list(lang ORDER BY lang))::varchar
+      FROM (SELECT DISTINCT source, lang FROM documents) GROUP BY source
+      UNION ALL
+      SELECT source, 505, '{QUERIED_UNIQUE}', NULL, max(n) = 1, NULL, NULL,
+        (CASE WHEN max(n) > 1 THEN max(n) ELSE 0 END)::varchar
+      FROM (SELECT source, count(*) AS n FROM documents GROUP BY source, lang, text) GROUP BY source)
+    SELECT '{RUN}' AS run_id, job_id, expectation_name, 'main' AS schema_name,
+      'documents' AS table_name, column_name, config_id, expectation_status, scanned,
+      scanned - failure AS success, failure, details
+    FROM jobs JOIN scores USING (source)""")
+def run_slices(spark, sf_dir):
+    jobs = _slice_jobs(_table(spark, sf_dir, "documents"))
+    control = fixture.control(spark, fixture.CHECKS, SLICE_CONFIG, jobs)
+    return run_jobs(spark, control, fixture.tables(spark, sf_dir), RUN).details
+
+
+@query(
+    G.with_tables(G.DETAILS)
+    + """SELECT run_id, job_id, unnest([
+        {'metric': 'evaluated_expectations', 'value': n::varchar},
+        {'metric': 'successful_expectations', 'value': ok::varchar},
+        {'metric': 'unsuccessful_expectations', 'value': (n - ok)::varchar}], recursive := true)
+    FROM (SELECT run_id, job_id, count(expectation_status) AS n,
+      count(*) FILTER (WHERE expectation_status) AS ok FROM details GROUP BY 1, 2)"""
+)
+def suite_metrics_long(spark, sf_dir):
+    # The percentage is left out here: the engines spell fractions differently.
+    long = D.suite_metrics_long(D.suite_statistics(_details(spark, sf_dir)))
+    return long.filter("metric <> 'success_percent'")

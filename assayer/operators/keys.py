@@ -22,6 +22,8 @@ ROWS_PER_SALT = 1_000_000
 # Only the most frequent keys are salted, which bounds the broadcast; the largest key left out holds
 # at most 1/HOT_KEYS of the rows, and AQE may still split it.
 HOT_KEYS = 10_000
+# So many copies of one row are written by one task.
+COPIES_PER_TASK = 100_000
 
 
 def duplicate_groups(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -132,21 +134,44 @@ def _salted(rows, row_names, spread, counts, key_names, rows_per_salt):
     return salted_rows, salted_counts
 
 
+def _is_plain(dtype: T.DataType) -> bool:
+    """Whether values of a type can be hashed and ordered."""
+    return not any(t in dtype.simpleString() for t in ("map<", "variant"))
+
+
 def _hashable(rows: DataFrame) -> list[Column]:
-    return [
-        column(f.name) for f in rows.schema.fields if "map<" not in f.dataType.simpleString()
-    ]
+    return [column(f.name) for f in rows.schema.fields if _is_plain(f.dataType)]
 
 
 def _all_but_least(repeated: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Repeated rows less one per key: a multiset difference, so copies are counted out exactly."""
     for fld in repeated.schema.fields:
-        if "map<" in fld.dataType.simpleString() or isinstance(fld.dataType, T.VariantType):
+        if not _is_plain(fld.dataType):
             raise CheckError(f"name tie columns: {fld.name!r} cannot be ordered")
     names = repeated.columns
     least = (
         repeated.groupBy(*map(column, keys))
         .agg(F.min(F.struct(*map(column, names))).alias("__least"))
-        .select(*[F.col("__least").getField(n).alias(n) for n in names])
+        .select(*[F.col("__least").getField(n).alias(n) for n in names], F.lit(-1).alias("__n"))
+    )
+    left = (
+        repeated.withColumn("__n", F.lit(1))
+        .unionByName(least)
+        .groupBy(*map(column, names))
+        .agg(F.sum("__n").alias("__n"))
+    )
+    return _copied(left, names)
+
+
+def _copied(counted: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Each row as often as `__n` says. Many copies of one row are dealt out to many tasks."""
+    few = counted.filter((F.col("__n") > 0) & (F.col("__n") <= COPIES_PER_TASK))
+    many = (
+        counted.filter(F.col("__n") > COPIES_PER_TASK)
+        .withColumn("__from", F.explode(F.expr(f"sequence(0L, __n - 1, {COPIES_PER_TASK}L)")))
+        .repartition(*map(column, names), "__from")
+        .withColumn("__n", F.least(F.col("__n") - F.col("__from"), F.lit(COPIES_PER_TASK)))
+        .drop("__from")
     )
-    return repeated.exceptAll(least)
+    copies = F.explode(F.expr("sequence(1L, __n)"))
+    return few.unionByName(many).withColumn("__copy", copies).select(*map(column, names))

@@ -3,9 +3,9 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import types as T
 
-from assayer import Check, CheckError, failed_rows
+from assayer import Check, CheckError, failed_rows, scorecard
 from assayer.model import CONTAINS, DISTINCT_IN_SET, IN_SET, NOT_NULL, QUERIED_UNIQUE, UNIQUE
-from assayer.operators import registry
+from assayer.operators import keys, registry
 from assayer.operators.failed import failed_schema
 from assayer.operators.keys import repeated_rows
 
@@ -48,8 +48,6 @@ def test_repeated_rows_under_skew(spark, mode, tie, rows_per_salt):
 
 
 def test_more_hot_keys_than_are_salted(spark, monkeypatch):
-    from assayer.operators import keys
-
     monkeypatch.setattr(keys, "HOT_KEYS", 2)
     rows = [(i, f"k{i % 9}", 0) for i in range(900)]
     df = spark.createDataFrame(rows, "id int, k string, n int")
@@ -57,7 +55,9 @@ def test_more_hot_keys_than_are_salted(spark, monkeypatch):
     assert got == brute(rows, 1, "extra")
 
 
-def test_copies_are_counted_out(spark):
+@pytest.mark.parametrize("copies_per_task", [2, 3, 100_000])
+def test_copies_are_counted_out(spark, monkeypatch, copies_per_task):
+    monkeypatch.setattr(keys, "COPIES_PER_TASK", copies_per_task)
     rows = [("a", 1)] * 5 + [("b", 1), ("b", 2)] + [("c", 1)] + [(None, 1)] * 3
     df = spark.createDataFrame(rows, "k string, n int")
     assert Counter(map(tuple, repeated_rows(df, ["k"]).collect())) == Counter(
@@ -153,7 +153,5 @@ def test_long_texts_are_told_apart(spark):
     assert ids == [0, 1, 3, 4]
     extra = repeated_rows(df, ["v"], "extra", ["id"]).collect()
     assert sorted(r["id"] for r in extra) == [1, 4]
-    from assayer import scorecard
-
     (row,) = scorecard(df, [Check(1, UNIQUE, "v")]).collect()
     assert (row["scanned"], row["failure"]) == (8, 4)
