@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -44,9 +44,14 @@ def failed_rows(
 
 
 def tagged_rows(
-    batch: DataFrame, checks: Sequence[Check], by: str | None, unique_mode: str
+    batch: DataFrame,
+    checks: Sequence[Check],
+    by: str | None,
+    unique_mode: str,
+    failures: Mapping[int, int] | None = None,
 ) -> DataFrame:
-    """Violating rows with the check's name, parameters and config id."""
+    """Violating rows with the check's name, parameters and config id. `failures` tells how many there
+    are per config id, where the checks have been scored."""
     names = tag_names(batch.columns)
     parts = []
     row_level = [c for c in checks if registry.has_row_violations(c)]
@@ -58,7 +63,14 @@ def tagged_rows(
             mode, tie = registry.repeated_row_options(batch, check)
             rows = batch.filter(check.row_condition) if check.row_condition else batch
             keys = [*([by] if by else []), check.column]
-            repeated = repeated_rows(rows, keys, mode or unique_mode, tie)
+            known = (failures or {}).get(check.config_id)
+            repeated = repeated_rows(
+                rows,
+                keys,
+                mode or unique_mode,
+                tie,
+                keys_at_most=None if known is None else known // 2,
+            )
             parts.append(
                 repeated.select("*", *[c.alias(n) for c, n in zip(_tags(check), [CONFIG, *names])])
             )

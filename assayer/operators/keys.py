@@ -3,18 +3,20 @@
 Counting is a plain `groupBy(key).count()`: partial aggregation leaves one row per key and task
 before the shuffle, so a key that holds a third of the table is no hot spot. Fetching the repeated
 rows needs the rows next to their key's count, and there a hot key would be one: its rows are spread
-over as many salts as it has millions of rows.
+over as many salts as it has millions of rows. Where a count has already told that few keys repeat, they
+are broadcast and the rows stay where they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayer.functions.columns import column, group_key
+from assayer.functions.columns import column, column_type, group_key
 from assayer.model import CheckError
 
 # A key with more rows than this gets one salt per so many rows.
@@ -22,6 +24,9 @@ ROWS_PER_SALT = 1_000_000
 # Only the most frequent keys are salted, which bounds the broadcast; the largest key left out holds
 # at most 1/HOT_KEYS of the rows, and AQE may still split it.
 HOT_KEYS = 10_000
+# Repeated keys are broadcast when they are known to be at most so many; with text keys as digests and
+# fixed-width ties that is some 100 bytes each.
+BROADCAST_KEYS = 500_000
 # So many copies of one row are written by one task.
 COPIES_PER_TASK = 100_000
 
@@ -41,24 +46,27 @@ def repeated_rows(
     mode: str = "extra",
     tie: Sequence[str] | None = None,
     rows_per_salt: int = ROWS_PER_SALT,
+    keys_at_most: int | None = None,
 ) -> DataFrame:
     """Rows whose `keys` (none NULL) occur more than once.
 
     mode "all" gives every row of such a key, "extra" all but one. Which one is left out is decided by
     `tie`, columns that tell a key's rows apart: the row with the least tie stays. Without `tie` the
     least row by all its columns stays, which also holds for rows that are copies of each other.
+    `keys_at_most` is how many keys can repeat, where that is known.
     """
     if mode not in ("all", "extra"):
         raise CheckError(f"mode must be 'extra' or 'all', not {mode!r}")
     if mode == "extra" and not tie:
-        return _all_but_least(repeated_rows(rows, keys, "all", None, rows_per_salt), keys)
+        every = repeated_rows(rows, keys, "all", None, rows_per_salt, keys_at_most)
+        return _all_but_least(every, keys)
 
     for key in keys:
         rows = rows.filter(column(key).isNotNull())
     names = rows.columns
     key_names = [f"__k{i}" for i in range(len(keys))]
     row_names = [f"__r{i}" for i in range(len(keys))]
-    row_keys = [group_key(rows, k) for k in keys]
+    row_keys = [_filled(rows, k) for k in keys]
     least = []
     if mode == "extra":
         least = [F.min(_tie(tie)).alias("__least"), F.count(_tie(tie)).alias("__ties")]
@@ -67,13 +75,19 @@ def repeated_rows(
         .agg(F.count(F.lit(1)).alias("__n"), *least)
         .filter("__n > 1")
     )
+    if least:
+        counts = counts.withColumn("__has_null", F.col("__n") > F.col("__ties"))
+    few = keys_at_most is not None and keys_at_most <= BROADCAST_KEYS
+    few = few and _is_narrow(rows, [*keys, *(tie or [])], tie or [])
     spread = [column(c) for c in tie] if tie else _hashable(rows)
     rows = rows.withColumns(dict(zip(row_names, row_keys)))
-    rows, counts = _salted(rows, row_names, spread, counts, key_names, rows_per_salt)
-
-    same = F.col("__salt") == F.col("__key_salt")
-    for row_name, key_name in zip(row_names, key_names):
-        same = same & (F.col(row_name) == F.col(key_name))
+    pairs = list(zip(row_names, key_names))
+    if few:
+        counts = F.broadcast(counts.drop("__n", "__ties"))
+    else:
+        rows, counts = _salted(rows, row_names, spread, counts, key_names, rows_per_salt)
+        pairs.append(("__salt", "__key_salt"))
+    same = reduce(Column.__and__, [F.col(left) == F.col(right) for left, right in pairs])
     if mode == "all":
         joined = rows.join(counts, same, "left_semi")
     else:
@@ -83,6 +97,13 @@ def repeated_rows(
     return joined.select(*map(column, names))
 
 
+def _filled(rows: DataFrame, name: str) -> Column:
+    """A grouping key of rows without NULL keys. Saying so spares the joins a NULL filter, which would
+    compute the digests of texts once more."""
+    key = group_key(rows, name)
+    return F.coalesce(key, F.lit("")) if column_type(rows, name) == T.StringType() else key
+
+
 def _tie(tie: Sequence[str]) -> Column:
     # A single column keeps min() a hash aggregate; a struct makes it a sort aggregate.
     return column(tie[0]) if len(tie) == 1 else F.struct(*map(column, tie))
@@ -99,7 +120,6 @@ def _salted(rows, row_names, spread, counts, key_names, rows_per_salt):
     tied = F.lit(True)
     if "__ties" in counts.columns:
         tied = F.col("__least").isNotNull() & (F.col("__ties") > 0)
-        counts = counts.withColumn("__has_null", F.col("__n") > F.col("__ties"))
     hot = (
         counts.filter((F.col("__n") > rows_per_salt) & tied)
         .select(
@@ -134,6 +154,16 @@ def _salted(rows, row_names, spread, counts, key_names, rows_per_salt):
     return salted_rows, salted_counts
 
 
+def _is_narrow(rows: DataFrame, names: Sequence[str], kept_whole: Sequence[str]) -> bool:
+    """Whether keys and ties are of bounded width; texts are, as keys, by their digest."""
+    fixed = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+    return all(
+        isinstance(column_type(rows, n), fixed)
+        or (column_type(rows, n) == T.StringType() and n not in kept_whole)
+        for n in names
+    )
+
+
 def _is_plain(dtype: T.DataType) -> bool:
     """Whether values of a type can be hashed and ordered."""
     return not any(t in dtype.simpleString() for t in ("map<", "variant"))

@@ -102,15 +102,17 @@ class Unit:
         """Rows that broke a failed check. With the unit's saved `details` only the checks that did
         fail are looked at; without, which ones failed is found in the same query."""
         checks = self.usable()
-        failing = None
+        failing, failures = None, {}
         if details is not None:
-            failing = details.filter(~F.col("expectation_status")).select("job_id", "config_id")
-            ids = {r[0] for r in failing.select("config_id").distinct().collect()}
-            checks = [c for c in checks if c.config_id in ids]
-            failing = failing.join(self.jobs, "job_id").select("config_id", "slice").distinct()
+            failed = F.count_if(~F.col("expectation_status")).alias("failed")
+            counted = details.groupBy("config_id").agg(failed, F.sum("failure").alias("rows"))
+            failures = {r["config_id"]: r["rows"] for r in counted.filter("failed > 0").collect()}
+            checks = [c for c in checks if c.config_id in failures]
+            failing = details.filter(~F.col("expectation_status")).join(self.jobs, "job_id")
+            failing = failing.select("config_id", "slice").distinct()
         if not any(registry.kind(c) in ("row", "distinct", "unique") for c in checks):
             return self.batch.sparkSession.createDataFrame([], failed_schema(self.batch.schema))
-        rows = tagged_rows(self.batch, checks, self.by, unique_mode)
+        rows = tagged_rows(self.batch, checks, self.by, unique_mode, failures)
         # Only with a tolerance may a check succeed in spite of violations; that of a whole table,
         # once known, is left out above.
         if any(c.mostly < 1 for c in checks) and (self.by or failing is None):

@@ -126,6 +126,15 @@ def test_hot_keys_are_spread(spark, no_broadcast):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_few_known_keys_leave_the_rows_in_place(spark, sf):
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    for mode in ("all", "extra"):
+        text = plan(repeated_rows(orders, ["o_custkey"], mode, ["o_orderkey"], keys_at_most=1500))
+        assert "SortMergeJoin" not in text and text.count("Exchange hashpartitioning") == 1
+    text = plan(repeated_rows(orders, ["o_custkey"], "extra", ["o_orderstatus"], keys_at_most=1500))
+    assert "__salt" in text  # a text tie has no bounded width
+
+
 def test_unique_failures_of_documents_shuffle_no_text_keys(spark, sf):
     documents = spark.read.parquet(f"{sf}/documents.parquet")
     text = plan(scorecard(documents, [Check(1, UNIQUE, "text")]))
