@@ -459,7 +459,9 @@ def _scores(batch, checks, invalid, by, slices) -> DataFrame | None:
         scores = scorecard(batch, some, by, slices)
         return scores.withColumn("slice", F.col("slice").cast("string"))
 
-    usable = [c for c in checks if c.config_id not in invalid]
+    # Unknown names are planned without a status and need no look at the table.
+    known = [c for c in checks if registry.kind(c) is not None]
+    usable = [c for c in known if c.config_id not in invalid]
     try:
         return build(usable) if usable else None
     except Exception:  # registered checks may raise anything
