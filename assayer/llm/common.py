@@ -20,6 +20,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """text, and all other columns as the struct `row`, so that columns of any name pass through an operator."""
+    return docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row"))
+
+
+def unpacked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns that `packed` put away, in their order."""
+    return df.select(*(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in columns))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`, which driver and executors share; in local mode one is made if none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -107,6 +117,7 @@ def components(links: DataFrame) -> DataFrame:
         now = edges.agg(
             F.count("*"), F.sum(F.col("u").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)"))
         ).first()
-        if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        if now == before or not now[0]:
+            roots = edges.select("v", "v").distinct()
+            return edges.union(roots).toDF("node", "root")
         before = now

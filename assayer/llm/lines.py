@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayer.llm.common import kept
+from assayer.llm.common import kept, packed, unpacked
 
 STRIP = b" \t\n\x0b\x0c\r"
 #: Keys that one shard of the hash holds on average.
@@ -179,7 +179,7 @@ def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def deduplicated(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """doc_id, n_lines, n_dropped, text (of the lines that stay) and row (the input row) for every row of `docs` (doc_id, text).
+    """doc_id, n_lines, n_dropped, text (of the lines that stay) and row (the columns beside text) of every row of `docs`.
 
     A line's key is the line without white space at its ends, in lower case (A-Z only). Keys of at least `least_chars` code
     points found in at least `least_docs` documents lose all their lines except in the largest doc_id that has them; there all
@@ -197,18 +197,20 @@ def deduplicated(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, br
     keys = counts.count()
     shards = max(1, -(-keys // SHARD_KEYS))
     arrays = kept(shard_arrays(counts, shards), "line-arrays")
-    packed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.struct("*").alias("row"))
+    rows = packed(docs)
+    row_field = rows.schema["row"]
+    rows = rows.select(F.col("row.doc_id").cast("bigint").alias("doc_id"), "text", "row")
     if keys * SLOT_BYTES <= broadcast_bytes:
         hashes = spark.sparkContext.broadcast({r["shard"]: r.asDict() for r in arrays.collect()})
 
         def repeated(high, low, doc, known):
             return _probe(lambda s: hashes.value.get(s), shards, high, low, doc, known, least_docs)
 
-        marked = packed.withColumn("drops", F.lit(None).cast("array<binary>"))
+        marked = rows.withColumn("drops", F.lit(None).cast("array<binary>"))
     else:
         repeated = None
         drops = _probed_in_shards(docs, arrays, shards, least_chars, least_docs)
-        marked = packed.alias("d").join(drops.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")), "left")
+        marked = rows.alias("d").join(drops.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")), "left")
         marked = marked.select("d.*", "h.drops")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,12 +242,8 @@ def deduplicated(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, br
                 names=["doc_id", "n_lines", "n_dropped", "text", "row"],
             )
 
-    return marked.mapInArrow(cut, _out_schema(packed))
-
-
-def _out_schema(packed: DataFrame):
-    fields = [T.StructField("doc_id", T.LongType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
-    return T.StructType([*fields, T.StructField("text", T.StringType()), packed.schema["row"]])
+    fields = [T.StructField(n, T.LongType()) for n in ("doc_id", "n_lines", "n_dropped")]
+    return marked.mapInArrow(cut, T.StructType([*fields, T.StructField("text", T.StringType()), row_field]))
 
 
 def _probe(shard_row, shards: int, high, low, doc, known, least: int) -> np.ndarray:
@@ -306,3 +304,9 @@ def digest(result: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_sha256 of `deduplicated`."""
     return result.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """`docs` with the lines that stay, and n_chars (if there is one) of what is left. A text that loses all its lines is ''."""
+    result = unpacked(deduplicated(docs), docs.columns)
+    return result.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else result

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from assayer.llm import lines, sharding
+from assayer.llm import lines, packing, quality, sharding, simhash
 from assayer.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +78,32 @@ s AS (
     FROM b)
 SELECT *, row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot FROM s"""
 
+# --- 2: packing ----------------------------------------------------------------------------------
+
+
+@query
+def op2_packed_windows(spark, sf_dir):
+    return packing.packed(documents(spark, sf_dir), with_ids=False)
+
+
+# --- 3: quality rules ----------------------------------------------------------------------------
+
+
+@query
+def op3_adaptive_quality(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", "source")
+    return quality.judged(docs, with_text=False).select("row.doc_id", *quality.STATS, "base_failed", "kept")
+
+
+# --- 6: near-duplicates --------------------------------------------------------------------------
+
+
+@query
+def op6_simhash_groups(spark, sf_dir):
+    groups = simhash.grouped(documents(spark, sf_dir))
+    return groups.withColumn("fingerprint", simhash.hex_fingerprint("fingerprint"))
+
+
 # --- 10: line dedup ------------------------------------------------------------------------------
 
 
