@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import lines, packing, quality, sharding, simhash
+from assayer.llm import fingerprints, lines, mixing, packing, quality, sharding, simhash, warc
 from assayer.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,112 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(c.key)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
 FROM k LEFT JOIN c ON k.key = c.key AND k.doc_id <> c.owner
 GROUP BY doc_id"""
+
+# --- 4: WARC -------------------------------------------------------------------------------------
+
+
+@query
+def op4_warc_round_trip(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return warc.round_trip(pages, with_payload=False).drop("url")
+
+
+ORACLE["op4_warc_round_trip"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS least FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > least THEN least END AS refers_to
+FROM f"""
+
+# --- 5: fingerprints -----------------------------------------------------------------------------
+
+
+@query
+def op5_bottom_k(spark, sf_dir):
+    compared = fingerprints.compared_with_edited(documents(spark, sf_dir))
+    return compared.withColumns(
+        {
+            "fingerprint": fingerprints.text_form(F.col("sketch")),
+            "edited_fingerprint": fingerprints.text_form(F.col("edited_sketch")),
+        }
+    ).drop("sketch", "edited_sketch")
+
+
+# --- 9: mixing -----------------------------------------------------------------------------------
+
+
+@query
+def op9_source_mix(spark, sf_dir):
+    return mixing.mixed(documents(spark, sf_dir), mixing.DEFAULT, mixing.source_domain())
+
+
+def _mix_sql(mix: mixing.Mix) -> str:
+    def weight(level: int) -> str:
+        name = " || '/' || ".join(f"coalesce({c}, '')" for c in mixing.LEVELS[: level + 1])
+        own = {k: v for k, v in mix.weights.items() if k.count("/") == level}
+        whens = " ".join(f"WHEN '{k}' THEN {v}" for k, v in own.items())
+        return f"(CASE {name} {whens} ELSE 1 END)" if own else "1"
+
+    def shared(level: int, nodes: str) -> str:
+        parent = f"PARTITION BY {', '.join(mixing.LEVELS[:level])}" if level else ""
+        order = f"{parent} ORDER BY capacity::DOUBLE / greatest(weight, 1), {mixing.LEVELS[level]}"
+        before = f"({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        upto = f"({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        return f"""(
+    SELECT *, CASE WHEN filled THEN capacity
+                   ELSE part + (sum(CASE WHEN filled THEN 0 ELSE 1 END) OVER {upto}
+                                <= lft - sum(part) OVER ({parent}))::INTEGER END::BIGINT AS budget
+    FROM (
+      SELECT *, CASE WHEN NOT filled THEN (lft * weight) // weights END AS part
+      FROM (
+        SELECT *, above - coalesce(sum(CASE WHEN filled THEN capacity END) OVER ({parent}), 0) AS lft,
+               sum(CASE WHEN NOT filled THEN weight END) OVER ({parent}) AS weights
+        FROM (
+          SELECT *, min(fits) OVER {upto} AS filled
+          FROM (
+            SELECT *, capacity::HUGEINT * (sum(weight) OVER ({parent}) - coalesce(sum(weight) OVER {before}, 0))
+                      <= (above - coalesce(sum(capacity) OVER {before}, 0)) * weight AS fits
+            FROM ({nodes}))))))"""
+
+    hash_ = f"md5('{mix.seed}:' || whole || ':' || coalesce(doc_id::VARCHAR, 'null'))"
+    space = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    domains = ", ".join(f"'{d}'" for d in mixing.DOMAINS)
+    names = ", ".join(mixing.LEVELS)
+    table = f"{_crc_table()}::UBIGINT[]"
+    return f"""
+WITH sources AS (
+    SELECT source, list_extract([{domains}], (xor(4294967295::UBIGINT, list_reduce(
+        list_transform(range(length(digits) // 2), lambda i: CAST('0x' || substr(digits, 2 * i + 1, 2) AS UBIGINT)),
+        lambda crc, byte: xor(crc >> 8, list_extract({table}, (xor(crc & 255, byte) + 1)::BIGINT)),
+        4294967295::UBIGINT)) % {len(mixing.DOMAINS)} + 1)::BIGINT) AS domain
+    FROM (SELECT DISTINCT source, hex(encode(coalesce(source, ''))) AS digits FROM documents)),
+t AS (
+    SELECT doc_id, domain, lang, d.source,
+           CASE WHEN trim(coalesce(text, ''), {space}) = '' THEN 0
+                ELSE len(regexp_split_to_array(trim(text, {space}), '[\\x20\\x09-\\x0D]+')) END::BIGINT AS tokens
+    FROM documents d JOIN sources s ON d.source IS NOT DISTINCT FROM s.source),
+leaves AS (SELECT {names}, sum(tokens)::BIGINT AS tokens FROM t GROUP BY ALL),
+n2 AS (SELECT *, {weight(2)} AS weight, CASE WHEN {weight(2)} > 0 THEN tokens * {mix.epochs} ELSE 0 END AS capacity FROM leaves),
+n1 AS (SELECT domain, lang, {weight(1)} AS weight,
+              CASE WHEN {weight(1)} > 0 THEN sum(capacity) ELSE 0 END::BIGINT AS capacity FROM n2 GROUP BY domain, lang),
+n0 AS (SELECT domain, {weight(0)} AS weight,
+              CASE WHEN {weight(0)} > 0 THEN sum(capacity) ELSE 0 END::BIGINT AS capacity FROM n1 GROUP BY domain),
+root AS (SELECT least((SELECT sum(tokens) FROM t) * {mix.share[0]} // {mix.share[1]}, (SELECT sum(capacity) FROM n0))::BIGINT AS above),
+b0 AS (SELECT domain, budget FROM {shared(0, "SELECT n0.*, above FROM n0, root")}),
+b1 AS (SELECT domain, lang, budget
+       FROM {shared(1, "SELECT n1.*, budget AS above FROM n1 JOIN b0 ON n1.domain IS NOT DISTINCT FROM b0.domain")}),
+b2 AS (SELECT {names}, tokens AS of, budget
+       FROM {shared(2, "SELECT n2.*, budget AS above FROM n2 JOIN b1 ON n2.domain IS NOT DISTINCT FROM b1.domain AND n2.lang IS NOT DISTINCT FROM b1.lang")}),
+w AS (SELECT *, CASE WHEN of > 0 THEN budget // of ELSE 0 END AS whole, CASE WHEN of > 0 THEN budget % of ELSE 0 END AS rest FROM b2),
+h AS (SELECT t.*, whole, rest, {hash_} AS draw
+      FROM t JOIN w ON t.domain IS NOT DISTINCT FROM w.domain AND t.lang IS NOT DISTINCT FROM w.lang
+                   AND t.source IS NOT DISTINCT FROM w.source),
+u AS (SELECT *, sum(tokens) OVER (PARTITION BY {names} ORDER BY draw) AS upto FROM h),
+k AS (SELECT *, min(CASE WHEN upto >= rest THEN draw END) OVER (PARTITION BY {names}) AS cut FROM u),
+c AS (SELECT *, whole + CASE WHEN rest > 0 AND draw <= cut THEN 1 ELSE 0 END AS copies FROM k)
+SELECT doc_id, {names}, tokens, unnest(range(copies))::INTEGER AS epoch FROM c WHERE copies > 0"""
+
+
+ORACLE["op9_source_mix"] = _mix_sql(mixing.DEFAULT)
