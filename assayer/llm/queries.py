@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import fingerprints, lines, mixing, packing, quality, sharding, simhash, warc
+from assayer.llm import fingerprints, language, licenses, lines, mixing, packing, quality, sharding, simhash, warc
 from assayer.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -235,3 +235,19 @@ SELECT doc_id, {names}, tokens, unnest(range(copies))::INTEGER AS epoch FROM c W
 
 
 ORACLE["op9_source_mix"] = _mix_sql(mixing.DEFAULT)
+
+# --- 7: licences ---------------------------------------------------------------------------------
+
+
+@query
+def op7_license_scan(spark, sf_dir):
+    return licenses.scanned(documents(spark, sf_dir))
+
+
+# --- 8: language ---------------------------------------------------------------------------------
+
+
+@query
+def op8_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return language.identified(docs, language.fitted(docs))
