@@ -132,7 +132,8 @@ def cut_points(lengths: Sequence[int], ends: np.ndarray, window: int) -> tuple[n
     cost[np.isin(places, docs) | (places == 0)] = 0
     gaps = np.flatnonzero(np.diff(places) > window // LONG_SENTENCE)
     if len(gaps):
-        hard = np.concatenate([np.arange(places[i] + HARD_STEP, places[i + 1], HARD_STEP) for i in gaps])
+        step = max(1, min(HARD_STEP, window // LONG_SENTENCE))
+        hard = np.concatenate([np.arange(places[i] + step, places[i + 1], step) for i in gaps])
         order = np.argsort(np.concatenate([places, hard]), kind="stable")
         cost = np.concatenate([cost, np.full(len(hard), HARD_CUT, np.int64)])[order]
         places = np.concatenate([places, hard])[order]

@@ -237,8 +237,8 @@ def linked_fingerprints(prints: DataFrame, rows: int, budget: int = BUDGET, larg
         table = F.create_map(*(x for m, v in masks.items() for x in (F.lit(m), F.array(*map(F.lit, v)))))
         node = F.expr("shiftrightunsigned(value, 64 - depth - more) & (shiftleft(1L, more) - 1)")
         joined = placed.join(sizes, ["order", "bucket"], "left").withColumn("node", F.coalesce(node, F.lit(0).cast("bigint")))
-        other = F.col("node").bitwiseXOR(F.explode(F.coalesce(table[F.col("more")], F.array(F.lit(0)))).cast("bigint"))
-        split = joined.withColumn("other", other).select(
+        near = joined.withColumn("mask", F.explode(F.coalesce(table[F.col("more")], F.array(F.lit(0)))))
+        split = near.withColumn("other", F.col("node").bitwiseXOR(F.col("mask").cast("bigint"))).select(
             "order",
             "bucket",
             "fingerprint",
