@@ -201,13 +201,14 @@ DETAILS = f"""details AS (
     CASE WHEN l_linenumber = 1 THEN '["' || l_linestatus || '"]' END AS details
   FROM lineitem)"""
 
-METRICS = """metrics AS (
+METRICS = f"""metrics AS (
   SELECT * FROM (
     SELECT run_id, job_id, config_id, expectation_name, column_name, unnest([
-      {'metric': 'element_count', 'value': scanned::varchar},
-      {'metric': 'unexpected_count', 'value': failure::varchar},
-      {'metric': 'observed_value', 'value': details},
-      {'metric': 'success', 'value': expectation_status::varchar}], recursive := true)
+      {{'metric': 'element_count', 'value': scanned::varchar}},
+      {{'metric': 'unexpected_count', 'value': failure::varchar}},
+      {{'metric': 'observed_value',
+        'value': CASE WHEN expectation_name <> '{DISTINCT_IN_SET}' THEN details END}},
+      {{'metric': 'success', 'value': expectation_status::varchar}}], recursive := true)
     FROM details)
   WHERE value IS NOT NULL)"""
 

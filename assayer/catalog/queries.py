@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,12 @@ from assayer.model import (
 )
 from assayer.operators import keys
 from assayer.operators.failed import failed_rows
-from assayer.operators.scorecard import distinct_values, scorecard
+from assayer.operators.scorecard import (
+    distinct_values,
+    duplicate_group_counts,
+    observed_values,
+    scorecard,
+)
 from assayer.plans import control as C
 from assayer.plans import details as D
 from assayer.plans.runner import run_jobs
@@ -117,6 +123,30 @@ def check_like(spark, sf_dir):
     return _counts(_table(spark, sf_dir, "part"), LIKE_CHECK)
 
 
+# A backslash in a pattern stands for itself, and escapes only where the check says so.
+PATHS = "(SELECT p_type || '\\' || p_name AS path FROM part)"
+PATH_CHECKS = [
+    Check(131, LIKE, "path", {"like_pattern": "%\\%ring"}),
+    Check(133, LIKE, "path", {"like_pattern": "%\\_%"}),
+    Check(134, LIKE, "path", {"like_pattern": "%!_%", "escape": "!"}),
+]
+
+
+@query(
+    " UNION ALL ".join(
+        [
+            _count_sql(131, PATHS, "path NOT LIKE '%\\%ring'"),
+            _count_sql(133, PATHS, "path NOT LIKE '%\\_%'"),
+            _count_sql(134, PATHS, "path NOT LIKE '%!_%' ESCAPE '!'"),
+        ]
+    )
+)
+def check_like_backslash(spark, sf_dir):
+    part = _table(spark, sf_dir, "part")
+    paths = part.select(F.concat("p_type", F.lit("\\"), "p_name").alias("path"))
+    return _counts(paths, *PATH_CHECKS)
+
+
 @query(_count_sql(107, "documents", "NOT contains(text, 'the')"))
 def check_contains(spark, sf_dir):
     return _counts(_table(spark, sf_dir, "documents"), CONTAINS_CHECK)
@@ -125,12 +155,28 @@ def check_contains(spark, sf_dir):
 @query("""SELECT 103::bigint AS config_id, bool_and(v IN ('click', 'view')) AS expectation_status,
       count(*) AS scanned, count(*) FILTER (WHERE v IN ('click', 'view')) AS success,
       count(*) FILTER (WHERE v NOT IN ('click', 'view')) AS failure,
-      to_json(list(v ORDER BY v))::varchar AS details
+      count(*) || ' distinct values, ' || count(*) FILTER (WHERE v NOT IN ('click', 'view'))
+        || ' outside the set' AS details
     FROM (SELECT DISTINCT event_type AS v FROM events)""")
 def check_distinct_in_set(spark, sf_dir):
     return _scores(_table(spark, sf_dir, "events"), DISTINCT_CHECK)
 
 
+CUSTOMERS = Check(130, DISTINCT_IN_SET, "o_custkey", {"value_set": [1, 2, 3, 4]})
+
+
+@query("""SELECT DISTINCT NULL::varchar AS slice, 130::bigint AS config_id, o_custkey::varchar AS value,
+      o_custkey NOT IN (1, 2, 3, 4) AS outside FROM orders""")
+def observed_values_all(spark, sf_dir):
+    return observed_values(_table(spark, sf_dir, "orders"), [CUSTOMERS])
+
+
+@query("""SELECT DISTINCT o_orderpriority AS slice, 130::bigint AS config_id, o_custkey::varchar AS value,
+      o_custkey NOT IN (1, 2, 3, 4) AS outside FROM orders""")
+def observed_values_by_slice(spark, sf_dir):
+    return observed_values(_table(spark, sf_dir, "orders"), [CUSTOMERS], "o_orderpriority")
+
+
 @query("SELECT DISTINCT source AS slice, lang AS value FROM documents WHERE lang IS NOT NULL")
 def distinct_values_by_slice(spark, sf_dir):
     return distinct_values(_table(spark, sf_dir, "documents"), "lang", "source")
@@ -169,15 +215,12 @@ GROUP_PARAMS = {"columns": ["l_orderkey", "l_linenumber"], "value": 6}
       (max(n) FILTER (WHERE n > 1))::varchar AS details, count(*) FILTER (WHERE n > 1) AS groups
     FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""")
 def check_duplicate_groups(spark, sf_dir):
-    lineitem = _table(spark, sf_dir, "lineitem")
-    score = _scores(lineitem, Check(108, QUERIED_UNIQUE, None, GROUP_PARAMS))
-    groups = keys.duplicate_groups(lineitem, GROUP_PARAMS["columns"])
-    return (
-        score.select("config_id", "expectation_status", "details")
-        .unionByName(
-            groups.agg(F.count(F.lit(1)).alias("groups")), allowMissingColumns=True
-        )
-        .agg(*[F.max(c).alias(c) for c in ("config_id", "expectation_status", "details", "groups")])
+    check = Check(108, QUERIED_UNIQUE, None, GROUP_PARAMS)
+    return duplicate_group_counts(_table(spark, sf_dir, "lineitem"), check).select(
+        F.lit(check.config_id).cast("bigint").alias("config_id"),
+        F.col("met").alias("expectation_status"),
+        F.col("observed").cast("string").alias("details"),
+        "groups",
     )
 
 
@@ -290,7 +333,8 @@ def scorecard_lineitem(spark, sf_dir):
     )
     + """)
     UNION ALL SELECT 114, bool_and(v IN ('O', 'F')), count(*), count(*) FILTER (WHERE v IN ('O', 'F')),
-      count(*) FILTER (WHERE v NOT IN ('O', 'F')), to_json(list(v ORDER BY v))::varchar
+      count(*) FILTER (WHERE v NOT IN ('O', 'F')), count(*) || ' distinct values, '
+        || count(*) FILTER (WHERE v NOT IN ('O', 'F')) || ' outside the set'
     FROM (SELECT DISTINCT o_orderstatus AS v FROM orders)
     UNION ALL SELECT 115, max(n) IS NULL, NULL, NULL, NULL, coalesce(max(n), 0)::varchar
     FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderkey, o_custkey HAVING count(*) > 1)""",
@@ -325,7 +369,8 @@ def scorecard_orders(spark, sf_dir):
     FROM (SELECT source AS s, text AS k, count(*) AS n FROM d GROUP BY 1, 2) GROUP BY 1
     UNION ALL
     SELECT s, 117, bool_and(v IN ('en', 'de')), count(*), count(*) FILTER (WHERE v IN ('en', 'de')),
-      count(*) FILTER (WHERE v NOT IN ('en', 'de')), to_json(list(v ORDER BY v))::varchar
+      count(*) FILTER (WHERE v NOT IN ('en', 'de')), count(*) || ' distinct values, '
+        || count(*) FILTER (WHERE v NOT IN ('en', 'de')) || ' outside the set'
     FROM (SELECT DISTINCT source AS s, lang AS v FROM d) GROUP BY 1
     UNION ALL
     SELECT s, 118, coalesce(max(n) FILTER (WHERE n > 1), 0) = 0, NULL, NULL, NULL,
@@ -406,6 +451,21 @@ def failed_rows_unique(spark, sf_dir):
     return _failed(_table(spark, sf_dir, "orders"), TIED)
 
 
+LOOSELY_TIED = Check(122, UNIQUE, "o_custkey", {"tie_columns": ["o_orderpriority"]})
+
+
+@query(
+    _failed_sql(
+        "orders",
+        """o_custkey IS NOT NULL QUALIFY row_number() OVER (PARTITION BY o_custkey
+          ORDER BY o_orderpriority, o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate) > 1""",
+        LOOSELY_TIED,
+    )
+)
+def failed_rows_unique_loose_tie(spark, sf_dir):
+    return _failed(_table(spark, sf_dir, "orders"), LOOSELY_TIED)
+
+
 @query(
     _failed_sql(
         "orders", "o_custkey IS NOT NULL QUALIFY count(*) OVER (PARTITION BY o_custkey) > 1", TIED
@@ -660,12 +720,15 @@ def metrics_for_run(spark, sf_dir):
     G.with_tables(G.DETAILS, G.METRICS)
     + """SELECT run_id, job_id, config_id, expectation_name, column_name,
       (max(value) FILTER (WHERE metric = 'success'))::boolean AS expectation_status,
-      (max(value) FILTER (WHERE metric = 'element_count'))::bigint AS scanned,
-      (max(value) FILTER (WHERE metric = 'element_count'))::bigint
-        - (max(value) FILTER (WHERE metric = 'unexpected_count'))::bigint AS success,
-      (max(value) FILTER (WHERE metric = 'unexpected_count'))::bigint AS failure,
-      max(value) FILTER (WHERE metric = 'observed_value') AS details
-    FROM metrics GROUP BY ALL"""
+      max(try_cast(value AS bigint)) FILTER (WHERE metric = 'element_count') AS scanned,
+      max(try_cast(value AS bigint)) FILTER (WHERE metric = 'element_count')
+        - max(try_cast(value AS bigint)) FILTER (WHERE metric = 'unexpected_count') AS success,
+      max(try_cast(value AS bigint)) FILTER (WHERE metric = 'unexpected_count') AS failure,
+      CASE WHEN expectation_name = '""" + DISTINCT_IN_SET + """' THEN
+        max(try_cast(value AS bigint)) FILTER (WHERE metric = 'element_count') || ' distinct values, '
+          || max(try_cast(value AS bigint)) FILTER (WHERE metric = 'unexpected_count') || ' outside the set'
+        ELSE max(value) FILTER (WHERE metric = 'observed_value') END AS details
+    FROM metrics GROUP BY run_id, job_id, config_id, expectation_name, column_name"""
 )
 def details_wide(spark, sf_dir):
     return D.details_wide(D.metrics_long(_details(spark, sf_dir)))
@@ -855,10 +918,81 @@ ORDERS_SET = Check(102, IN_SET, "o_orderstatus", {}, '{"value_set":["O","F"]}')
         ORDERS_UNIQUE,
     )
 )
-def run_failed_rows(spark, sf_dir):
+def run_failed_rows_orders(spark, sf_dir):
     return _run(spark, sf_dir).failed["main", "orders", "full"]
 
 
+# Every unit of the run with violating rows, and the columns that tell its table's rows apart.
+FAILED_UNITS = {
+    ("orders", "full"): "o_orderkey",
+    ("part", "full"): "p_partkey",
+    ("events", "full"): "event_id",
+    ("documents", "slices of source"): "doc_id",
+    ("documents_labeled", "full"): "doc_id",
+}
+
+
+def _violating_keys(table: str, unit: str, key: str, check: str, source: str, where: str) -> str:
+    return f"""SELECT '{table}' AS table_name, '{unit}' AS unit, {key}::varchar AS row_key,
+      '{check}' AS expectation_name, '{RUN}' AS run_id FROM {source} WHERE {where}"""
+
+
+@query(
+    " UNION ALL ".join(
+        _violating_keys(table, unit, FAILED_UNITS[table, unit], check, source, where)
+        for table, unit, check, source, where in [
+            ("orders", "full", IN_SET, "orders", "o_orderstatus NOT IN ('O', 'F')"),
+            (
+                "orders",
+                "full",
+                UNIQUE,
+                "orders",
+                """o_custkey IS NOT NULL QUALIFY row_number() OVER (PARTITION BY o_custkey
+                  ORDER BY o_orderkey) > 1""",
+            ),
+            ("part", "full", LENGTH, "part", "length(p_brand) <> 8"),
+            ("part", "full", LIKE, "part", "p_name NOT LIKE '%ring'"),
+            ("events", "full", DISTINCT_IN_SET, "events", "event_type NOT IN ('click', 'view')"),
+            (
+                "documents",
+                "slices of source",
+                CONTAINS,
+                "documents",
+                "source = 'src0' AND NOT contains(text, 'the')",
+            ),
+            (
+                "documents",
+                "slices of source",
+                IN_SET,
+                "documents",
+                "source = 'src0' AND lang NOT IN ('en', 'de')",
+            ),
+            ("documents_labeled", "full", NOT_NULL, LABELED, "quality IS NULL"),
+        ]
+    )
+)
+def run_failed_rows(spark, sf_dir):
+    parts = []
+    for (_, table, unit), rows in _run(spark, sf_dir).failed.items():
+        key = FAILED_UNITS.get((table, unit))
+        if key is None:  # of checks that have no violating rows
+            parts.append(rows.select(*[F.lit(None).cast("string").alias(c) for c in FAILED_COLUMNS]))
+            continue
+        parts.append(
+            rows.select(
+                F.lit(table).alias("table_name"),
+                F.lit(unit).alias("unit"),
+                F.col(key).cast("string").alias("row_key"),
+                "expectation_name",
+                "run_id",
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+FAILED_COLUMNS = ["table_name", "unit", "row_key", "expectation_name", "run_id"]
+
+
 SLICE_CONFIG = [
     (501, 2, "documents", "lang", '{"value_set":["en","de"]}', 1),
     (502, 7, "documents", "text", '{"substring":"the","mostly":0.5}', 1),
@@ -910,7 +1044,8 @@ def _slice_jobs(documents: DataFrame) -> DataFrame:
       FROM (SELECT source, text, count(*) AS n FROM documents GROUP BY ALL) GROUP BY source
       UNION ALL
       SELECT source, 504, '{DISTINCT_IN_SET}', 'lang', bool_and(lang IN ('en', 'de', 'fr')), count(*),
-        count(*) FILTER (WHERE lang NOT IN ('en', 'de', 'fr')), to_json(list(lang ORDER BY lang))::varchar
+        count(*) FILTER (WHERE lang NOT IN ('en', 'de', 'fr')), count(*) || ' distinct values, '
+          || count(*) FILTER (WHERE lang NOT IN ('en', 'de', 'fr')) || ' outside the set'
       FROM (SELECT DISTINCT source, lang FROM documents) GROUP BY source
       UNION ALL
       SELECT source, 505, '{QUERIED_UNIQUE}', NULL, max(n) = 1, NULL, NULL,
@@ -926,16 +1061,58 @@ def run_slices(spark, sf_dir):
     return run_jobs(spark, control, fixture.tables(spark, sf_dir), RUN).details
 
 
+CUSTOMER_CONFIG = [
+    (511, 2, "orders", "o_orderstatus", '{"value_set":["O","F"]}', 1),
+    (
+        512,
+        8,
+        "orders",
+        None,
+        """{"query":"SELECT count(*) FROM {active_batch} WHERE o_totalprice > 200000","value":3}""",
+        1,
+    ),
+]
+
+
+@query(f"""SELECT '{RUN}' AS run_id, o_custkey AS job_id, '{IN_SET}' AS expectation_name,
+      'main' AS schema_name, 'orders' AS table_name, 'o_orderstatus' AS column_name,
+      511::bigint AS config_id, bool_and(o_orderstatus IN ('O', 'F')) AS expectation_status,
+      count(*) AS scanned, count(*) FILTER (WHERE o_orderstatus IN ('O', 'F')) AS success,
+      count(*) FILTER (WHERE o_orderstatus NOT IN ('O', 'F')) AS failure, NULL::varchar AS details
+    FROM orders GROUP BY o_custkey
+    UNION ALL
+    SELECT '{RUN}', o_custkey, '{QUERIED_UNIQUE}', 'main', 'orders', NULL, 512,
+      count(*) FILTER (WHERE o_totalprice > 200000) = 3, NULL, NULL, NULL,
+      (count(*) FILTER (WHERE o_totalprice > 200000))::varchar
+    FROM orders GROUP BY o_custkey""")
+def run_many_slices(spark, sf_dir):
+    """A job per customer: more slices than the driver looks at."""
+    orders = _table(spark, sf_dir, "orders")
+    customers = orders.groupBy(F.col("o_custkey").cast("string").alias("source")).agg(
+        F.min("o_custkey").alias("doc_id"),
+        # not as literals, which Spark would take out of the joins
+        F.max(F.lit("main")).alias("schema_name"),
+        F.max(F.lit("orders")).alias("table_name"),
+    )
+    names = customers.select(F.col("doc_id").alias("job_id"), "schema_name", "table_name")
+    jobs = _slice_jobs(customers).drop("schema_name", "table_name").join(names, "job_id")
+    jobs = jobs.withColumn("pipeline_run_id_name", F.lit("o_custkey"))
+    control = fixture.control(spark, fixture.CHECKS, CUSTOMER_CONFIG, jobs)
+    return run_jobs(spark, control, fixture.tables(spark, sf_dir), RUN).details
+
+
 @query(
     G.with_tables(G.DETAILS)
-    + """SELECT run_id, job_id, unnest([
+    + """SELECT * FROM (SELECT run_id, job_id, unnest([
         {'metric': 'evaluated_expectations', 'value': n::varchar},
         {'metric': 'successful_expectations', 'value': ok::varchar},
-        {'metric': 'unsuccessful_expectations', 'value': (n - ok)::varchar}], recursive := true)
+        {'metric': 'unsuccessful_expectations', 'value': (n - ok)::varchar},
+        {'metric': 'success_percent',
+         'value': CASE WHEN n > 0 THEN (100.0::double * ok / n)::decimal(9, 4)::varchar END}],
+      recursive := true)
     FROM (SELECT run_id, job_id, count(expectation_status) AS n,
-      count(*) FILTER (WHERE expectation_status) AS ok FROM details GROUP BY 1, 2)"""
+      count(*) FILTER (WHERE expectation_status) AS ok FROM details GROUP BY 1, 2))
+    WHERE value IS NOT NULL"""
 )
 def suite_metrics_long(spark, sf_dir):
-    # The percentage is left out here: the engines spell fractions differently.
-    long = D.suite_metrics_long(D.suite_statistics(_details(spark, sf_dir)))
-    return long.filter("metric <> 'success_percent'")
+    return D.suite_metrics_long(D.suite_statistics(_details(spark, sf_dir)))

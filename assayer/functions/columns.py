@@ -58,7 +58,7 @@ def typed_texts(spark: SparkSession, values: Iterable, dtype: T.DataType) -> lis
     rows = local_frame(spark, [(t,) for t in texts], "v string").select("v", spelled).collect()
     bad = [r["v"] for r in rows if r["spelled"] is None]
     if bad:
-        raise CheckError(f"not of type {dtype.simpleString()}: {bad[:5]}")
+        raise CheckError(f"not of type {dtype.simpleString()}: {bad}")
     zero = ("0.0", "-0.0")  # one value to Spark's comparisons
     return list(dict.fromkeys(zero[0] if r["spelled"] in zero else r["spelled"] for r in rows))
 

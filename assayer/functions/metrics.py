@@ -25,7 +25,8 @@ def metric_key(metric_name: Column) -> Column:
 
 def metric_column(kwargs_id: Column) -> Column:
     """`column=<name>` -> `<name>`; NULL where there is no `=`, as suite statistics have."""
-    return F.get(F.split(kwargs_id, "="), F.lit(1))
+    after = F.substring_index(F.substring_index(kwargs_id, "=", 2), "=", -1)
+    return F.when(F.contains(kwargs_id, F.lit("=")), after)
 
 
 def metric_value(value: Column) -> Column:

@@ -27,9 +27,14 @@ def length_differs(col: Column, value: int, rtrim: bool = False) -> Column:
     return F.length(F.rtrim(text) if rtrim else text) != value
 
 
-def unlike(col: Column, pattern: str, ignore_case: bool = False) -> Column:
-    text = col.cast("string")
-    return ~(text.ilike(pattern) if ignore_case else text.like(pattern))
+def unlike(
+    col: Column, pattern: str, ignore_case: bool = False, escape: str | None = None
+) -> Column:
+    """Without `escape` every character but % and _ stands for itself, a backslash too."""
+    like = F.ilike if ignore_case else F.like
+    if escape is None:
+        escape, pattern = "\\", pattern.replace("\\", "\\\\")
+    return ~like(col.cast("string"), F.lit(pattern), F.lit(escape))
 
 
 def lacks_substring(col: Column, substring: str) -> Column:

@@ -17,10 +17,21 @@ from assayer.operators.keys import repeated_rows
 CONFIG = "__config_id"
 
 
+def free_names(source: Sequence[str], wanted: Sequence[str]) -> list[str]:
+    """`wanted`, each with as many prefixes `check_` as it takes to differ from the source's columns (in any
+    case of letters) and from each other."""
+    taken, names = {name.lower() for name in source}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"check_{name}"
+        taken.add(name.lower())
+        names.append(name)
+    return names
+
+
 def tag_names(source: Sequence[str]) -> list[str]:
-    """Names of the tag columns; one that the source already has gets the prefix `check_`."""
-    taken = {name.lower() for name in source}
-    return [f"check_{t}" if t in taken else t for t in TAG_COLUMNS]
+    """Names of the tag columns among those of the source."""
+    return free_names(source, TAG_COLUMNS)
 
 
 def failed_schema(source: T.StructType) -> T.StructType:

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from assayer.functions.columns import column, column_type, group_key
 from assayer.model import CheckError
@@ -51,8 +52,8 @@ def repeated_rows(
     """Rows whose `keys` (none NULL) occur more than once.
 
     mode "all" gives every row of such a key, "extra" all but one. Which one is left out is decided by
-    `tie`, columns that tell a key's rows apart: the row with the least tie stays. Without `tie` the
-    least row by all its columns stays, which also holds for rows that are copies of each other.
+    `tie`, columns that tell a key's rows apart: the row with the least tie stays (where several rows share
+    it, the least of these by all columns). Without `tie` the least row by all its columns stays, which also holds for rows that are copies of each other.
     `keys_at_most` is how many keys can repeat, where that is known.
     """
     if mode not in ("all", "extra"):
@@ -92,11 +93,31 @@ def repeated_rows(
         joined = rows.join(counts, same, "left_semi")
     else:
         # A NULL tie comes before all others, so where a key has one it is that row which stays.
-        later = F.col("__has_null") | (_tie(tie) > F.col("__least"))
-        joined = rows.join(counts, same & _tie(tie).isNotNull() & later)
+        first = F.when(F.col("__has_null"), _tie(tie).isNull()).otherwise(
+            _tie(tie).eqNullSafe(F.col("__least"))
+        )
+        met = rows.join(counts, same)
+        joined = met.filter(~first)
+        return joined.select(*map(column, names)).unionByName(
+            _tied_rows(met.filter(first), row_names, names, keys)
+        )
     return joined.select(*map(column, names))
 
 
+def _tied_rows(first: DataFrame, row_names, names, keys) -> DataFrame:
+    """Of the rows with their key's least tie all but one; none where ties tell rows apart."""
+    several = (
+        first.groupBy(*row_names).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n")
+    )
+    tied = first.join(several, list(row_names), "left_semi").select(*map(column, names))
+    if all(_is_plain(f.dataType) for f in tied.schema.fields):
+        return _all_but_least(tied, keys)
+    # Rows that cannot be ordered as a whole: one of those with the least tie is as good as another.
+    window = Window.partitionBy(*map(column, keys)).orderBy(F.lit(0))
+    placed = tied.withColumn("__place", F.row_number().over(window))
+    return placed.filter("__place > 1").select(*map(column, names))
+
+
 def _filled(rows: DataFrame, name: str) -> Column:
     """A grouping key of rows without NULL keys. Saying so spares the joins a NULL filter, which would
     compute the digests of texts once more."""

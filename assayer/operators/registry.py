@@ -7,6 +7,7 @@ aggregation of their own and are found in their modules.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from typing import Any
@@ -112,7 +113,8 @@ def query_check(check: Check) -> QueryCheck:
     sql = check.params["query"]
     if not isinstance(sql, str):
         raise CheckError("query must be text")
-    return QueryCheck(sql, lambda observed, _: observed == F.lit(value))
+    # A cell that is no number is not the value; under ANSI a plain comparison would end the run.
+    return QueryCheck(sql, lambda observed, _: observed.try_cast("decimal(38,6)") == F.lit(value))
 
 
 def violation(batch: DataFrame, check: Check) -> Violation:
@@ -194,7 +196,14 @@ def _length(col: Column, check: Check) -> Column:
 @_row(LIKE)
 def _like(col: Column, check: Check) -> Column:
     ignore_case = bool(check.params.get("ignore_case", False))
-    return P.unlike(col, _text_param(check, "like_pattern"), ignore_case)
+    pattern, escape = _text_param(check, "like_pattern"), check.params.get("escape")
+    if escape is not None:
+        if not isinstance(escape, str) or len(escape) != 1 or escape in "%_":
+            raise CheckError("escape must be one character other than % and _")
+        rest = re.sub(f"{re.escape(escape)}[%_{re.escape(escape)}]", "", pattern)
+        if escape in rest:
+            raise CheckError(f"in {pattern!r} the escape is not followed by %, _ or itself")
+    return P.unlike(col, pattern, ignore_case, escape)
 
 
 @_row(CONTAINS)

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +21,6 @@ from assayer.model import SCORE_COLUMNS, Check, CheckError
 from assayer.operators import registry
 from assayer.sources.local import local_frame
 
-# `details` of a distinct-values check lists the values up to this many, the least first;
-# `distinct_values` gives all of them as rows.
-LISTED_VALUES = 1_000
-
 UNKNOWN = "unknown check"
 
 # The share of good rows reaches `mostly`; nothing to check is a success.
@@ -38,12 +36,12 @@ def scorecard(
     batch: DataFrame,
     checks: Sequence[Check],
     by: str | None = None,
-    slices: Sequence[str] | None = None,
+    slices: Sequence[str] | DataFrame | None = None,
 ) -> DataFrame:
     """One row per check (and per slice, with `by`): the columns of SCORE_COLUMNS after `slice`.
 
-    Slices without rows have no row here. A query check runs once per value in `slices` (texts), which
-    it needs when there is a `by`.
+    Slices without rows have no row here, but for query checks, which give one for every value in `slices`
+    (texts, or a DataFrame of distinct texts `slice`) where those are told.
     """
     by_kind: dict[str | None, list[Check]] = {}
     for check in checks:
@@ -70,7 +68,7 @@ def empty_score(check: Check) -> tuple:
     """SCORE_SCHEMA's values for a batch without rows (query checks always score themselves)."""
     kind = registry.kind(check)
     if kind == "distinct":
-        return (check.config_id, True, 0, 0, 0, "[]")
+        return (check.config_id, True, 0, 0, 0, distinct_summary(0, 0))
     if kind == "groups":
         return (check.config_id, registry.expected_value(check) == 0, None, None, None, "0")
     if kind in ("row", "unique"):
@@ -78,6 +76,46 @@ def empty_score(check: Check) -> tuple:
     return (check.config_id, None, None, None, None, UNKNOWN if kind is None else None)
 
 
+def distinct_summary(scanned: int, failure: int) -> str:
+    """`details` of a distinct-values check; the values themselves are rows of `observed_values`."""
+    return f"{scanned} distinct values, {failure} outside the set"
+
+
+DISTINCT_SUMMARY_SQL = "concat(scanned, ' distinct values, ', failure, ' outside the set')"
+
+OBSERVED_SCHEMA = "slice string, config_id bigint, value string, outside boolean"
+
+
+def observed_values(
+    batch: DataFrame, checks: Sequence[Check], by: str | None = None
+) -> DataFrame:
+    """All distinct non-NULL values that the distinct-values checks among `checks` have seen, per slice,
+    and whether each is outside the check's set. One row per value, however many there are."""
+    parts = []
+    for check in checks:
+        if registry.kind(check) == "distinct":
+            values, outside = _judged_values(batch, check, by)
+            parts.append(
+                registry.with_lookups(values, [outside]).select(
+                    F.col("slice").cast("string") if by else F.lit(None).cast("string").alias("slice"),
+                    F.lit(check.config_id).cast("bigint").alias("config_id"),
+                    F.col("value").cast("string").alias("value"),
+                    F.coalesce(outside.broken, F.lit(False)).alias("outside"),
+                )
+            )
+    if not parts:
+        return batch.sparkSession.createDataFrame([], OBSERVED_SCHEMA)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _judged_values(batch: DataFrame, check: Check, by: str | None):
+    """The distinct values of a check's column, and the violation of its set by one of them."""
+    column_type(batch, check.column)
+    values = distinct_values(_conditioned(batch, check), check.column, by)
+    on_values = Check(check.config_id, check.name, "value", check.params, check.text)
+    return values, registry.violation(values, on_values)
+
+
 def distinct_values(batch: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """The distinct non-NULL values of a column (per slice)."""
     return (
@@ -162,55 +200,44 @@ def _unique_scores(batch: DataFrame, check: Check, by: str | None) -> DataFrame:
 
 
 def _distinct_scores(batch: DataFrame, check: Check, by: str | None) -> DataFrame:
-    column_type(batch, check.column)
-    slices = ["slice"] if by else []
-    values = distinct_values(_conditioned(batch, check), check.column, by)
-    on_values = Check(check.config_id, check.name, "value", check.params, check.text)
-    outside = registry.violation(values, on_values)
+    values, outside = _judged_values(batch, check, by)
     totals = (
         registry.with_lookups(values, [outside])
-        .groupBy(*slices)
+        .groupBy(*(["slice"] if by else []))
         .agg(F.count(F.lit(1)).alias("scanned"), F.count_if(outside.broken).alias("failure"))
     )
-    if by:
-        # Kept to the listed values per slice before the shuffle as well as after it.
-        ranked = values.selectExpr(
-            "*", "row_number() OVER (PARTITION BY slice ORDER BY value) AS place"
-        )
-        listed = ranked.filter(F.col("place") <= LISTED_VALUES)
-    else:
-        listed = values.orderBy("value").limit(LISTED_VALUES)
-    listed = listed.groupBy(*slices).agg(
-        F.expr("to_json(array_sort(collect_list(value))) AS details")
-    )
-    # Totals and list come together as two rows per slice rather than by a join.
-    both = (
-        totals.unionByName(listed, allowMissingColumns=True)
-        .groupBy(*slices)
-        .agg(*[F.max(c).alias(c) for c in ("scanned", "failure", "details")])
-    )
     return _shaped(
-        both,
+        totals,
         by,
         config_id=f"{check.config_id}L",
         expectation_status="failure = 0",
         success="scanned - failure",
+        details=DISTINCT_SUMMARY_SQL,
     )
 
 
-def _group_scores(batch: DataFrame, check: Check, by: str | None) -> DataFrame:
+def duplicate_group_counts(batch: DataFrame, check: Check, by: str | None = None) -> DataFrame:
+    """What a duplicate-group check sees (per slice): `observed`, the rows of the largest group of more than
+    one row (0 without any), `groups`, how many such groups there are, and `met`."""
     columns = check.params.get("columns")
     if not isinstance(columns, list) or not columns:
         raise CheckError("columns must be a list of column names")
     value = registry.expected_value(check)
-    largest = (
+    return (
         _conditioned(batch, check)
         .groupBy(*_slice(batch, by), *[group_key(batch, c).alias(f"g{i}") for i, c in enumerate(columns)])
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy(*(["slice"] if by else []))
-        .agg(F.expr("coalesce(max(n) FILTER (WHERE n > 1), 0L) AS observed"))
+        .agg(
+            F.expr("coalesce(max(n) FILTER (WHERE n > 1), 0L) AS observed"),
+            F.expr("count_if(n > 1) AS groups"),
+        )
+        .withColumn("met", F.col("observed") == value)
     )
-    return _observed(largest.withColumn("met", F.col("observed") == value), check, by)
+
+
+def _group_scores(batch: DataFrame, check: Check, by: str | None) -> DataFrame:
+    return _observed(duplicate_group_counts(batch, check, by), check, by)
 
 
 def _observed(df: DataFrame, check: Check, by: str | None) -> DataFrame:
@@ -229,14 +256,20 @@ def _observed(df: DataFrame, check: Check, by: str | None) -> DataFrame:
 
 
 def _query_scores(
-    batch: DataFrame, check: Check, by: str | None, slices: Sequence[str] | None
+    batch: DataFrame, check: Check, by: str | None, slices: Sequence[str] | DataFrame | None
 ) -> list[DataFrame]:
     query = registry.query_check(check)
     batch = _conditioned(batch, check)
     if by is None:
         return [_query_score(batch, check, query, F.lit(None).cast("string"))]
-    if slices is None:
-        raise CheckError("a query check on run slices needs the slices' values")
+    lateral = _query_per_slice(batch, check, query, by, slices)
+    if lateral is not None:
+        return [lateral]
+    if slices is None or isinstance(slices, DataFrame):
+        raise CheckError(
+            "the query cannot be run for many slices at once: it needs an aggregate or a limit over "
+            "{active_batch} that Spark can group by the run column"
+        )
     dtype = column_type(batch, by)
     values = [typed_literal(text, dtype) for text in slices]
     return [_query_score(batch.filter(column(by) == v), check, query, v) for v in values]
@@ -245,8 +278,7 @@ def _query_scores(
 def _query_score(batch: DataFrame, check: Check, query, slice_value: Column) -> DataFrame:
     spark = batch.sparkSession
     result = spark.sql(query.sql, active_batch=batch)
-    first = F.col(quoted(result.columns[0]))
-    cell = result.select(first.alias("observed")).limit(1)
+    cell = _by_position(result).select(F.col("c0").alias("observed")).limit(1)
     # A global aggregate gives its one row also where the query gives none.
     seen = cell.agg(F.first("observed").alias("observed")).withColumns(
         {"met": query.success(F.col("observed"), check.params), "slice": slice_value}
@@ -254,6 +286,45 @@ def _query_score(batch: DataFrame, check: Check, query, slice_value: Column) ->
     return _observed(seen, check, "slice")
 
 
+def _by_position(result: DataFrame) -> DataFrame:
+    """Columns named by their place: a query may give two of one name."""
+    return result.toDF(*[f"c{i}" for i in range(len(result.columns))])
+
+
+def _query_per_slice(
+    batch: DataFrame, check: Check, query, by: str, slices: Sequence[str] | DataFrame | None
+) -> DataFrame | None:
+    """The query's first cell for every slice, in one pass: a lateral subquery that Spark turns into a grouping.
+    None where it cannot."""
+    spark, rows, wanted = batch.sparkSession, f"rows_{uuid4().hex}", f"slices_{uuid4().hex}"
+    names = [f"c{i}" for i in range(len(spark.sql(query.sql, active_batch=batch).columns))]
+    if slices is None:
+        values = batch.select(column(by).alias("slice")).filter("slice IS NOT NULL").distinct()
+    else:
+        values = slices
+        if not isinstance(slices, DataFrame):
+            values = local_frame(spark, [(s,) for s in slices], "slice string")
+        values = values.select(F.col("slice").cast(column_type(batch, by)).alias("slice"))
+    batch.createOrReplaceTempView(rows)
+    values.createOrReplaceTempView(wanted)
+    own = f"(SELECT * FROM {rows} WHERE {rows}.{quoted(by)} = {wanted}.slice)"
+    try:
+        sql = query.sql.replace("{active_batch}", own)
+        seen = spark.sql(
+            f"SELECT {wanted}.slice, q.c0 AS observed FROM {wanted} LEFT JOIN LATERAL "
+            f"(SELECT c0 FROM ({sql}) AS found({', '.join(names)}) LIMIT 1) AS q"
+        )
+        seen._jdf.queryExecution().optimizedPlan()  # what cannot be decorrelated raises here
+    except AnalysisException:
+        return None
+    finally:
+        spark.catalog.dropTempView(rows)
+        spark.catalog.dropTempView(wanted)
+    return _observed(
+        seen.withColumn("met", query.success(F.col("observed"), check.params)), check, by
+    )
+
+
 def _unknown_scores(batch: DataFrame, checks: Sequence[Check], by: str | None) -> DataFrame:
     """A row without status for each unknown name; per slice where there are slices."""
     if not by:

@@ -12,17 +12,27 @@ from assayer.functions.metrics import (
     metric_value,
     passed_message,
 )
-from assayer.model import CHECK_METRICS
+from assayer.model import CHECK_METRICS, DISTINCT_IN_SET
+from assayer.operators.scorecard import DISTINCT_SUMMARY_SQL
+
+# What the details of a check that cannot be run begin with.
+INVALID = "invalid check: "
 
 CHECK_KEYS = ["run_id", "job_id", "config_id", "expectation_name", "column_name"]
 
 
-def metrics_long(details: DataFrame) -> DataFrame:
-    """Details as one row per metric; a metric without a value has no row. No shuffle."""
+def metrics_long(details: DataFrame, observed: DataFrame | None = None) -> DataFrame:
+    """Details as one row per metric; a metric without a value has no row. No shuffle.
+
+    A distinct-values check has an `observed_value` per value it saw: these come from `observed` (CHECK_KEYS and
+    `value`), not from its details.
+    """
     values = {
         "element_count": F.col("scanned").cast("string"),
         "unexpected_count": F.col("failure").cast("string"),
-        "observed_value": F.col("details"),
+        "observed_value": F.when(
+            (F.col("expectation_name") != DISTINCT_IN_SET) | F.col("scanned").isNull(), F.col("details")
+        ),
         "success": F.col("expectation_status").cast("string"),
     }
     rows = [
@@ -31,7 +41,12 @@ def metrics_long(details: DataFrame) -> DataFrame:
         )
         for m in CHECK_METRICS
     ]
-    return details.select(*CHECK_KEYS, F.inline(F.array_compact(F.array(*rows))))
+    long = details.select(*CHECK_KEYS, F.inline(F.array_compact(F.array(*rows))))
+    if observed is None:
+        return long
+    return long.unionByName(
+        observed.select(*CHECK_KEYS, F.lit("observed_value").alias("metric"), "value")
+    )
 
 
 def suite_metrics_long(statistics: DataFrame) -> DataFrame:
@@ -42,8 +57,13 @@ def suite_metrics_long(statistics: DataFrame) -> DataFrame:
         "unsuccessful_expectations",
         "success_percent",
     ]
+    # The percentage as a decimal of fixed scale: a double has no one spelling.
+    kinds = {"success_percent": "decimal(9,4)"}
     rows = [
-        F.struct(F.lit(n).alias("metric"), F.col(n).cast("string").alias("value")) for n in names
+        F.struct(
+            F.lit(n).alias("metric"), F.col(n).cast(kinds.get(n, "bigint")).cast("string").alias("value")
+        )
+        for n in names
     ]
     return statistics.select("run_id", "job_id", F.inline(F.array(*rows))).filter(
         F.col("value").isNotNull()
@@ -55,26 +75,36 @@ def metrics_for_run(metrics: DataFrame, run_id: str, column: str = "run_id") ->
 
 
 def details_wide(metrics: DataFrame) -> DataFrame:
-    """Long metrics as one row per check: one aggregation, whatever the number of metrics."""
+    """Long metrics as one row per check.
 
-    def value(metric: str) -> Column:
-        return F.max(F.when(F.col("metric") == metric, F.col("value")))
-
-    # Numbers first: where the aggregate sorts, it sorts by them without comparing texts.
-    keys = sorted(CHECK_KEYS, key=["job_id", "config_id"].count, reverse=True)
-    wide = metrics.groupBy(*keys).agg(
-        value("success").cast("boolean").alias("expectation_status"),
-        value("element_count").cast("bigint").alias("scanned"),
-        value("unexpected_count").cast("bigint").alias("failure"),
-        value("observed_value").alias("details"),
+    Status and counts are fixed-width, so they are gathered by one hash aggregate. Only the observed texts, which would
+    make it sort every row, are gathered apart and joined; those of distinct-values checks, a row per value,
+    stay out of it, as the check's details follow from its counts.
+    """
+
+    def value(metric: str, kind: str) -> Column:
+        return F.max(F.when(F.col("metric") == metric, F.col("value").cast(kind)))
+
+    wide = metrics.groupBy(*CHECK_KEYS).agg(
+        value("success", "boolean").alias("expectation_status"),
+        value("element_count", "bigint").alias("scanned"),
+        value("unexpected_count", "bigint").alias("failure"),
     )
-    return wide.select(
+    counted = (F.col("expectation_name") == DISTINCT_IN_SET) & F.col("scanned").isNotNull()
+    no_value = (F.col("expectation_name") != DISTINCT_IN_SET) | F.startswith("value", F.lit(INVALID))
+    texts = metrics.filter((F.col("metric") == "observed_value") & no_value)
+    texts = texts.groupBy(*CHECK_KEYS).agg(F.max("value").alias("observed"))
+    same = F.lit(True)
+    for c in CHECK_KEYS:
+        same &= F.col(f"w.{c}").eqNullSafe(F.col(f"t.{c}"))
+    joined = wide.alias("w").join(texts.alias("t"), same, "left").select("w.*", "t.observed")
+    return joined.select(
         *CHECK_KEYS,
         "expectation_status",
         "scanned",
         (F.col("scanned") - F.col("failure")).alias("success"),
         "failure",
-        "details",
+        F.when(counted, F.expr(DISTINCT_SUMMARY_SQL)).otherwise(F.col("observed")).alias("details"),
     )
 
 
@@ -90,13 +120,17 @@ def parse_metrics(packed: DataFrame) -> DataFrame:
     )
 
 
-def join_metrics(plan: DataFrame, packed: DataFrame) -> DataFrame:
-    """Planned checks with their packed metrics, by run, check and column.
+def join_metrics(plan: DataFrame, packed: DataFrame, run_id: str | None = None) -> DataFrame:
+    """Planned checks with their packed metrics, by run, check and column; of one run, or of all.
 
     Packed names carry no config id: two configurations of one check on one column get the same
     metrics.
     """
     keys = ["run_id", "expectation_name", "column_name"]
+    if run_id is not None:
+        plan = plan.filter(F.col("run_id") == F.lit(run_id))
+        packed = packed.filter(F.col("run_name") == F.lit(run_id))
+    packed = packed.filter(F.col("metric_kwargs_id").contains("="))  # those of suites have no column
     planned = plan.select(*keys, "job_id", "config_id", "schema_name", "table_name")
     # What is not a key is parsed after the join, for the rows that are left.
     keyed = packed.select(
@@ -113,13 +147,6 @@ def join_metrics(plan: DataFrame, packed: DataFrame) -> DataFrame:
     )
 
 
-def details_table(details: DataFrame) -> DataFrame:
-    """Details as the results table of a database has them."""
-    return details.select(
-        "job_id", "config_id", "expectation_status", "scanned", "success", "failure", "details"
-    )
-
-
 def suite_statistics(details: DataFrame) -> DataFrame:
     """Evaluated, successful and unsuccessful checks per run and job. A check without a status (its
     name is unknown, or it could not be run) is not counted as evaluated."""

@@ -19,12 +19,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayer.functions.columns import column, column_type, quoted, typed_literal
+from assayer.functions.columns import column, column_type, typed_literal
 from assayer.functions.metrics import passed_message
 from assayer.model import Check, CheckError, Control
 from assayer.operators import registry
-from assayer.operators.failed import CONFIG, failed_schema, tag_names, tagged_rows
-from assayer.operators.scorecard import SCORE_SCHEMA, empty_score, scorecard
+from assayer.operators.failed import CONFIG, failed_schema, free_names, tag_names, tagged_rows
+from assayer.operators.scorecard import SCORE_SCHEMA, empty_score, observed_values, scorecard
 from assayer.plans import control as C
 from assayer.plans import details as D
 from assayer.sources import sinks
@@ -32,13 +32,13 @@ from assayer.sources.local import local_frame
 from assayer.sources.tables import Tables
 
 # Up to this many jobs of a unit are read by the driver, and their slices become an IN filter that
-# prunes files and partitions; more stay a DataFrame, and the slices are picked by a semi join. (Below
-# the 1,000 up to which Spark limits a window's groups before it shuffles them.)
+# prunes files and partitions; more stay a DataFrame. Their distinct slices are picked by a semi join within the
+# range of the least and the greatest, which prunes too, and broadcast up to BROADCAST_BYTES as measured.
+# (Below the 1,000 up to which Spark limits a window's groups before it shuffles them.)
 LOCAL_JOBS = 500
+BROADCAST_BYTES = 64 << 20
 CONCURRENT_UNITS = 4
 
-INVALID = "invalid check: "
-
 UNIT = ["schema_name", "table_name", "full_table", "run_column"]
 SCORED = ["expectation_status", "scanned", "success", "failure", "details"]
 UNIT_JOBS_SCHEMA = "unit int, job_id bigint, slice string"
@@ -46,6 +46,7 @@ UNIT_CHECKS_SCHEMA = (
     "unit int, schema_name string, table_name string, expectation_name string, "
     f"column_name string, {SCORE_SCHEMA}"
 )
+PLANNED_SCHEMA = f"{UNIT_JOBS_SCHEMA}, {UNIT_CHECKS_SCHEMA.removeprefix('unit int, ')}"
 OUTCOME_SCHEMA = "job_id bigint, run_id string, job_status string, status_msg string"
 DETAILS_SCHEMA = (
     "run_id string, job_id bigint, expectation_name string, schema_name string, "
@@ -56,6 +57,11 @@ PLAN_SCHEMA = (
     "schema_name string, table_name string, column_name string, expectation_name string, "
     "expectation_parameters string"
 )
+OBSERVED_SCHEMA = (
+    "run_id string, job_id bigint, config_id bigint, expectation_name string, column_name string, "
+    "slice string, value string, outside boolean"
+)
+SUITE_METRICS_SCHEMA = "run_id string, job_id bigint, metric string, value string"
 METRICS_SCHEMA = (
     "run_id string, job_id bigint, config_id bigint, expectation_name string, column_name string, "
     "metric string, value string"
@@ -76,6 +82,7 @@ class Unit:
     invalid: dict[int, str]  # config id -> why the check cannot run
     scores: DataFrame | None  # of the usable checks
     few_slices: bool
+    slices: Sequence[str] | DataFrame | None = None
 
     @property
     def name(self) -> str:
@@ -90,12 +97,58 @@ class Unit:
         rows = []
         for c in self.checks:
             if c.config_id in self.invalid:
-                score = (c.config_id, None, None, None, None, INVALID + self.invalid[c.config_id])
+                score = (c.config_id, None, None, None, None, D.INVALID + self.invalid[c.config_id])
             else:
                 score = empty_score(c)
             rows.append((self.number, self.schema, self.table, c.name, c.column, *score))
         return rows
 
+    def observed(self, run_id: str) -> DataFrame:
+        """OBSERVED_SCHEMA rows: every value that the distinct-values checks have seen, per job."""
+        spark = self.batch.sparkSession
+        checks = [c for c in self.usable() if registry.kind(c) == "distinct"]
+        if not checks:
+            return spark.createDataFrame([], OBSERVED_SCHEMA)
+        names = local_frame(
+            spark,
+            [(c.config_id, c.name, c.column) for c in checks],
+            "config_id bigint, expectation_name string, column_name string",
+        )
+        seen = observed_values(self.batch, checks, self.by)
+        seen = seen.withColumn("slice", F.coalesce("slice", F.lit("")))
+        return (
+            seen.join(self.jobs.select("job_id", "slice"), "slice")
+            .join(names, "config_id")
+            .withColumn("run_id", F.lit(run_id))
+            .select(*T.StructType.fromDDL(OBSERVED_SCHEMA).names)
+        )
+
+    def without_failing(self, error: Exception) -> None:
+        """After `error`, try each check by itself: those that raise become invalid, the others keep their scores.
+        Raises `error` again if no check by itself is to blame, or all of them are."""
+        bad = {}
+        for check in self.usable():
+            try:
+                own = _scores(self.batch, [check], {}, self.by, self.slices)
+                for df in (own, tagged_rows(self.batch, [check], self.by, "extra")):
+                    if df is not None:
+                        df.write.format("noop").mode("overwrite").save()
+            except Exception as own_error:  # whatever it is, it is this check's
+                bad[check.config_id] = str(own_error)
+        if not bad or len(bad) == len(self.usable()):  # then it is not a check but the table
+            raise error
+        self.invalid.update(bad)
+        self.scores = _scores(self.batch, self.checks, self.invalid, self.by, self.slices)
+
+    def each_check(self) -> Column:
+        """Repeats a job's row for every check: the checks are configuration, so this needs no join."""
+        fields = T.StructType.fromDDL(UNIT_CHECKS_SCHEMA).fields[1:]
+        rows = [
+            F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row[1:], fields)])
+            for row in self.planned()
+        ]
+        return F.inline(F.array(*rows))
+
     def failed(
         self, run_id: str, unique_mode: str, details: DataFrame | None = None
     ) -> DataFrame:
@@ -136,10 +189,8 @@ class Unit:
 
 def _details(spark: SparkSession, units: Sequence[Unit], run_id: str) -> DataFrame:
     """One row per job and check of the units; what has no score has that of an empty batch."""
-    checks = local_frame(spark, [r for u in units for r in u.planned()], UNIT_CHECKS_SCHEMA)
-    jobs = _union([u.jobs for u in units], spark, UNIT_JOBS_SCHEMA)
-    empty = F.struct(*SCORED).alias("empty")
-    planned = jobs.join(checks.select("*", empty).drop(*SCORED), "unit")
+    planned = _union([u.jobs.select("*", u.each_check()) for u in units], spark, PLANNED_SCHEMA)
+    planned = planned.select("*", F.struct(*SCORED).alias("empty")).drop(*SCORED)
     scores = [
         u.scores.select(
             F.lit(u.number).alias("unit"),
@@ -170,7 +221,7 @@ def _details(spark: SparkSession, units: Sequence[Unit], run_id: str) -> DataFra
 
 def job_outcomes(details: DataFrame) -> DataFrame:
     """How each job ended: `Failed` where some check could not be run at all."""
-    is_invalid = F.col("expectation_status").isNull() & F.startswith("details", F.lit(INVALID))
+    is_invalid = F.col("expectation_status").isNull() & F.startswith("details", F.lit(D.INVALID))
     counted = details.groupBy("job_id", "run_id").agg(
         F.count("expectation_status").alias("evaluated"),
         F.count_if("expectation_status").alias("successful"),
@@ -209,9 +260,14 @@ class Results:
     def details(self) -> DataFrame:
         return _details(self.spark, self.units, self.run_id)
 
+    @property
+    def observed(self) -> DataFrame:
+        """All values that distinct-values checks have seen."""
+        return _union([u.observed(self.run_id) for u in self.units], self.spark, OBSERVED_SCHEMA)
+
     @property
     def metrics(self) -> DataFrame:
-        return D.metrics_long(self.details)
+        return D.metrics_long(self.details, self.observed)
 
     @property
     def statistics(self) -> DataFrame:
@@ -230,25 +286,30 @@ class Results:
         outcomes = [job_outcomes(self.details), *self.broken]
         return C.ledger_transition(self.jobs, self._timed(outcomes, self.started))
 
-    def _timed(self, outcomes: Sequence[DataFrame], started: datetime) -> DataFrame:
-        end = F.current_timestamp() if self.ended is None else F.lit(self.ended)
+    def _timed(
+        self, outcomes: Sequence[DataFrame], started: datetime, ended: datetime | None = None
+    ) -> DataFrame:
+        """Outcomes with their times. Without an end they end when they are computed."""
+        ended = self.ended or ended
+        end = F.current_timestamp() if ended is None else F.lit(ended)
         return _union(outcomes, self.spark, OUTCOME_SCHEMA).withColumns(
             {"execution_start_time": F.lit(started), "execution_end_time": end}
         )
 
-    def save(self, base: str) -> DataFrame:
-        """Write the planned checks, details, metrics of checks and suites, violating rows and the
-        ledger's next snapshot under `base`, a folder that all executors share.
+    def save(self, base: str, concurrent_units: int = CONCURRENT_UNITS) -> DataFrame:
+        """Write the planned checks, details, observed values, metrics of checks and suites, violating rows
+        and the ledger's next snapshot under `base`, a folder that all executors share.
 
-        Each unit is written by itself, some at a time: one that raises ends its jobs as `Failed`,
-        the others go on. Gives the ledger snapshot.
+        Each unit is written by itself, some at a time. Where one raises, its checks are tried one by one: those
+        that raise end as invalid and the others are written. If that fails too, its jobs end as
+        `Failed` and nothing of it is left. Gives the ledger snapshot.
         """
         sinks.write_partition(self.checks, f"{base}/checks", run_id=self.run_id)
         target = inheritable_thread_target(self.spark)(lambda unit: self._save_unit(unit, base))
-        with ThreadPoolExecutor(CONCURRENT_UNITS) as pool:
+        with ThreadPoolExecutor(concurrent_units) as pool:
             outcomes = list(pool.map(target, self.units))
         if self.broken:
-            outcomes.append(self._timed(self.broken, self.started))
+            outcomes.append(self._timed(self.broken, self.started, datetime.now(timezone.utc)))
         ledger = self.jobs
         if outcomes:
             ledger = C.ledger_transition(ledger, reduce(DataFrame.unionByName, outcomes))
@@ -258,25 +319,58 @@ class Results:
     def _save_unit(self, unit: Unit, base: str) -> DataFrame:
         started = datetime.now(timezone.utc) if self.ended is None else self.started
         label = f"{unit.schema}.{unit.table} {unit.name}"
-        place = {"run_id": self.run_id, sinks.BATCH: label}
         try:
-            scored = _details(self.spark, [unit], self.run_id)
-            sinks.write_partition(scored, f"{base}/details", **place)
-            details = self.saved_details(base).filter(F.col(sinks.BATCH) == label)
-            sinks.write_partition(D.metrics_long(details), f"{base}/metrics", **place)
-            suites = D.suite_metrics_long(D.suite_statistics(details))
-            sinks.write_partition(suites, f"{base}/suite_metrics", **place)
-            run_tag = tag_names(unit.batch.columns)[2]
-            sinks.write_partition(
-                unit.failed(self.run_id, self.unique_mode, details),
-                f"{base}/failed/{unit.schema}.{unit.table}",
-                **{run_tag: self.run_id, sinks.BATCH: unit.name},
-            )
-            outcomes = job_outcomes(details)
+            try:
+                outcomes = self._write_unit(unit, base, label)
+            except Exception as error:  # of one check, perhaps
+                unit.without_failing(error)
+                outcomes = self._write_unit(unit, base, label)
         except Exception as error:  # whatever it is, it is this unit's
             self.errors[label] = str(error)
+            self._clear_unit(unit, base, label)
             outcomes = _failed_jobs(unit.jobs, self.run_id, str(error))
-        return self._timed([outcomes], started)
+        return self._timed([outcomes], started, datetime.now(timezone.utc))
+
+    def _write_unit(self, unit: Unit, base: str, label: str) -> DataFrame:
+        place = {"run_id": self.run_id, sinks.BATCH: label}
+
+        def saved(folder: str, schema: str) -> DataFrame:
+            return sinks.read_partition(self.spark, f"{base}/{folder}", schema, **place)
+
+        scored = _details(self.spark, [unit], self.run_id)
+        sinks.write_partition(scored, f"{base}/details", **place)
+        sinks.write_partition(unit.observed(self.run_id), f"{base}/observed", **place)
+        details, observed = saved("details", DETAILS_SCHEMA), saved("observed", OBSERVED_SCHEMA)
+        sinks.write_partition(D.metrics_long(details, observed), f"{base}/metrics", **place)
+        suites = D.suite_metrics_long(D.suite_statistics(details))
+        sinks.write_partition(suites, f"{base}/suite_metrics", **place)
+        path, names = self._failed_place(unit, base)
+        failed = unit.failed(self.run_id, self.unique_mode, details)
+        sinks.write_partition(failed, path, **names)
+        return job_outcomes(details)
+
+    def _clear_unit(self, unit: Unit, base: str, label: str) -> None:
+        """Leave no results of a unit that failed, neither of this attempt nor of one before."""
+        place = {"run_id": self.run_id, sinks.BATCH: label}
+        schemas = {
+            "details": DETAILS_SCHEMA,
+            "observed": OBSERVED_SCHEMA,
+            "metrics": METRICS_SCHEMA,
+            "suite_metrics": SUITE_METRICS_SCHEMA,
+        }
+        for folder, schema in schemas.items():
+            none = self.spark.createDataFrame([], schema)
+            sinks.write_partition(none, f"{base}/{folder}", **place)
+        path, names = self._failed_place(unit, base)
+        none = self.spark.createDataFrame([], failed_schema(unit.batch.schema))
+        sinks.write_partition(none, path, **names)
+
+    def _failed_place(self, unit: Unit, base: str) -> tuple[str, dict[str, str]]:
+        """Folder of a unit's violating rows and its partition, under names that its columns leave free."""
+        run_tag = tag_names(unit.batch.columns)[2]
+        tagged = [*unit.batch.columns, *tag_names(unit.batch.columns)]
+        batch = free_names(tagged, [sinks.BATCH])[0]
+        return f"{base}/failed/{unit.schema}.{unit.table}", {run_tag: self.run_id, batch: unit.name}
 
     def saved_details(self, base: str) -> DataFrame:
         """The run's details as saved, with the unit they come from."""
@@ -290,9 +384,14 @@ class Results:
         return saved.filter(F.col("run_id") == self.run_id)
 
     def saved_suite_metrics(self, base: str) -> DataFrame:
-        schema = "run_id string, job_id bigint, metric string, value string"
         partitions = f"run_id, {sinks.BATCH}"
-        saved = sinks.read_partitions(self.spark, f"{base}/suite_metrics", schema, partitions)
+        path = f"{base}/suite_metrics"
+        saved = sinks.read_partitions(self.spark, path, SUITE_METRICS_SCHEMA, partitions)
+        return saved.filter(F.col("run_id") == self.run_id)
+
+    def saved_observed(self, base: str) -> DataFrame:
+        partitions = f"run_id, {sinks.BATCH}"
+        saved = sinks.read_partitions(self.spark, f"{base}/observed", OBSERVED_SCHEMA, partitions)
         return saved.filter(F.col("run_id") == self.run_id)
 
     def saved_checks(self, base: str) -> DataFrame:
@@ -300,13 +399,8 @@ class Results:
         return saved.filter(F.col("run_id") == self.run_id)
 
     def saved_failed(self, base: str, unit: Unit) -> DataFrame:
-        run_tag = tag_names(unit.batch.columns)[2]
-        return sinks.read_partitions(
-            self.spark,
-            f"{base}/failed/{unit.schema}.{unit.table}",
-            failed_schema(unit.batch.schema),
-            f"{run_tag}, {sinks.BATCH}",
-        ).filter((F.col(quoted(run_tag)) == self.run_id) & (F.col(sinks.BATCH) == unit.name))
+        path, names = self._failed_place(unit, base)
+        return sinks.read_partition(self.spark, path, failed_schema(unit.batch.schema), **names)
 
 
 def run_jobs(
@@ -326,8 +420,12 @@ def run_jobs(
     pending = C.pending_jobs(control.jobs).withColumn(
         "run_column", F.when(F.col("full_table") == 0, F.col("pipeline_run_id_name"))
     )
-    plan = C.job_plan(C.active_checks(control.config, control.checks), pending)
-    planned_jobs = pending.join(plan.select("job_id").distinct(), "job_id", "left_semi")
+    active = C.active_checks(control.config, control.checks)
+    plan = C.job_plan(active, pending)
+    # Which units there are and which jobs have a check is told by tables, not by jobs times checks.
+    units = C.job_plan(active, pending.select(*UNIT).distinct())
+    checked = active.filter(F.col("expectation_name").isNotNull()).select("schema_name", "table_name")
+    planned_jobs = pending.join(checked.distinct(), ["schema_name", "table_name"], "left_semi")
 
     checks = plan.select(
         F.lit(run_id).alias("run_id"), *T.StructType.fromDDL(PLAN_SCHEMA).names[1:]
@@ -335,7 +433,7 @@ def run_jobs(
     started = started or datetime.now(timezone.utc)
     results = Results(spark, run_id, control.jobs, checks, unique_mode, started, ended)
     local_jobs = _local_jobs(planned_jobs)
-    for number, (key, rows) in enumerate(_checks_by_unit(plan).items()):
+    for number, (key, rows) in enumerate(_checks_by_unit(units).items()):
         few = local_jobs[key] if len(local_jobs[key]) <= LOCAL_JOBS else None
         if few is None:
             same = zip(UNIT, key)
@@ -406,12 +504,11 @@ def _unit(results, number, key, rows, jobs, few, tables) -> Unit:
         batch = _sliced(batch, by, dtype, jobs, slices)
     jobs = jobs.select(F.lit(number).alias("unit"), "job_id", "slice")
     checks, invalid = _parsed(rows)
-    if slices is None and by and any(registry.kind(c) == "query" for c in checks):
-        # Such a check is one query per slice anyway.
-        slices = [r["slice"] for r in jobs.select("slice").distinct().toLocalIterator()]
+    if by and slices is None:
+        slices = jobs.select("slice").distinct()
     scores = _scores(batch, checks, invalid, by, slices)
     few_slices = by is None or few is not None
-    return Unit(number, schema, table, by, batch, jobs, checks, invalid, scores, few_slices)
+    return Unit(number, schema, table, by, batch, jobs, checks, invalid, scores, few_slices, slices)
 
 
 def _slices_of(spark, jobs, few, dtype) -> tuple[DataFrame, DataFrame | None]:
@@ -430,8 +527,16 @@ def _slices_of(spark, jobs, few, dtype) -> tuple[DataFrame, DataFrame | None]:
 
 def _sliced(batch, by, dtype, jobs, slices) -> DataFrame:
     if slices is None:
-        wanted = jobs.select(F.col("slice").cast(dtype).alias("__wanted"))
-        return batch.join(wanted, column(by) == F.col("__wanted"), "left_semi")
+        wanted = jobs.select(F.col("slice").cast(dtype).alias("__wanted")).distinct()
+        size = F.coalesce(F.sum(F.octet_length(F.col("__wanted").cast("string")) + 64), F.lit(0))
+        seen = wanted.agg(F.min("__wanted").cast("string"), F.max("__wanted").cast("string"), size).first()
+        if seen[0] is None:
+            return batch.filter(F.lit(False))
+        if seen[2] <= BROADCAST_BYTES:
+            wanted = F.broadcast(wanted)
+        least, most = (typed_literal(text, dtype) for text in seen[:2])
+        within = batch.filter(column(by).between(least, most))
+        return within.join(wanted, column(by) == F.col("__wanted"), "left_semi")
     if not slices:
         return batch.filter(F.lit(False))
     return batch.filter(column(by).isin(*[typed_literal(text, dtype) for text in slices]))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BATCH = "check_batch"
@@ -38,6 +39,16 @@ def read_partitions(
     return spark.read.schema(full).parquet(path)
 
 
+def read_partition(
+    spark: SparkSession, path: str, schema: T.StructType | str, **values: str
+) -> DataFrame:
+    """Read one partition by its own path, whatever others there are; its columns as in `read_partitions`."""
+    fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    files = T.StructType([f for f in fields if f.name not in values])
+    df = spark.read.schema(files).parquet(partition_path(path, **values))
+    return df.withColumns({name: F.lit(value) for name, value in values.items()})
+
+
 def write_ledger(
     ledger: DataFrame, base: str, snapshot: str, previous: DataFrame | None = None
 ) -> str:

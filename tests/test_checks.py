@@ -3,6 +3,7 @@ import decimal
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from assayer import Check, CheckError, register_query_check, register_row_check, scorecard
 from assayer.model import (
@@ -16,8 +17,9 @@ from assayer.model import (
     QUERIED_UNIQUE,
     UNIQUE,
 )
-from assayer.operators import registry, scorecard as scorecard_module
+from assayer.operators import registry
 from assayer.operators.keys import duplicate_groups
+from assayer.operators.scorecard import observed_values
 
 
 def score(df, name, column=None, by=None, slices=None, **params):
@@ -36,15 +38,16 @@ def texts(spark):
 
 # The documented examples of the two custom checks, less the one that spells a person's name.
 HIT = ["prafool", "praffy", "prafu", "prafio", "praffle"]
-MISS = ["hello", "jason", "mike", "tanya", "jamie"]
+MISS = ["hello", "jason", "mike", "tanya", "jamie", "jess"]
 
 
 def test_substring_examples(spark):
-    df = spark.createDataFrame(list(zip(HIT, MISS)), "hit string, miss string")
-    assert numbers(score(df, CONTAINS, "hit", substring="praf")) == (5, 0, True)
-    assert numbers(score(df, CONTAINS, "miss", substring="praf")) == (5, 5, False)
-    assert numbers(score(df, CONTAINS_PRAF, "hit")) == (5, 0, True)
-    assert numbers(score(df, CONTAINS_PRAF, "miss")) == (5, 5, False)
+    hit = spark.createDataFrame([(v,) for v in HIT], "hit string")
+    df = spark.createDataFrame([(v,) for v in MISS], "miss string")
+    assert numbers(score(hit, CONTAINS, "hit", substring="praf")) == (5, 0, True)
+    assert numbers(score(df, CONTAINS, "miss", substring="praf")) == (6, 6, False)
+    assert numbers(score(hit, CONTAINS_PRAF, "hit")) == (5, 0, True)
+    assert numbers(score(df, CONTAINS_PRAF, "miss")) == (6, 6, False)
 
 
 def test_duplicate_group_examples(spark):
@@ -145,18 +148,75 @@ def test_long_value_set_is_joined(spark, monkeypatch, broadcast_bytes):
     assert numbers(distinct) == (10, 5, False)
 
 
-def test_distinct_values(spark, monkeypatch):
+def test_distinct_values(spark):
     rows = [("a", 3), ("a", 1), ("a", 3), ("b", 2), ("b", None)]
     df = spark.createDataFrame(rows, "g string, v int")
     row = score(df, DISTINCT_IN_SET, "v", value_set=[1, 2])
-    assert numbers(row) == (3, 1, False) and row["details"] == "[1,2,3]"
+    assert numbers(row) == (3, 1, False) and row["details"] == "3 distinct values, 1 outside the set"
     sliced = score(df, DISTINCT_IN_SET, "v", by="g", value_set=[1, 2])
-    assert numbers(sliced["a"]) == (2, 1, False) and sliced["a"]["details"] == "[1,3]"
-    assert numbers(sliced["b"]) == (1, 0, True) and sliced["b"]["details"] == "[2]"
-    monkeypatch.setattr(scorecard_module, "LISTED_VALUES", 1)
-    assert score(df, DISTINCT_IN_SET, "v", value_set=[1])["details"] == "[1]"
-    sliced = score(df, DISTINCT_IN_SET, "v", by="g", value_set=[1])
-    assert sliced["a"]["details"] == "[1]" and sliced["a"]["scanned"] == 2
+    assert numbers(sliced["a"]) == (2, 1, False) and sliced["a"]["details"].startswith("2 distinct")
+    assert numbers(sliced["b"]) == (1, 0, True) and sliced["b"]["details"].startswith("1 distinct")
+    checks = [Check(1, DISTINCT_IN_SET, "v", {"value_set": [1, 2]}), Check(2, NOT_NULL, "v")]
+    seen = observed_values(df, checks, "g").collect()
+    assert {tuple(r) for r in seen} == {("a", 1, "1", False), ("a", 1, "3", True), ("b", 1, "2", False)}
+    assert {tuple(r) for r in observed_values(df, checks).collect()} == {
+        (None, 1, "1", False),
+        (None, 1, "2", False),
+        (None, 1, "3", True),
+    }
+    assert observed_values(df, checks[1:]).collect() == []
+
+
+def test_all_distinct_values_are_observed(spark):
+    df = spark.range(2_500).withColumn("v", F.col("id"))
+    check = Check(1, DISTINCT_IN_SET, "v", {"value_set": [7]})
+    rows = observed_values(df, [check]).collect()
+    assert len(rows) == 2_500 and sum(r["outside"] for r in rows) == 2_499
+
+
+def test_backslashes_and_escapes_in_patterns(spark):
+    df = spark.createDataFrame([("C:\\temp1",), ("50%",), ("50\\%",), ("5_0",), ("5x0",)], "v string")
+
+    def failures(**params):
+        return score(df, LIKE, "v", **params)["failure"]
+
+    assert failures(like_pattern="C:\\temp%") == 4
+    assert failures(like_pattern="50\\%") == 4  # the text with the backslash
+    assert failures(like_pattern="50\\%", escape="\\") == 4  # the one without
+    assert failures(like_pattern="c:\\TEMP%", ignore_case=True) == 4
+    assert failures(like_pattern="5!_0", escape="!") == 4 and failures(like_pattern="5_0") == 3
+    for bad in ("ab", "%", 3, ""):
+        with pytest.raises(CheckError):
+            score(df, LIKE, "v", like_pattern="x", escape=bad)
+    with pytest.raises(CheckError):
+        score(df, LIKE, "v", like_pattern="a!b", escape="!")
+
+
+def test_query_with_two_columns_of_one_name_and_a_text(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "v string, n int")
+    twice = "SELECT max(n) AS x, min(n) AS x FROM {active_batch}"
+    assert score(df, QUERIED_UNIQUE, query=twice, value=2)["expectation_status"] is True
+    text = "SELECT max(v) FROM {active_batch}"
+    row = score(df, QUERIED_UNIQUE, query=text, value=2)
+    assert row["expectation_status"] is False and row["details"] == "b"
+
+
+def test_query_on_slices_is_one_scan(spark):
+    df = spark.createDataFrame([(i % 7, i) for i in range(70)], "g int, n int")
+    queries = {
+        "SELECT count(*) FROM {active_batch} WHERE n > 60": {g: str(sum(i % 7 == g for i in range(61, 70))) for g in range(7)},
+        "SELECT count(*) FROM (SELECT n % 2 FROM {active_batch} GROUP BY 1 HAVING count(*) > 4)": dict.fromkeys(range(7), "2"),
+        "SELECT max(n) FROM {active_batch}": {g: str(63 + g) for g in range(7)},
+    }
+    for query, want in queries.items():
+        slices = [str(g) for g in range(9)]
+        scores = scorecard(df, [Check(1, QUERIED_UNIQUE, None, {"query": query, "value": 2})], "g", slices)
+        got = {r["slice"]: r["details"] for r in scores.collect()}
+        assert {g: got[g] for g in range(7)} == want and got.keys() == set(range(9))
+        plan = scores._jdf.queryExecution().optimizedPlan().toString()
+        few = scorecard(df, [Check(1, QUERIED_UNIQUE, None, {"query": query, "value": 2})], "g", ["1", "2"])
+        other = few._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("LogicalRDD") == other.count("LogicalRDD") <= 2
 
 
 def test_names_of_any_kind(spark):
@@ -216,7 +276,7 @@ def test_empty_table(spark):
     assert numbers(score(df, NOT_NULL, "v")) == (0, 0, True)
     assert numbers(score(df, UNIQUE, "v")) == (0, 0, True)
     row = score(df, DISTINCT_IN_SET, "v", value_set=["a"])
-    assert numbers(row) == (0, 0, True) and row["details"] == "[]"
+    assert numbers(row) == (0, 0, True) and row["details"] == "0 distinct values, 0 outside the set"
     assert score(df, QUERIED_UNIQUE, columns=["v"], value=0)["expectation_status"] is True
 
 

@@ -156,3 +156,16 @@ def test_long_texts_are_told_apart(spark):
     assert sorted(r["id"] for r in extra) == [1, 4]
     (row,) = scorecard(df, [Check(1, UNIQUE, "v")]).collect()
     assert (row["scanned"], row["failure"]) == (8, 4)
+
+
+@pytest.mark.parametrize("at_most", [None, 10])
+def test_ties_that_are_not_unique_lose_no_row(spark, at_most):
+    rows = [("a", 5, 1), ("a", 5, 2), ("b", None, 3), ("b", None, 4), ("c", 1, 5), ("c", 1, 5), ("c", 2, 6), ("d", 1, 7)]
+    df = spark.createDataFrame(rows, "k string, t int, id int")
+    got = repeated_rows(df, ["k"], "extra", ["t"], keys_at_most=at_most)
+    assert sorted(tuple(r) for r in got.collect()) == sorted([("a", 5, 2), ("b", None, 4), ("c", 1, 5), ("c", 2, 6)], key=str)
+
+
+def test_rows_with_maps_and_one_tie(spark):
+    df = spark.sql("SELECT 1 AS k, 1 AS t, map('a', id) AS m FROM range(3)")
+    assert repeated_rows(df, ["k"], "extra", ["t"]).count() == 2

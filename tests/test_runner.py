@@ -33,7 +33,7 @@ def saved(spark, sf, tmp_path_factory):
 EXPECTED = {
     101: (6, 1000, 601, False, None),
     102: (1, 15000, 5088, False, None),
-    103: (3, 5, 3, False, '["click","error","purchase","signup","view"]'),
+    103: (3, 5, 3, False, "5 distinct values, 3 outside the set"),
     104: (1, 15000, 14998, False, None),
     105: (2, 2000, 739, False, None),
     106: (2, 2000, 1752, False, None),
@@ -100,7 +100,14 @@ def test_metrics_agree_with_details(saved):
     assert metrics[102, "unexpected_count"] == "5088" and metrics[102, "success"] == "false"
     assert metrics[108, "observed_value"] == "6" and (108, "element_count") not in metrics
     suites = {(r["job_id"], r["metric"]): r["value"] for r in results.saved_suite_metrics(base).collect()}
-    assert suites[1, "successful_expectations"] == "2" and suites[1, "success_percent"] == "50.0"
+    assert suites[1, "successful_expectations"] == "2" and suites[1, "success_percent"] == "50.0000"
+    seen = {r["value"]: r["outside"] for r in results.saved_observed(base).collect()}
+    assert seen == {"click": False, "view": False, "error": True, "purchase": True, "signup": True}
+    values = results.saved_metrics(base).filter("config_id = 103 and metric = 'observed_value'")
+    assert {r["value"] for r in values.collect()} == set(seen)
+    assert {tuple(r) for r in results.metrics.collect()} == {
+        tuple(r) for r in results.saved_metrics(base).select(*results.metrics.columns).collect()
+    }
     checks = results.saved_checks(base)
     assert checks.filter("job_id = 8").count() == 3 and checks.filter("config_id = 111").isEmpty()
     assert checks.count() == 15
@@ -280,3 +287,55 @@ def test_nothing_pending(spark, loads, tmp_path):
     assert results.details.isEmpty()
     (row,) = results.save(str(tmp_path)).collect()
     assert row["job_status"] is None  # no check is configured for its table: it stays pending
+
+
+def test_a_check_that_raises_while_running_ends_alone(spark, loads, tmp_path):
+    register_row_check("raises_on_rows", lambda col, params: F.when(col.isNotNull(), F.raise_error(F.lit("boom"))))
+    checks = [(1, NOT_NULL), (4, UNIQUE), (99, "raises_on_rows")]
+    config = [(1, 1, "t", "v", "{}"), (2, 99, "t", "v", "{}"), (3, 4, "t", "v", "{}"), (4, 1, "u", "k", "{}")]
+    jobs = [(1, "t", 1, None, None), (2, "u", 1, None, None)]
+    results = run_jobs(spark, control(spark, config, jobs, checks), loads, "r")
+    ledger = {r["job_id"]: r for r in results.save(str(tmp_path)).collect()}
+    assert [ledger[i]["job_status"] for i in (1, 2)] == ["Failed", "Success"]
+    assert "invalid checks: 2" in ledger[1]["status_msg"]
+    for details in (results.saved_details(str(tmp_path)), results.details):
+        rows = {r["config_id"]: r for r in details.collect()}
+        assert rows[2]["expectation_status"] is None and rows[2]["details"].startswith("invalid check: ")
+        assert all(rows[i]["expectation_status"] is not None for i in (1, 3, 4))
+
+
+def test_nothing_is_left_of_a_unit_that_fails(spark, loads, tmp_path):
+    boom = F.raise_error(F.lit("unreadable"))
+
+    def tables(schema, table):
+        df = loads(schema, table)
+        return df.withColumn("v", F.when(F.col("k") > 0, boom)) if table == "t" else df
+
+    base, jobs, config = str(tmp_path), [(1, "t", 1, None, None)], [(1, 1, "t", "v", "{}"), (2, 1, "t", "k", "{}")]
+    first = run_jobs(spark, control(spark, config, jobs), loads, "r")
+    first.save(base)
+    assert first.saved_details(base).count() == 2
+    config = [(1, 1, "t", "v", "{}")]
+    again = run_jobs(spark, control(spark, config, jobs), tables, "r")
+    again.save(base)
+    assert again.saved_details(base).isEmpty() and again.saved_metrics(base).isEmpty()
+    assert again.saved_failed(base, again.units[0]).isEmpty()
+
+
+def test_units_end_at_their_own_times(spark, loads, tmp_path):
+    jobs = [(1, "t", 1, None, None), (2, "u", 1, None, None)]
+    results = run_jobs(spark, control(spark, [(1, 1, "t", "v", "{}"), (2, 1, "u", "k", "{}")], jobs), loads, "r")
+    ledger = {r["job_id"]: r for r in results.save(str(tmp_path), concurrent_units=1).collect()}
+    assert ledger[1]["execution_end_time"] != ledger[2]["execution_end_time"]
+    assert all(r["execution_start_time"] <= r["execution_end_time"] for r in ledger.values())
+
+
+def test_own_output_can_be_checked(spark, tmp_path):
+    names = "run_id string, check_run_id string, check_batch string, Parameters string, v int"
+    df = spark.createDataFrame([("a", "b", "c", "d", None), ("a", "b", "c", "d", 1)], names)
+    jobs, config = [(1, "t", 1, None, None)], [(1, 1, "t", "v", "{}")]
+    results = run_jobs(spark, control(spark, config, jobs), lambda schema, table: df, "r")
+    results.save(str(tmp_path))
+    row = results.saved_failed(str(tmp_path), results.units[0]).first().asDict()
+    assert [row[c] for c in ("run_id", "check_run_id", "check_batch", "Parameters", "v")] == ["a", "b", "c", "d", None]
+    assert row["check_check_run_id"] == "r" and row["check_check_batch"] == "full" and row["check_parameters"] == "{}"
