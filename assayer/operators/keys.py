@@ -20,11 +20,9 @@ from pyspark.sql.window import Window
 from assayer.functions.columns import column, column_type, group_key
 from assayer.model import CheckError
 
-# A key with more rows than this gets one salt per so many rows.
+# A key with more rows than this gets one salt per so many rows. There are at most rows / ROWS_PER_SALT such keys,
+# which bounds the broadcast that names them: 16 MB for a million million rows.
 ROWS_PER_SALT = 1_000_000
-# Only the most frequent keys are salted, which bounds the broadcast; the largest key left out holds
-# at most 1/HOT_KEYS of the rows, and AQE may still split it.
-HOT_KEYS = 10_000
 # Repeated keys are broadcast when they are known to be at most so many; with text keys as digests and
 # fixed-width ties that is some 100 bytes each.
 BROADCAST_KEYS = 500_000
@@ -149,10 +147,8 @@ def _salted(rows, row_names, spread, counts, key_names, rows_per_salt):
         )
         .groupBy("__hash")
         .agg(F.max("__splits").alias("__splits"))
-        .orderBy(F.desc("__splits"), "__hash")
-        .limit(HOT_KEYS)
     )
-    hot = F.broadcast(hot)  # at most HOT_KEYS rows of two bigints
+    hot = F.broadcast(hot)  # two bigints a row
     salted_rows = (
         rows.withColumn("__hash", F.xxhash64(*row_names))
         .join(hot, "__hash", "left")
@@ -201,7 +197,7 @@ def _all_but_least(repeated: DataFrame, keys: Sequence[str]) -> DataFrame:
             raise CheckError(f"name tie columns: {fld.name!r} cannot be ordered")
     names = repeated.columns
     least = (
-        repeated.groupBy(*map(column, keys))
+        repeated.groupBy(*[group_key(repeated, k).alias(f"__k{i}") for i, k in enumerate(keys)])
         .agg(F.min(F.struct(*map(column, names))).alias("__least"))
         .select(*[F.col("__least").getField(n).alias(n) for n in names], F.lit(-1).alias("__n"))
     )

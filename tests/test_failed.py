@@ -48,8 +48,7 @@ def test_repeated_rows_under_skew(spark, mode, tie, rows_per_salt, at_most):
     assert got == want
 
 
-def test_more_hot_keys_than_are_salted(spark, monkeypatch):
-    monkeypatch.setattr(keys, "HOT_KEYS", 2)
+def test_many_hot_keys_are_all_salted(spark):
     rows = [(i, f"k{i % 9}", 0) for i in range(900)]
     df = spark.createDataFrame(rows, "id int, k string, n int")
     got = Counter(map(tuple, repeated_rows(df, ["k"], "extra", ["id"], 10).collect()))
