@@ -95,6 +95,58 @@ def op3_adaptive_quality(spark, sf_dir):
     return quality.judged(docs, with_text=False).select("row.doc_id", *quality.STATS, "base_failed", "kept")
 
 
+def _quality_sql() -> str:
+    metrics = ", ".join(
+        f"{{'metric': '{m}', 'x': {n} * {scale} // n_words, 'spread': {spread}, 'low': {str(low).lower()}}}"
+        for m, (n, scale, spread, low) in quality.METRICS.items()
+    )
+    word = "[^\\x20\\x09-\\x0D]"
+    levels = " UNION ALL ".join(
+        f"SELECT {i} AS level, {lang} AS lang, {source} AS source, metric, bin, count(*) AS n FROM b GROUP BY ALL"
+        for i, lang, source in ((2, "lang", "source"), (1, "lang", "NULL"), (0, "NULL", "NULL"))
+    )
+    same = "q.metric = m.metric AND q.level = {} AND q.total >= {}"
+    return f"""
+WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{word}+') AS ws
+           FROM documents),
+t AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS three
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3)),
+r AS (SELECT doc_id, i FROM t QUALIFY count(*) OVER (PARTITION BY doc_id, three) > 1),
+c AS (SELECT doc_id, count(DISTINCT place)::BIGINT AS n
+      FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM r) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*)::BIGINT AS n
+      FROM (SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w)
+            WHERE regexp_matches(line, '{word}')
+            QUALIFY row_number() OVER (PARTITION BY doc_id, line) > 1) GROUP BY doc_id),
+s AS (SELECT w.doc_id, lang, source, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+             coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
+      FROM w LEFT JOIN l ON w.doc_id = l.doc_id LEFT JOIN c ON w.doc_id = c.doc_id),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s),
+m AS (SELECT doc_id, lang, source, unnest([{metrics}], recursive := true) FROM f WHERE NOT base_failed),
+b AS (SELECT lang, source, metric, shift * 32 + (x >> shift) AS bin
+      FROM (SELECT *, greatest(length(bin(x)) - 5, 0) AS shift FROM m)),
+v AS ({levels}),
+u AS (SELECT *, sum(n) OVER g AS total, sum(n) OVER (g ORDER BY bin) AS upto FROM v
+      WINDOW g AS (PARTITION BY level, lang, source, metric)),
+q AS (SELECT level, lang, source, metric, max(total) AS total,
+             min((bin & 31) << (bin >> 5)) FILTER (WHERE upto * 4 >= total) AS q1,
+             min((((bin & 31) + 1) << (bin >> 5)) - 1) FILTER (WHERE upto * 4 >= total * 3) AS q3
+      FROM u GROUP BY level, lang, source, metric),
+j AS (SELECT m.*, coalesce(o.q1, g.q1, e.q1) AS q1, coalesce(o.q3, g.q3, e.q3) AS q3
+      FROM m LEFT JOIN q o ON {same.format(2, quality.LEAST_ROWS).replace("q.", "o.")}
+                          AND o.lang IS NOT DISTINCT FROM m.lang AND o.source IS NOT DISTINCT FROM m.source
+             LEFT JOIN q g ON {same.format(1, quality.LEAST_ROWS).replace("q.", "g.")} AND g.lang IS NOT DISTINCT FROM m.lang
+             LEFT JOIN q e ON {same.format(0, 0).replace("q.", "e.")}),
+k AS (SELECT doc_id, bool_and(x <= q3 + {quality.FENCE} * greatest(q3 - q1, spread)
+                              AND (NOT low OR x >= q1 - {quality.FENCE} * greatest(q3 - q1, spread))) AS fine
+      FROM j GROUP BY doc_id)
+SELECT f.doc_id, {", ".join(quality.STATS)}, base_failed, coalesce(fine, false) AS kept
+FROM f LEFT JOIN k ON f.doc_id = k.doc_id"""
+
+
+ORACLE["op3_adaptive_quality"] = _quality_sql()
+
 # --- 6: near-duplicates --------------------------------------------------------------------------
 
 
