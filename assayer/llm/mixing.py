@@ -15,8 +15,8 @@ from assayer.llm.fingerprints import words
 LEVELS = ("domain", "lang", "source")
 #: Leaves up to this number are broadcast.
 BROADCAST_ROWS = 100_000
-#: Leading digits of a document's draw that make the buckets in which a leaf's prefix is first sought.
-BUCKET_DIGITS = 3
+#: A leaf's cut is sought by so many leading digits of the draws, then by so many more: 256 sums a leaf each time.
+BUCKET_DIGITS = (2, 4)
 
 
 @dataclass(frozen=True)
@@ -124,7 +124,8 @@ def cuts(rows: DataFrame, mix: Mix) -> DataFrame:
 
     `rows`: domain, lang, source, doc_id, tokens. A leaf's cut is the least draw at which its rest of the budget is reached, so the last
     document is whole and a leaf exceeds its budget by less than that. Rows with one doc_id have one draw and are taken
-    together. Tokens are added per bucket of draws, and only the bucket that has the cut is looked at row by row.
+    together. Tokens are added per bucket of draws, again per bucket within that which has the cut, and only the last one is
+    looked at row by row.
     """
     leaves = kept(rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens")), "leaves")
     shares = budgets(leaves, mix).withColumns(
@@ -134,18 +135,19 @@ def cuts(rows: DataFrame, mix: Mix) -> DataFrame:
         }
     )
     shares = kept(shares.select(*LEVELS, "whole", "rest"), "leaf-budgets")
-    drawn = _with_leaf(rows, shares).filter("rest > 0")
-    drawn = drawn.withColumn("draw", draw(F.col("doc_id"), F.col("whole"), mix.seed))
-    drawn = drawn.withColumn("bucket", F.substring("draw", 1, BUCKET_DIGITS))
-    sums = drawn.groupBy(*LEVELS, "rest", "bucket").agg(F.sum("tokens").alias("tokens"))
+    inside = _with_leaf(rows, shares).filter("rest > 0").withColumnRenamed("rest", "more")
+    inside = inside.withColumn("draw", draw(F.col("doc_id"), F.col("whole"), mix.seed)).drop("whole")
     ordered = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    found = (
-        sums.withColumn("upto", F.sum("tokens").over(ordered))
-        .filter("upto >= rest and upto - tokens < rest")
-        .select(*LEVELS, F.col("bucket").alias("cut_bucket"), (F.col("rest") - F.col("upto") + F.col("tokens")).alias("more"))
-    )
-    found = kept(found, "cut-buckets")
-    inside = _with_leaf(drawn.drop("rest", "whole"), found).filter("bucket = cut_bucket")
+    for digits in BUCKET_DIGITS:
+        bucketed = inside.withColumn("bucket", F.substring("draw", 1, digits))
+        sums = bucketed.groupBy(*LEVELS, "more", "bucket").agg(F.sum("tokens").alias("tokens"))
+        found = (
+            sums.withColumn("upto", F.sum("tokens").over(ordered))
+            .filter("upto >= more and upto - tokens < more")
+            .select(*LEVELS, F.col("bucket").alias("cut_bucket"), (F.col("more") - F.col("upto") + F.col("tokens")).alias("more"))
+        )
+        found = kept(found, "cut-buckets")
+        inside = _with_leaf(bucketed.drop("more"), found).filter("bucket = cut_bucket").drop("bucket", "cut_bucket")
     peers = Window.partitionBy(*LEVELS).orderBy("draw").rangeBetween(Window.unboundedPreceding, 0)
     reached = (
         inside.withColumn("upto", F.sum("tokens").over(peers))
