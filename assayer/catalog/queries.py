@@ -23,6 +23,7 @@ from assayer.model import (
 )
 from assayer.operators import keys
 from assayer.operators.failed import failed_rows
+from assayer.operators.registry import register_query_check, register_row_check
 from assayer.operators.scorecard import (
     distinct_values,
     duplicate_group_counts,
@@ -290,6 +291,29 @@ def unknown_check(spark, sf_dir):
     )
 
 
+# Checks that a user adds.
+register_row_check("expect_column_values_to_exceed", lambda col, params: col <= F.lit(params["least"]))
+register_query_check(
+    "expect_row_count_to_equal",
+    "SELECT count(*) AS n FROM {active_batch}",
+    lambda observed, params: observed == F.lit(params["value"]),
+)
+
+
+@query(_count_sql(141, "orders", "o_totalprice <= 1000"))
+def check_registered_row(spark, sf_dir):
+    check = Check(141, "expect_column_values_to_exceed", "o_totalprice", {"least": 1000})
+    return _counts(_table(spark, sf_dir, "orders"), check)
+
+
+@query("""SELECT o_orderpriority AS slice, 142::bigint AS config_id, count(*) = 3000 AS expectation_status,
+      count(*)::varchar AS details FROM orders GROUP BY 1""")
+def check_registered_query(spark, sf_dir):
+    check = Check(142, "expect_row_count_to_equal", None, {"value": 3000})
+    scores = _scores(_table(spark, sf_dir, "orders"), check, by="o_orderpriority")
+    return scores.select("slice", "config_id", "expectation_status", "details")
+
+
 LINE_CHECKS = [
     Check(401, IN_SET, "l_returnflag", {"value_set": ["A", "R"]}),
     Check(402, IN_SET, "l_linenumber", {"value_set": [1, 2, 3]}),
@@ -903,6 +927,31 @@ def run_ledger(spark, sf_dir):
     return _run(spark, sf_dir).ledger.select("job_id", "run_id", "job_status", "status_msg")
 
 
+INVALID_CONFIG = [
+    (521, 2, "orders", "no_such_column", '{"value_set":["O"]}', 1),
+    (522, 1, "orders", "o_orderkey", "{}", 1),
+    (523, 6, "orders", "o_orderpriority", '{"like_pattern":"x!y","escape":"!"}', 1),
+]
+
+
+@query(f"""SELECT 1::bigint AS job_id, '{RUN}' AS run_id, 'Failed' AS job_status,
+      (count(*) FILTER (WHERE o_orderkey IS NULL) = 0)::int
+        || '/1 Validations Passed; invalid checks: 521, 523' AS status_msg FROM orders
+    UNION ALL SELECT i, NULL, CASE WHEN i = 7 THEN 'Success' END, NULL FROM range(2, 9) t(i)""")
+def run_invalid_checks(spark, sf_dir):
+    control = fixture.control(spark, fixture.CHECKS, INVALID_CONFIG)
+    results = run_jobs(spark, control, fixture.tables(spark, sf_dir), RUN)
+    return results.ledger.select("job_id", "run_id", "job_status", "status_msg")
+
+
+@query("""SELECT 'run_1' AS run_id, 3::bigint AS job_id, 103::bigint AS config_id,
+      '""" + DISTINCT_IN_SET + """' AS expectation_name, 'event_type' AS column_name, '' AS slice,
+      v AS value, v NOT IN ('click', 'view') AS outside
+    FROM (SELECT DISTINCT event_type AS v FROM events)""")
+def run_observed_values(spark, sf_dir):
+    return _run(spark, sf_dir).observed
+
+
 ORDERS_UNIQUE = Check(104, UNIQUE, "o_custkey", {}, "{}")
 ORDERS_SET = Check(102, IN_SET, "o_orderstatus", {}, '{"value_set":["O","F"]}')
 

@@ -83,6 +83,7 @@ class Unit:
     scores: DataFrame | None  # of the usable checks
     few_slices: bool
     slices: Sequence[str] | DataFrame | None = None
+    local_jobs: list[int] | None = None  # up to LOCAL_JOBS
 
     @property
     def name(self) -> str:
@@ -109,18 +110,26 @@ class Unit:
         checks = [c for c in self.usable() if registry.kind(c) == "distinct"]
         if not checks:
             return spark.createDataFrame([], OBSERVED_SCHEMA)
-        names = local_frame(
-            spark,
-            [(c.config_id, c.name, c.column) for c in checks],
-            "config_id bigint, expectation_name string, column_name string",
-        )
         seen = observed_values(self.batch, checks, self.by)
         seen = seen.withColumn("slice", F.coalesce("slice", F.lit("")))
-        return (
-            seen.join(self.jobs.select("job_id", "slice"), "slice")
-            .join(names, "config_id")
-            .withColumn("run_id", F.lit(run_id))
-            .select(*T.StructType.fromDDL(OBSERVED_SCHEMA).names)
+        if self.by is None and self.local_jobs is not None:
+            seen = seen.withColumn("job_id", F.explode(F.array(*map(F.lit, self.local_jobs))))
+        else:
+            seen = seen.join(self.jobs.select("job_id", "slice"), "slice")
+
+        def named(values: list[str]) -> Column:
+            pairs = [x for c, v in zip(checks, values) for x in (F.lit(c.config_id).cast("bigint"), F.lit(v))]
+            return F.element_at(F.create_map(*pairs), F.col("config_id"))
+
+        return seen.select(
+            F.lit(run_id).alias("run_id"),
+            F.col("job_id").cast("bigint").alias("job_id"),
+            "config_id",
+            named([c.name for c in checks]).alias("expectation_name"),
+            named([c.column for c in checks]).alias("column_name"),
+            "slice",
+            "value",
+            "outside",
         )
 
     def without_failing(self, error: Exception) -> None:
@@ -508,7 +517,10 @@ def _unit(results, number, key, rows, jobs, few, tables) -> Unit:
         slices = jobs.select("slice").distinct()
     scores = _scores(batch, checks, invalid, by, slices)
     few_slices = by is None or few is not None
-    return Unit(number, schema, table, by, batch, jobs, checks, invalid, scores, few_slices, slices)
+    ids = None if few is None else [job_id for job_id, _ in few]
+    return Unit(
+        number, schema, table, by, batch, jobs, checks, invalid, scores, few_slices, slices, ids
+    )
 
 
 def _slices_of(spark, jobs, few, dtype) -> tuple[DataFrame, DataFrame | None]:
