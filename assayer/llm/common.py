@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,6 +21,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of so many rows, so that few texts at a time become Python objects; gives memory back at the end."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """text, and all other columns as the struct `row`, so that columns of any name pass through an operator."""
     return docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayer.llm.common import kept, packed, unpacked
+from assayer.llm.common import kept, packed, small_batches, unpacked
 
 STRIP = b" \t\n\x0b\x0c\r"
 #: Keys that one shard of the hash holds on average.
@@ -106,7 +106,7 @@ def key_counts(docs: DataFrame, least_chars: int) -> DataFrame:
     """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             ids, hashes = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = set(_keys(text, least_chars)[2])
@@ -214,7 +214,7 @@ def deduplicated(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, br
         marked = marked.select("d.*", "h.drops")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts, split = batch.column(1).to_pylist(), []
             for text in texts:
                 split.append(_keys(text, least_chars))
@@ -269,7 +269,7 @@ def _probed_in_shards(docs: DataFrame, arrays: DataFrame, shards: int, least_cha
     salts = 16
 
     def hashed(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             ids, hashes = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = set(_keys(text, least_chars)[2])

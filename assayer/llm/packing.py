@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from assayer.llm.common import small_batches
+
 WINDOW = 2048
 END_ID = 1
 #: Cost of a cut, in tokens of padding: within a document after a sentence, and within a sentence.
@@ -229,7 +231,7 @@ def packed(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW,
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, last = encoder(path), np.array([END_ID], "<u4").tobytes()
         packer = _Packer(sentence_ends(path), window, TaskContext.get().partitionId() << 40)
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column(1)
             for i, doc_id in enumerate(batch.column(0).to_pylist()):
                 ids = encode(texts[i].as_py() or "") + last

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from assayer.llm.common import kept, packed, unpacked
+from assayer.llm.common import kept, packed, small_batches, unpacked
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SYMBOLS = "#*$%&|<>"
@@ -72,7 +72,7 @@ def measured(docs: DataFrame, with_text: bool) -> DataFrame:
     """The columns of `docs` as `row` (see `packed`; `text` beside it if asked for), with `STATS` and base_failed."""
 
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column(0)
             values = [text_stats(texts[i].as_py()) for i in range(len(texts))]
             columns = [pa.array([v[i] for v in values], pa.int64()) for i in range(len(STATS))]

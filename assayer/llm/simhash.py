@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayer.llm.common import components, kept, packed, unpacked
+from assayer.llm.common import components, kept, packed, small_batches, unpacked
 
 BITS = 64
 BUDGET = 3
@@ -23,7 +23,7 @@ COUNTED = 1 << 16
 #: Fingerprints that a bucket should hold on average, and beyond which it is split.
 BUCKET, LARGE_BUCKET = 64, 100_000
 #: Fingerprints and node pairs that a task works on at once.
-GROUPED, FRONTIER = 200_000, 1 << 20
+GROUPED, FRONTIER = 200_000, 1 << 18
 #: Row numbers up to this many are broadcast: 8 MB.
 BROADCAST_ROWS = 1_000_000
 
@@ -53,7 +53,7 @@ def fingerprinted(docs: DataFrame, shingle: int = SHINGLE, with_text: bool = Tru
     """The columns of `docs` as `row` (see `packed`; `text` beside it if asked for), with fingerprint (its 64 bits as a bigint)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column(0)
             values = [text_fingerprint(texts[i].as_py(), shingle) for i in range(len(texts))]
             prints = pa.array(np.array(values, np.uint64).view(np.int64))
@@ -323,8 +323,9 @@ def one_each(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET) -> D
     own = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fingerprint "), F.col("fingerprint")))
     stay = F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.col("number")))
     small = small.withColumn("class", own)
-    first = small.groupBy("class").agg(stay.alias("first"))
-    gone = kept(small.join(first, "class").filter("number <> first").select("number"), "copies")
+    first = small.groupBy("class").agg(stay.alias("number")).select("number")
+    # by number, which is a row's own: the rows of one class never meet
+    gone = kept(small.select("number").join(first, "number", "left_anti"), "copies")
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
     return unpacked(rows.join(gone, "number", "left_anti"), docs.columns)
