@@ -13,6 +13,16 @@ from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
+_VERSION = re.compile(r"v?(\d+(?:\.\d+)*)")
+#: What a version number follows; clause numbers and years do not.
+_VERSIONED = re.compile(r"version|v|licen[cs]e|[al]?gpl|cc|(?:cc-)?by(?:-.*)?|attribution(?:-.*)?")
+#: Words, or parts of hyphened ones, that tell a licence from its neighbours.
+_VARIANTS = {w: w for w in ("affero", "lesser", "library", "nc", "nd", "sa")} | {
+    "noncommercial": "nc",
+    "noderivatives": "nd",
+    "noderivs": "nd",
+    "sharealike": "sa",
+}
 _COPYRIGHT = re.compile(r"\s*(?:copyright\b|\(c\)|©)", re.IGNORECASE)
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
@@ -42,8 +52,14 @@ SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, I
 (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
 HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING
 IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_GNU = """This {0} is free software{1} you can redistribute it and/or modify it under the terms of the GNU {2} as published by the Free
+Software Foundation{3} either version {4} of the License, or (at your option) any later version."""
 #: Published licence texts and the notices that name them: fixed values.
 TEMPLATES: Mapping[str, Sequence[str]] = {
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        _GNU.format("program", ":", "Affero General Public License", ",", 3),
+    ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
@@ -66,17 +82,40 @@ permissions and limitations under the License.""",
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "CC-BY-NC-ND-4.0": (
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ),
+    "CC-BY-NC-SA-4.0": (
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    "CC-BY-ND-4.0": (
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ),
     "CC-BY-SA-4.0": (
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     ),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        _GNU.format("program", ";", "General Public License", ";", 2),
+    ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
 published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
     ),
     "ISC": ("Released under the ISC License.", _ISC),
+    "LGPL-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        _GNU.format("library", ";", "Lesser General Public License", ";", 2.1),
+    ),
+    "LGPL-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        _GNU.format("program", ":", "Lesser General Public License", ",", 3),
+    ),
     "MIT": ("Released under the MIT License.", "Licensed under the MIT License.", _MIT, f"{_MIT}\n\n{_MIT_REST}"),
     "MPL-2.0": (
         "Licensed under the Mozilla Public License, Version 2.0.",
@@ -96,14 +135,27 @@ def bigrams(words: Sequence[str]) -> Counter:
     return Counter(zip(words, words[1:], strict=False))
 
 
+def marks(words: Sequence[str]) -> frozenset[str]:
+    """The versions (2.0 is 2) and variants that `words` name. LGPL-2.1 calls its subject a library, so that word counts only before
+    "general"."""
+    found = set()
+    for i, word in enumerate(words):
+        if i and (version := _VERSION.fullmatch(word)) and _VERSIONED.fullmatch(words[i - 1]):
+            found.add(re.sub(r"(?:\.0)+$", "", version[1]))
+        for part in word.split("-"):
+            if part in _VARIANTS and (part != "library" or words[i + 1 : i + 2] == ["general"]):
+                found.add(_VARIANTS[part])
+    return frozenset(found)
+
+
 class Templates:
     """Templates by their number of bigrams, and by each bigram."""
 
     def __init__(self, texts: Mapping[str, Sequence[str]], threshold: float = THRESHOLD):
-        counted = [(name, bigrams(words)) for name, all_ in texts.items() for text in all_ if len(words := self._words(text)) > 1]
+        counted = [(name, bigrams(words), marks(words)) for name, all_ in texts.items() for text in all_ if len(words := self._words(text)) > 1]
         counted.sort(key=lambda x: (x[1].total(), x[0]))
         self.threshold = threshold
-        self.names, self.counts = [n for n, _ in counted], [c for _, c in counted]
+        self.names, self.counts, self.marks = [n for n, *_ in counted], [c for _, c, _ in counted], [m for *_, m in counted]
         self.sizes = [c.total() for c in self.counts]
         self.having: dict[tuple[str, str], list[int]] = defaultdict(list)
         for i, counts in enumerate(self.counts):
@@ -119,8 +171,9 @@ class Templates:
         t = self.threshold
         return range(bisect_left(self.sizes, size * t / (2 - t) - 1e-9), bisect_right(self.sizes, size * (2 - t) / t + 1e-9))
 
-    def best(self, words: Sequence[str]) -> list[tuple[float, int, str]]:
-        """(coefficient, template's bigrams, name) of the templates that reach the threshold."""
+    def best(self, words: Sequence[str], one: bool = False) -> list[tuple[float, int, str]]:
+        """(coefficient, template's bigrams, name) of the templates that reach the threshold; of `one`, the best of those that name
+        the versions and variants that `words` name."""
         size = len(words) - 1
         among = self.candidates(size) if size > 0 else range(0)
         if not among:
@@ -133,17 +186,20 @@ class Templates:
         for i in found:
             shared = sum(min(n, self.counts[i][p]) for p, n in counts.items() if p in self.counts[i])
             if (dice := 2 * shared / (size + self.sizes[i])) >= self.threshold:
-                out.append((dice, self.sizes[i], self.names[i]))
-        return out
+                out.append((dice, self.sizes[i], self.names[i], self.marks[i]))
+        if one and out:
+            own = marks(words)
+            out = sorted((h for h in out if h[3] == own), key=lambda h: (-h[0], -h[1], h[2]))[:1]
+        return [h[:3] for h in out]
 
 
-def scan(text: str | None, templates: Templates) -> list[tuple[float, int, str, str, int]]:
+def scan(text: str | None, templates: Templates, one: bool = False) -> list[tuple[float, int, str, str, int]]:
     """(coefficient, template's bigrams, licence, kind of unit, its first line) of each match: each line, each paragraph of
-    several lines and the whole text are units."""
+    several lines and the whole text are units. With `one`, a unit has one match at most (see `Templates.best`)."""
     lines = [normalised(line) for line in (text or "").split("\n")]
     out = []
     for i, words in enumerate(lines):
-        out += [(*hit, "line", i) for hit in templates.best(words)]
+        out += [(*hit, "line", i) for hit in templates.best(words, one)]
     if len(lines) > 1:
         begin = 0
         blocks = []
@@ -155,14 +211,14 @@ def scan(text: str | None, templates: Templates) -> list[tuple[float, int, str,
         whole = (0, len(lines), "text")
         for a, b, kind in [*(x for x in blocks if x[:2] != whole[:2]), whole]:
             if templates.candidates(sum(map(len, lines[a:b])) - 1):
-                out += [(*hit, kind, a) for hit in templates.best([w for line in lines[a:b] for w in line])]
+                out += [(*hit, kind, a) for hit in templates.best([w for line in lines[a:b] for w in line], one)]
     return out
 
 
 def scanned(docs: DataFrame, texts: Mapping[str, Sequence[str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, license, dice, unit, line, licenses of every row of `docs` (doc_id, text).
 
-    The best match of the document (its coefficient, the kind of unit and its first line from 0) and the names of all matches,
+    A unit matches its best template of equal versions and variants. The best match of the document (its coefficient, the kind of unit and its first line from 0) and the names of all matches,
     sorted and joined by commas; nulls if none reaches the threshold. Of equal coefficients the larger template counts, then the first
     name, then the first line. Null and empty texts match nothing; repeated rows get the same answer. Of other columns nothing is
     read. An empty table gives no rows. Each text is scanned where it lies; nothing is shuffled.
@@ -173,7 +229,7 @@ def scanned(docs: DataFrame, texts: Mapping[str, Sequence[str]] = TEMPLATES, thr
         for batch in batches:
             column, rows = batch.column(1), []
             for i in range(len(column)):
-                hits = scan(column[i].as_py(), templates)
+                hits = scan(column[i].as_py(), templates, True)
                 dice, _, name, unit, line = min(hits, key=lambda h: (-h[0], -h[1], h[2], h[4], h[3]), default=(None,) * 5)
                 rows.append((name, dice, unit, line, ",".join(sorted({h[2] for h in hits})) or None))
             types = [pa.string(), pa.float64(), pa.string(), pa.int64(), pa.string()]

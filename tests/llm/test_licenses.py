@@ -88,3 +88,31 @@ def test_ties_and_lists(spark):
     text = "Released under the MIT License.\nx\nLicensed under CC BY 4.0.\nReleased under the MIT License."
     row = scanned(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
     assert (row["license"], row["dice"], row["unit"], row["line"], row["licenses"]) == ("CC-BY-4.0", 1.0, "line", 2, "CC-BY-4.0,MIT")
+
+
+def test_one_licence_for_one_notice(spark):
+    """Versions and variants do not fall onto their neighbours, known or not."""
+    gnu = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    work = "This work is licensed under a Creative Commons Attribution-{} 4.0 International License."
+    cases = [
+        ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+        ("This work is licensed under the GNU General Public License, version 1.", None),
+        (gnu.format("General Public License", 2), "GPL-2.0"),
+        (gnu.format("General Public License", 3), "GPL-3.0"),
+        (gnu.format("Affero General Public License", 3), "AGPL-3.0"),
+        (gnu.format("Lesser General Public License", 2.1).replace("program", "library"), "LGPL-2.1"),
+        (gnu.format("Lesser General Public License", 3), "LGPL-3.0"),
+        (work.format("NoDerivatives"), "CC-BY-ND-4.0"),
+        (work.format("NonCommercial-ShareAlike"), "CC-BY-NC-SA-4.0"),
+        ("This work is licensed under a Creative Commons Attribution 3.0 International License.", None),
+    ]
+    rows = scanned(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id bigint, text string")).collect()
+    assert [(r["license"], r["licenses"]) for r in sorted(rows, key=lambda r: r["doc_id"])] == [(n, n) for _, n in cases]
+
+
+def test_each_template_is_its_own_best():
+    templates = Templates(TEMPLATES)
+    for name, texts in TEMPLATES.items():
+        for text in texts:
+            assert [h[2] for h in templates.best(brute_words(text), True)] == [name]
