@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayer.llm import lines, mixing, packing, quality, resembling
+from assayer.llm import lines, mixing, packing, quality, simhash
 from assayer.llm.common import documents, kept
 
 
@@ -19,8 +19,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose sets of five-word shingles resemble each other at 0.8 or more."""
-    return resembling.one_each(docs)
+    """One document of each group that SimHash fingerprints of three-word shingles link at 3 or fewer differing bits."""
+    return simhash.one_each(docs, simhash.SHINGLE, simhash.BUDGET)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ STAGES = [
     ("packing", packed_windows),
 ]
 
-#: MinHash and token ids cannot be said in SQL.
+#: Token ids cannot be said in SQL.
 ORACLE_SQL = None
 
 
