@@ -6,6 +6,7 @@ import re
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ LONG_SENTENCE = 4
 HARD_STEP = 64
 #: Tokens that one run of the dynamic programme holds; the window it leaves open begins the next run.
 BLOCK = 1 << 19
-#: Cached pieces, in two generations.
-CACHED = 250_000
+#: Cached pieces, and runs of pieces between white space, in two generations each; longer runs are split each time.
+CACHED, CACHED_CHARS = 500_000, 100
 #: Characters of a text that are split at once, up to the next white space.
 SLICE = 1 << 20
 
@@ -39,12 +40,31 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Remembered(dict):
+    """Ids of texts as `encode` gives them. Two generations, so that what is often seen stays; long texts are encoded each time."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.old = encode, {}
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.old.get(text)
+        if ids is None:
+            ids = self.encode(text)
+        if len(text) <= CACHED_CHARS:
+            if len(self) >= CACHED:
+                self.old = dict(self)
+                self.clear()
+            self[text] = ids
+        return ids
+
+
 class Encoder:
     """Token ids of texts by a lower-casing, white-space-dropping BPE tokenizer, as little-endian 32-bit integers.
 
-    The tokenizer's normaliser and splitter work within runs of non-space characters, so equal pieces have equal ids and each
-    distinct piece is encoded once. Plain Latin text is split here by the tokenizer's own pattern; a run with any other
-    character, or with what may be a special token, goes through the whole tokenizer.
+    The tokenizer's normaliser and splitter work within runs of non-space characters, so equal runs have equal ids and each
+    distinct run is encoded once. Plain Latin text is lower-cased and split at white space at once, and a new run by the
+    tokenizer's own pattern; a run with any other character, or with what may be a special token, goes through the whole tokenizer.
     """
 
     #: The tokenizer's split pattern, a fixed value.
@@ -57,43 +77,45 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.chars = self.byte_chars()
+        self.pieces = _Remembered(self._piece)
+        self.plain, self.other = _Remembered(self._plain_run), _Remembered(self._other_run)
+
+    @staticmethod
+    def byte_chars() -> dict[int, str]:
+        """The character that stands for each byte: printable ones for themselves, the others from 256 on."""
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in set(printable)]
-        self.chars = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
     def _piece(self, piece: str) -> bytes:
-        symbols = "".join(map(self.chars.__getitem__, piece.encode()))
-        return np.array([t.id for t in self.model.tokenize(symbols)], "<u4").tobytes()
-
-    def _run(self, run: str) -> bytes:
+        symbols = piece if piece.isascii() and piece.isprintable() else "".join(map(self.chars.__getitem__, piece.encode()))
+        ids = [t.id for t in self.model.tokenize(symbols)]
+        return pack(f"<{len(ids)}I", *ids)
+
+    def _plain_run(self, run: str) -> bytes:
+        """Ids of a run of lower-cased plain Latin; mostly a word, or a word and a stop."""
+        if run.isalpha():
+            return self._piece(run)
+        if run[:-1].isalpha():
+            return self.plain[run[:-1]] + self.pieces[run[-1]]
+        return b"".join(map(self.pieces.__getitem__, self.PIECES.findall(run)))
+
+    def _other_run(self, run: str) -> bytes:
+        if self.is_plain(run):
+            return self.plain[run.lower()]
         return np.array(self.tokenizer.encode(run, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _ids(self, pieces: list[str], encode) -> bytes:
-        found = list(map(self.young.get, pieces))
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    piece = pieces[i]
-                    ids = self.young.get(piece) or self.old.get(piece)
-                    if ids is None:
-                        ids = encode(piece)
-                    self.young[piece] = found[i] = ids
-            if len(self.young) > CACHED:
-                self.old, self.young = self.young, {}
-        return b"".join(found)
+    @classmethod
+    def is_plain(cls, text: str) -> bool:
+        if text.isascii():  # told at once, without a search
+            return not ("<|" in text or "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text)
+        return not cls.OTHER.search(text)
 
     def _slice(self, text: str) -> bytes:
-        if not self.OTHER.search(text):
-            return self._ids(self.PIECES.findall(text.lower()), self._piece)
-        out = []
-        for run in self.RUNS.findall(text):
-            if self.OTHER.search(run):
-                out.append(self._ids([f"\x00{run}"], lambda x: self._run(x[1:])))
-            else:
-                out.append(self._ids(self.PIECES.findall(run.lower()), self._piece))
-        return b"".join(out)
+        if not self.is_plain(text):
+            return b"".join(map(self.other.__getitem__, self.RUNS.findall(text)))
+        return b"".join(map(self.plain.__getitem__, text.lower().split()))
 
     def __call__(self, text: str) -> bytes:
         if len(text) <= SLICE:

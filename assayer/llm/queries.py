@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import fingerprints, language, licenses, lines, mixing, packing, quality, sharding, simhash, warc
+from assayer.llm import divergence, fingerprints, language, licenses, lines, mixing, packing, quality, sharding, simhash, tokens, warc, whitening
 from assayer.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -303,3 +303,54 @@ def op7_license_scan(spark, sf_dir):
 def op8_language_id(spark, sf_dir):
     docs = documents(spark, sf_dir)
     return language.identified(docs, language.fitted(docs))
+
+# --- 11: whitening -------------------------------------------------------------------------------
+
+
+@query
+def op11_embedding_whitening(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    found = whitening.whitened(vectors, "vec_id", "embedding")
+    return found.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+# --- 12: token counts ----------------------------------------------------------------------------
+
+
+@query
+def op12_token_counts(spark, sf_dir):
+    return tokens.counted(documents(spark, sf_dir))
+
+# --- 13: divergence of sources -------------------------------------------------------------------
+
+
+@query
+def op13_source_divergence(spark, sf_dir):
+    return divergence.audited(documents(spark, sf_dir))
+
+
+ORACLE["op13_source_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source
+           FROM documents),
+o AS (SELECT doc, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+k AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+v AS (SELECT lang, count(k.term) AS v FROM (SELECT DISTINCT lang FROM d) LEFT JOIN k USING (lang) GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY lang, source, term),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, v.v::HUGEINT AS v
+      FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+s AS (SELECT *, (1 + 1000000000 * (n + 2) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v))::HUGEINT AS p FROM p),
+l AS (SELECT lang, term, (1 + 1000000000 * (n + 2) // (sum(n) OVER (PARTITION BY lang) + 2 * v))::HUGEINT AS q
+      FROM (SELECT lang, term, sum(n)::HUGEINT AS n, any_value(v) AS v FROM p GROUP BY lang, term)),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+                 coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+               LEFT JOIN s x ON x.lang = a.lang AND x.source = a.source
+               LEFT JOIN s y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+          GROUP BY a.lang, a.source, b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+          FROM s JOIN l USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+      FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM r WHERE part = 'pair' OR rank <= 10"""

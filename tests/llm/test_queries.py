@@ -16,7 +16,7 @@ def ordered(rows, names):
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= entry.queries().keys()
 
 
