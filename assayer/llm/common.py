@@ -56,10 +56,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
+def kept(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """`df` written to the shared folder and read again: lineage ends there, and lost executors cost nothing before it."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -28,6 +28,11 @@ END = b"\x00"
 FILTER_BITS = 1 << 27
 SEED = 42
 _BITMAP = 1 << 15
+#: Rows of a block at most, and its columns.
+BLOCK_ROWS = 1024
+BLOCK_SCHEMA = "lang string, terms binary, lengths binary, codes binary, counts binary, sources array<string>, source_of binary"
+BLOCK_NAMES = [c.split()[0] for c in BLOCK_SCHEMA.split(", ")]
+BLOCK_TYPES = [pa.string(), *[pa.binary()] * 4, pa.list_(pa.string()), pa.binary()]
 #: Partial counts that a task holds before it hands them on.
 HELD = 200_000
 #: Numbers of a block of terms by sources, and terms of it at most.
@@ -37,21 +42,64 @@ BROADCAST_ROWS = 100_000
 
 
 def tokenised(docs: DataFrame) -> DataFrame:
-    """lang, source, terms (binary, distinct) and counts of every row of `docs` (text, lang, source); nulls are empty texts."""
+    """Blocks of the rows of `docs` (text, lang, source; nulls are empty texts): up to BLOCK_ROWS rows of one language each.
+
+    lang; terms (the block's distinct ones in byte order, joined by spaces); lengths (distinct terms of each row), codes and counts
+    (place of each in `terms` and its occurrences, row by row); sources and source_of (place of each row's in `sources`). Numbers are
+    little-endian, of 32 bits.
+    """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
-            texts = batch.column(0)
-            found = [Counter(TERM.findall(texts[i].as_py().lower())) for i in range(len(texts))]  # bytes: only A-Z change
-            terms = pa.array([list(c) for c in found], pa.list_(pa.binary()))
-            counts = pa.array([list(c.values()) for c in found], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], terms, counts], names=["lang", "source", "terms", "counts"])
+        for batch in small_batches(batches, BLOCK_ROWS):
+            texts, by_lang = batch.column(0), {}
+            for i, lang in enumerate(batch.column(1).to_pylist()):
+                by_lang.setdefault(lang, []).append(i)
+            sources = batch.column(2).to_pylist()
+            for lang, rows in by_lang.items():
+                number: dict[bytes, int] = {}
+                lengths, codes, counts, places = [], [], [], {}
+                for i in rows:
+                    found = Counter(TERM.findall(texts[i].as_py().lower()))  # of bytes: only A-Z change
+                    lengths.append(len(found))
+                    codes += [number.setdefault(t, len(number)) for t in found]
+                    counts += found.values()
+                    places.setdefault(sources[i], len(places))
+                terms = sorted(number)
+                place = np.empty(len(terms), "<i4")
+                place[[number[t] for t in terms]] = np.arange(len(terms))
+                numbers = [np.array(lengths, "<i4"), place[codes] if codes else place, np.array(counts, "<i4")]
+                numbers.append(np.array([places[sources[i]] for i in rows], "<i4"))
+                row = [lang, b" ".join(terms), *(n.tobytes() for n in numbers[:3]), list(places), numbers[3].tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, BLOCK_TYPES, strict=True)], names=BLOCK_NAMES)
 
     def filled(name: str):
         return F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
 
     rows = docs.select(filled("text").cast("binary"), filled("lang"), filled("source"))
-    return rows.mapInArrow(split, "lang string, source string, terms array<binary>, counts array<bigint>")
+    return rows.mapInArrow(split, BLOCK_SCHEMA)
+
+
+@dataclass
+class _Block:
+    """A row of `tokenised`."""
+
+    lang: str
+    terms: list[bytes]
+    row: np.ndarray  # of each term of each row
+    codes: np.ndarray
+    counts: np.ndarray
+    sources: list[str]
+    source_of: np.ndarray
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            lang, terms, lengths, codes, counts, sources, source_of = (c[i].as_py() for c in batch.columns)
+            row = np.repeat(np.arange(len(lengths) // 4), np.frombuffer(lengths, "<i4"))
+            numbers = (np.frombuffer(x, "<i4") for x in (codes, counts))
+            yield _Block(lang, terms.split(b" ") if terms else [], row, *numbers, sources, np.frombuffer(source_of, "<i4"))
+    pa.default_memory_pool().release_unused()
 
 
 def _place(lang: bytes, prefix: bytes) -> int:
@@ -82,29 +130,16 @@ class Filter:
         return cls(bits)
 
 
-def _pairs(batch: pa.RecordBatch) -> tuple[list[tuple[bytes, bytes]], np.ndarray, np.ndarray]:
-    """Distinct (lang, term) of a batch of `tokenised`, and for each term of each row its number there and its row."""
-    terms = batch.column("terms")
-    flat = terms.flatten().dictionary_encode()
-    langs = batch.column("lang").cast(pa.binary()).dictionary_encode()
-    row = np.repeat(np.arange(batch.num_rows), np.diff(terms.offsets.to_numpy()))
-    own = langs.indices.to_numpy()[row].astype(np.int64)
-    width = max(1, len(flat.dictionary))
-    both, number = np.unique(own * width + flat.indices.to_numpy(), return_inverse=True)
-    named, said = langs.dictionary.to_pylist(), flat.dictionary.to_pylist()
-    return [(named[b // width], said[b % width]) for b in both.tolist()], number, row
-
-
 class _Held:
     """Partial counts by key, handed on as a batch when there are many."""
 
     def __init__(self, names: list[str], types: list[pa.DataType]):
-        self.names, self.types, self.counts = names, types, Counter()
+        self.names, self.types, self.counts = names, types, {}
 
     def add(self, keys, counts) -> Iterator[pa.RecordBatch]:
         held = self.counts
         for key, count in zip(keys, counts, strict=True):
-            held[key] += count
+            held[key] = held.get(key, 0) + count
         if len(held) >= HELD:
             yield self.out()
 
@@ -115,6 +150,15 @@ class _Held:
         return pa.RecordBatch.from_arrays(arrays, names=self.names)
 
 
+def _stems(terms: list[bytes], size: int) -> tuple[list[bytes], np.ndarray]:
+    """The distinct beginnings of `size` bytes of sorted terms, with their end marks where that long, and the place of each term's."""
+    # fixed-width bytes are padded with the end mark, which no term has
+    cut = np.array([t[:size] for t in terms], f"S{size}")
+    changes = np.concatenate([[True], cut[1:] != cut[:-1]]) if len(cut) else np.zeros(0, bool)
+    own = cut[changes].tolist()  # gives them back without their marks
+    return [t if len(t) == size else t + END for t in own], np.cumsum(changes) - 1
+
+
 def _level(rows: DataFrame, size: int, before: int, filtered) -> DataFrame:
     """(lang, prefix, docs): documents that have a term with that prefix of at most `size` bytes, for terms not settled by level
     `before` whose prefix of that many bytes has stayed. A document counts once, however many of its terms share a prefix."""
@@ -122,27 +166,28 @@ def _level(rows: DataFrame, size: int, before: int, filtered) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Held(["lang", "prefix", "docs"], [pa.string(), pa.binary(), pa.int64()])
         stays = Filter(filtered.value) if before else None
-        for batch in small_batches(batches, 2048):
-            pairs, number, row = _pairs(batch)
-            keys: dict[tuple[bytes, bytes], int] = {}
-            key_of = np.full(len(pairs), -1)
-            for i, (lang, term) in enumerate(pairs):
-                marked = term + END
-                if not before or len(marked) > before and stays(lang, marked[:before]):
-                    key_of[i] = keys.setdefault((lang, marked[:size]), len(keys))
-            key = key_of[number]
-            of = key >= 0
-            each = np.unique(row[of] * max(1, len(keys)) + key[of])  # a document's prefix once
-            docs = np.bincount(each % max(1, len(keys)), minlength=len(keys)).tolist()
-            yield from held.add(((lang.decode(), prefix) for lang, prefix in keys), docs)
+        for block in _blocks(batches):
+            left = np.arange(len(block.terms))
+            if before:
+                left = np.flatnonzero(np.fromiter((len(t) >= before for t in block.terms), bool, len(left)))
+                stems, of = _stems([block.terms[i] for i in left.tolist()], before)
+                fine = np.fromiter((stays(block.lang.encode(), s) for s in stems), bool, len(stems))
+                left = left[fine[of]] if len(left) else left
+            prefixes, of = _stems([block.terms[i] for i in left.tolist()], size)
+            key_of = np.full(len(block.terms), -1, np.int64)
+            key_of[left] = of
+            key, width = key_of[block.codes], max(1, len(prefixes))
+            each = np.unique(block.row[key >= 0] * width + key[key >= 0])  # a document's prefix once
+            docs = np.bincount(each % width, minlength=len(prefixes)).tolist()
+            yield from held.add(((block.lang, p) for p in prefixes), docs)
         yield held.out()
 
-    partial = rows.select("lang", "terms").mapInArrow(count, "lang string, prefix binary, docs bigint")
+    partial = rows.select(*BLOCK_NAMES).mapInArrow(count, "lang string, prefix binary, docs bigint")
     return partial.groupBy("lang", "prefix").agg(F.sum("docs").alias("docs"))
 
 
 def frequent_terms(rows: DataFrame, least: int = LEAST_DOCS, first: int = FIRST_BYTES) -> DataFrame:
-    """(lang, term): terms that at least `least` rows of their language in `rows` (see `tokenised`) have.
+    """(lang, term): terms that at least `least` documents of their language have; `rows` as `tokenised` gives them.
 
     Level by level, prefixes of 4, 8, 16, ... bytes are counted by distinct documents and those in fewer than `least` discarded;
     only terms whose prefix has stayed are extended on the next level. A prefix with the end mark is a complete term and settled. What
@@ -158,6 +203,8 @@ def frequent_terms(rows: DataFrame, least: int = LEAST_DOCS, first: int = FIRST_
         open_ = stayed.filter(~whole)
         if open_.isEmpty():
             break
+        if filtered is not None:
+            filtered.unpersist()
         filtered = spark.sparkContext.broadcast(bytes(Filter.of(open_).bits))
         before, size = size, size * 2
     out = settled[0]
@@ -169,23 +216,22 @@ def frequent_terms(rows: DataFrame, least: int = LEAST_DOCS, first: int = FIRST_
 def term_counts(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """(lang, source, term, n): occurrences of `terms` (lang, term), where there are any. Rare terms are left out by a bit filter
     before anything is shuffled, and what that lets through by the join."""
-    marked = terms.select("lang", F.encode("term", "UTF-8").alias("prefix"))
-    filtered = rows.sparkSession.sparkContext.broadcast(bytes(Filter.of(marked).bits))
+    whole = terms.select("lang", F.encode("term", "UTF-8").alias("prefix"))
+    filtered = rows.sparkSession.sparkContext.broadcast(bytes(Filter.of(whole).bits))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Held(["lang", "source", "term", "n"], [pa.string(), pa.string(), pa.string(), pa.int64()])
         stays = Filter(filtered.value)
-        for batch in small_batches(batches, 2048):
-            pairs, number, row = _pairs(batch)
-            fine = np.array([stays(*p) for p in pairs], bool)[number] if pairs else np.zeros(0, bool)
-            sources = batch.column("source").dictionary_encode()
-            own = sources.indices.to_numpy()[row[fine]].astype(np.int64)
-            each, place = np.unique(own * max(1, len(pairs)) + number[fine], return_inverse=True)
+        for block in _blocks(batches):
+            lang, width = block.lang.encode(), max(1, len(block.terms))
+            fine = np.fromiter((stays(lang, t) for t in block.terms), bool, len(block.terms))
+            of = fine[block.codes]
+            key = block.source_of[block.row[of]].astype(np.int64) * width + block.codes[of]
+            each, place = np.unique(key, return_inverse=True)
             n = np.zeros(len(each), np.int64)
-            np.add.at(n, place, batch.column("counts").flatten().to_numpy()[fine])
-            named = sources.dictionary.to_pylist()
-            found = ((named[e // len(pairs)], *pairs[e % len(pairs)]) for e in each.tolist())
-            yield from held.add(((lang.decode(), source, term.decode()) for source, lang, term in found), n.tolist())
+            np.add.at(n, place, block.counts[of])
+            said = {i: block.terms[i].decode() for i in np.flatnonzero(fine).tolist()}
+            yield from held.add(((block.lang, block.sources[e // width], said[e % width]) for e in each.tolist()), n.tolist())
         yield held.out()
 
     partial = rows.mapInArrow(count, "lang string, source string, term string, n bigint")
@@ -273,12 +319,12 @@ def audited(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP) -> DataFra
     pairs, with or without terms; one alone in its language has none. Ties go by the item's bytes. Other columns are not
     read; an empty table gives no rows.
 
-    Texts are read once; the distinct terms of each document are kept in the shared folder for the levels. Everything is counted
+    Texts are read once; the distinct terms of the documents are kept in the shared folder, in blocks, for the levels. Everything is counted
     within tasks before it is shuffled, so a hot source or word is one row per task. The driver gets a row per group, the
     square root of the result.
     """
-    rows = kept(tokenised(docs), "terms")
-    groups = rows.select("lang", "source").distinct()
+    rows = kept(tokenised(docs), "terms", "zstd")
+    groups = rows.select("lang", F.explode("sources").alias("source")).distinct()
     terms = kept(frequent_terms(rows, least), "frequent-terms")
     counts = kept(term_counts(rows, terms), "term-counts")
     sizes = groups.join(counts.groupBy("lang", "source").agg(F.sum("n").alias("n")), ["lang", "source"], "left")
