@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,49 +29,96 @@ END = b"\x00"
 FILTER_BITS = 1 << 27
 SEED = 42
 _BITMAP = 1 << 15
-#: Rows of a block at most, and its columns.
-BLOCK_ROWS = 1024
-BLOCK_SCHEMA = "lang string, terms binary, lengths binary, codes binary, counts binary, sources array<string>, source_of binary"
+#: Terms of rows that a task gathers in blocks, and the columns of a block.
+BLOCK_TERMS = 1 << 21
+BLOCK_SCHEMA = (
+    "lang string, terms binary, lengths binary, codes binary, counts binary, sources array<string>, source_of binary, "
+    "prefixes array<binary>, docs array<bigint>"
+)
 BLOCK_NAMES = [c.split()[0] for c in BLOCK_SCHEMA.split(", ")]
-BLOCK_TYPES = [pa.string(), *[pa.binary()] * 4, pa.list_(pa.string()), pa.binary()]
-#: Partial counts that a task holds before it hands them on.
-HELD = 200_000
+BLOCK_TYPES = [pa.string(), *[pa.binary()] * 4, pa.list_(pa.string()), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
+#: Rows of a batch that a task hands on.
+OUT_ROWS = 1 << 16
 #: Numbers of a block of terms by sources, and terms of it at most.
 CELLS, CHUNK = 1 << 20, 4096
 #: Languages up to this number have their totals broadcast.
 BROADCAST_ROWS = 100_000
 
 
+class _Numbers(dict):
+    """Numbers of terms, as they come."""
+
+    def __missing__(self, term: bytes) -> int:
+        number = self[term] = len(self)
+        return number
+
+
+class _Gathered:
+    """A block of one language as it grows."""
+
+    def __init__(self, lang: str):
+        self.lang, self.number, self.places = lang, _Numbers(), _Numbers()
+        self.lengths, self.codes, self.counts, self.source_of = (array("i") for _ in range(4))
+
+    def add(self, text: bytes, source: str) -> int:
+        found = Counter(TERM.findall(text.lower()))  # of bytes: only A-Z change
+        self.lengths.append(len(found))
+        self.codes.extend(map(self.number.__getitem__, found))
+        self.counts.extend(found.values())
+        self.source_of.append(self.places[source])
+        return len(found)
+
+    def out(self) -> pa.RecordBatch:
+        terms = sorted(self.number)
+        place = np.empty(len(terms), "<i4")
+        place[np.fromiter(map(self.number.__getitem__, terms), np.int64, len(terms))] = np.arange(len(terms))
+        lengths, codes = np.array(self.lengths, "<i4"), place[np.array(self.codes, np.int64)]
+        prefixes, of = _stems(terms, FIRST_BYTES)
+        docs = _documents(np.repeat(np.arange(len(lengths)), lengths), of[codes], len(prefixes))
+        numbers = [x.tobytes() for x in (lengths, codes, np.array(self.counts, "<i4"), np.array(self.source_of, "<i4"))]
+        row = [self.lang, b" ".join(terms), *numbers[:3], list(self.places), numbers[3], prefixes, docs]
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, BLOCK_TYPES, strict=True)], names=BLOCK_NAMES)
+
+
+def _stems(terms: list[bytes], size: int) -> tuple[list[bytes], np.ndarray]:
+    """The distinct beginnings of `size` bytes of sorted terms, with their end marks where that long, and the place of each term's."""
+    # fixed-width bytes are padded with the end mark, which no term has
+    cut = np.array([t[:size] for t in terms], f"S{size}")
+    changes = np.concatenate([[True], cut[1:] != cut[:-1]]) if len(cut) else np.zeros(0, bool)
+    own = cut[changes].tolist()  # gives them back without their marks
+    return [t if len(t) == size else t + END for t in own], np.cumsum(changes) - 1
+
+
+def _documents(row: np.ndarray, prefix: np.ndarray, prefixes: int) -> list[int]:
+    """For each prefix the rows that have it; a row counts once, however many of its terms begin with it."""
+    width = max(1, prefixes)
+    return np.bincount(np.unique(row * width + prefix) % width, minlength=prefixes).tolist()
+
+
 def tokenised(docs: DataFrame) -> DataFrame:
-    """Blocks of the rows of `docs` (text, lang, source; nulls are empty texts): up to BLOCK_ROWS rows of one language each.
+    """Blocks of the rows of `docs` (text, lang, source; nulls are empty texts), each of one language.
 
     lang; terms (the block's distinct ones in byte order, joined by spaces); lengths (distinct terms of each row), codes and counts
-    (place of each in `terms` and its occurrences, row by row); sources and source_of (place of each row's in `sources`). Numbers are
-    little-endian, of 32 bits.
+    (place of each in `terms` and its occurrences, row by row); sources and source_of (place of each row's in `sources`); prefixes
+    and docs (the first level's, and the rows that have them). Numbers are little-endian, of 32 bits. A task holds up to
+    BLOCK_TERMS terms of rows, or one row where that has more.
     """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, BLOCK_ROWS):
-            texts, by_lang = batch.column(0), {}
-            for i, lang in enumerate(batch.column(1).to_pylist()):
-                by_lang.setdefault(lang, []).append(i)
-            sources = batch.column(2).to_pylist()
-            for lang, rows in by_lang.items():
-                number: dict[bytes, int] = {}
-                lengths, codes, counts, places = [], [], [], {}
-                for i in rows:
-                    found = Counter(TERM.findall(texts[i].as_py().lower()))  # of bytes: only A-Z change
-                    lengths.append(len(found))
-                    codes += [number.setdefault(t, len(number)) for t in found]
-                    counts += found.values()
-                    places.setdefault(sources[i], len(places))
-                terms = sorted(number)
-                place = np.empty(len(terms), "<i4")
-                place[[number[t] for t in terms]] = np.arange(len(terms))
-                numbers = [np.array(lengths, "<i4"), place[codes] if codes else place, np.array(counts, "<i4")]
-                numbers.append(np.array([places[sources[i]] for i in rows], "<i4"))
-                row = [lang, b" ".join(terms), *(n.tobytes() for n in numbers[:3]), list(places), numbers[3].tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, BLOCK_TYPES, strict=True)], names=BLOCK_NAMES)
+        blocks: dict[str, _Gathered] = {}
+        held = 0
+        for batch in small_batches(batches):
+            texts = batch.column(0)
+            for i, (lang, source) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                if lang not in blocks:
+                    blocks[lang] = _Gathered(lang)
+                held += blocks[lang].add(texts[i].as_py(), source)
+            if held >= BLOCK_TERMS:
+                while blocks:
+                    yield blocks.popitem()[1].out()
+                held = 0
+        while blocks:
+            yield blocks.popitem()[1].out()
 
     def filled(name: str):
         return F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
@@ -95,7 +143,7 @@ class _Block:
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
     for batch in batches:
         for i in range(batch.num_rows):
-            lang, terms, lengths, codes, counts, sources, source_of = (c[i].as_py() for c in batch.columns)
+            lang, terms, lengths, codes, counts, sources, source_of = (c[i].as_py() for c in batch.columns[:7])
             row = np.repeat(np.arange(len(lengths) // 4), np.frombuffer(lengths, "<i4"))
             numbers = (np.frombuffer(x, "<i4") for x in (codes, counts))
             yield _Block(lang, terms.split(b" ") if terms else [], row, *numbers, sources, np.frombuffer(source_of, "<i4"))
@@ -130,63 +178,36 @@ class Filter:
         return cls(bits)
 
 
-class _Held:
-    """Partial counts by key, handed on as a batch when there are many."""
+def _first_level(rows: DataFrame) -> DataFrame:
+    """(lang, prefix, docs) of the shortest prefixes, as the blocks have them."""
+    each = F.inline(F.arrays_zip(F.col("prefixes").alias("prefix"), F.col("docs").alias("n")))
+    return rows.select("lang", each).toDF("lang", "prefix", "n").groupBy("lang", "prefix").agg(F.sum("n").alias("docs"))
 
-    def __init__(self, names: list[str], types: list[pa.DataType]):
-        self.names, self.types, self.counts = names, types, {}
 
-    def add(self, keys, counts) -> Iterator[pa.RecordBatch]:
-        held = self.counts
-        for key, count in zip(keys, counts, strict=True):
-            held[key] = held.get(key, 0) + count
-        if len(held) >= HELD:
-            yield self.out()
-
-    def out(self) -> pa.RecordBatch:
-        columns = [*zip(*self.counts, strict=True)] or [()] * (len(self.names) - 1)
-        arrays = [pa.array(c, t) for c, t in zip([*columns, [*self.counts.values()]], self.types, strict=True)]
-        self.counts.clear()
-        return pa.RecordBatch.from_arrays(arrays, names=self.names)
-
-
-def _stems(terms: list[bytes], size: int) -> tuple[list[bytes], np.ndarray]:
-    """The distinct beginnings of `size` bytes of sorted terms, with their end marks where that long, and the place of each term's."""
-    # fixed-width bytes are padded with the end mark, which no term has
-    cut = np.array([t[:size] for t in terms], f"S{size}")
-    changes = np.concatenate([[True], cut[1:] != cut[:-1]]) if len(cut) else np.zeros(0, bool)
-    own = cut[changes].tolist()  # gives them back without their marks
-    return [t if len(t) == size else t + END for t in own], np.cumsum(changes) - 1
-
-
-def _level(rows: DataFrame, size: int, before: int, filtered) -> DataFrame:
+def _next_level(rows: DataFrame, size: int, before: int, filtered) -> DataFrame:
     """(lang, prefix, docs): documents that have a term with that prefix of at most `size` bytes, for terms not settled by level
-    `before` whose prefix of that many bytes has stayed. A document counts once, however many of its terms share a prefix."""
+    `before` whose prefix of that many bytes has stayed."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Held(["lang", "prefix", "docs"], [pa.string(), pa.binary(), pa.int64()])
-        stays = Filter(filtered.value) if before else None
+        stays = Filter(filtered.value)
         for block in _blocks(batches):
-            left = np.arange(len(block.terms))
-            if before:
-                left = np.flatnonzero(np.fromiter((len(t) >= before for t in block.terms), bool, len(left)))
-                stems, of = _stems([block.terms[i] for i in left.tolist()], before)
-                fine = np.fromiter((stays(block.lang.encode(), s) for s in stems), bool, len(stems))
-                left = left[fine[of]] if len(left) else left
+            long = [i for i, t in enumerate(block.terms) if len(t) >= before]
+            stems, of = _stems([block.terms[i] for i in long], before)
+            fine = np.fromiter((stays(block.lang.encode(), s) for s in stems), bool, len(stems))
+            left = np.array(long, np.int64)[fine[of]] if long else np.zeros(0, np.int64)
             prefixes, of = _stems([block.terms[i] for i in left.tolist()], size)
-            key_of = np.full(len(block.terms), -1, np.int64)
-            key_of[left] = of
-            key, width = key_of[block.codes], max(1, len(prefixes))
-            each = np.unique(block.row[key >= 0] * width + key[key >= 0])  # a document's prefix once
-            docs = np.bincount(each % width, minlength=len(prefixes)).tolist()
-            yield from held.add(((block.lang, p) for p in prefixes), docs)
-        yield held.out()
-
-    partial = rows.select(*BLOCK_NAMES).mapInArrow(count, "lang string, prefix binary, docs bigint")
+            prefix_of = np.full(len(block.terms), -1, np.int64)
+            prefix_of[left] = of
+            prefix = prefix_of[block.codes]
+            docs = _documents(block.row[prefix >= 0], prefix[prefix >= 0], len(prefixes))
+            columns = [pa.repeat(block.lang, len(docs)), pa.array(prefixes, pa.binary()), pa.array(docs, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "prefix", "docs"])
+
+    partial = rows.select(*BLOCK_NAMES[:7]).mapInArrow(count, "lang string, prefix binary, docs bigint")
     return partial.groupBy("lang", "prefix").agg(F.sum("docs").alias("docs"))
 
 
-def frequent_terms(rows: DataFrame, least: int = LEAST_DOCS, first: int = FIRST_BYTES) -> DataFrame:
+def frequent_terms(rows: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
     """(lang, term): terms that at least `least` documents of their language have; `rows` as `tokenised` gives them.
 
     Level by level, prefixes of 4, 8, 16, ... bytes are counted by distinct documents and those in fewer than `least` discarded;
@@ -194,10 +215,10 @@ def frequent_terms(rows: DataFrame, least: int = LEAST_DOCS, first: int = FIRST_
     has stayed reaches the tasks as a bit filter of fixed size. Where that errs it lets through a prefix that is rare, and so is what
     extends it, which the next count discards: the terms are exact for any corpus.
     """
-    spark, settled, before, size = rows.sparkSession, [], 0, first
-    filtered = None
+    spark, settled, size, filtered = rows.sparkSession, [], FIRST_BYTES, None
+    counted = _first_level(rows)
     while True:
-        stayed = kept(_level(rows, size, before, filtered).filter(F.col("docs") >= least), "prefixes")
+        stayed = kept(counted.filter(F.col("docs") >= least), "prefixes")
         whole = F.substring(F.hex("prefix"), -2, 2) == "00"
         settled.append(stayed.filter(whole).select("lang", F.expr("substring(prefix, 1, length(prefix) - 1)").cast("string").alias("term")))
         open_ = stayed.filter(~whole)
@@ -206,7 +227,8 @@ def frequent_terms(rows: DataFrame, least: int = LEAST_DOCS, first: int = FIRST_
         if filtered is not None:
             filtered.unpersist()
         filtered = spark.sparkContext.broadcast(bytes(Filter.of(open_).bits))
-        before, size = size, size * 2
+        counted = _next_level(rows, 2 * size, size, filtered)
+        size *= 2
     out = settled[0]
     for more in settled[1:]:
         out = out.unionByName(more)
@@ -220,21 +242,24 @@ def term_counts(rows: DataFrame, terms: DataFrame) -> DataFrame:
     filtered = rows.sparkSession.sparkContext.broadcast(bytes(Filter.of(whole).bits))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Held(["lang", "source", "term", "n"], [pa.string(), pa.string(), pa.string(), pa.int64()])
         stays = Filter(filtered.value)
         for block in _blocks(batches):
             lang, width = block.lang.encode(), max(1, len(block.terms))
             fine = np.fromiter((stays(lang, t) for t in block.terms), bool, len(block.terms))
+            said = pa.array([block.terms[i].decode() for i in np.flatnonzero(fine).tolist()], pa.string())
             of = fine[block.codes]
-            key = block.source_of[block.row[of]].astype(np.int64) * width + block.codes[of]
-            each, place = np.unique(key, return_inverse=True)
-            n = np.zeros(len(each), np.int64)
-            np.add.at(n, place, block.counts[of])
-            said = {i: block.terms[i].decode() for i in np.flatnonzero(fine).tolist()}
-            yield from held.add(((block.lang, block.sources[e // width], said[e % width]) for e in each.tolist()), n.tolist())
-        yield held.out()
-
-    partial = rows.mapInArrow(count, "lang string, source string, term string, n bigint")
+            key = block.source_of[block.row[of]].astype(np.int64) * width + (np.cumsum(fine) - 1)[block.codes[of]]
+            order = np.argsort(key, kind="stable")
+            key, n = key[order], block.counts[of][order].astype(np.int64)
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+            each, n = key[first], np.add.reduceat(n, first) if len(key) else n
+            for at in range(0, len(each), OUT_ROWS):
+                part = each[at : at + OUT_ROWS]
+                source, term = pa.array(block.sources).take(pa.array(part // width)), said.take(pa.array(part % width))
+                columns = [pa.repeat(block.lang, len(part)), source, term, pa.array(n[at : at + OUT_ROWS])]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n"])
+
+    partial = rows.select(*BLOCK_NAMES[:7]).mapInArrow(count, "lang string, source string, term string, n bigint")
     summed = partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
     return summed.join(terms, ["lang", "term"]).select("lang", "source", "term", "n")
 

@@ -96,9 +96,9 @@ def test_filter_places_are_sparks(spark):
 def test_rare_prefixes_go_no_further(made):
     _, df = made
     rows = kept(D.tokenised(df), "test-terms")
-    first = D._level(rows, 4, 0, None).filter("docs >= 10")
+    first = D._first_level(rows).filter("docs >= 10")
     bits = df.sparkSession.sparkContext.broadcast(bytes(D.Filter.of(first.filter("hex(prefix) NOT LIKE '%00'")).bits))
-    second = D._level(rows, 8, 4, bits).collect()
+    second = D._next_level(rows, 8, 4, bits).collect()
     stayed = {(r["lang"], bytes(r["prefix"])) for r in first.collect()}
     assert second and all((r["lang"], bytes(r["prefix"])[:4]) in stayed for r in second)
 
@@ -107,8 +107,15 @@ def test_counts_beyond_64_bits():
     assert D.shares([10**12], 10**13, 5).tolist() == [1 + 10**9 * (10**12 + 2) // (10**13 + 10)]
 
 
-def test_blocks_of_terms(made, monkeypatch):
+def test_small_blocks_of_rows_and_terms(made, monkeypatch):
+    """Sizes that the workers read from the functions' own module, so small data have to do: one row a partition."""
     rows, df = made
-    monkeypatch.setattr(D, "CHUNK", 2)
-    monkeypatch.setattr(D, "HELD", 3)
-    assert got(D.audited(df, 3)) == brute(rows, 3)
+    assert got(D.audited(df.repartition(60), 3)) == brute(rows, 3)
+
+
+def test_blocks_are_closed_when_full(monkeypatch):
+    gathered = D._Gathered("en")
+    assert [gathered.add(t, s) for t, s in ((b"B a b", "x"), (b"", "y"), (b"abcde abcd a", "x"))] == [2, 0, 3]
+    block = next(D._blocks([gathered.out()]))
+    assert block.terms == [b"a", b"abcd", b"abcde", b"b"] and block.sources == ["x", "y"] and block.source_of.tolist() == [0, 1, 0]
+    assert sorted(zip(block.row.tolist(), block.codes.tolist(), block.counts.tolist())) == [(0, 0, 1), (0, 3, 2), (2, 0, 1), (2, 1, 1), (2, 2, 1)]
