@@ -9,6 +9,8 @@ from assayer.llm.common import kept, numbered
 
 K = 128
 SHINGLE = 5
+#: Copies of one row that one task writes.
+COPIES_PER_TASK = 100_000
 _SPACE = " \t\n\x0b\x0c\r"
 _SPACES = r"[ \t\n\x0B\f\r]+"
 
@@ -73,7 +75,8 @@ def compared_with_edited(docs: DataFrame, k: int = K, shingle: int = SHINGLE) ->
     doc_id, n_chars, edited_sha256, sketch, edited_sketch, near_edited, near_next (resemblances), contained_edited (how much of
     the document is in its edited text), n_shingles (estimated). The next document is that of the next smaller doc_id, after the last
     the first. A null text is an empty one. Documents with one doc_id follow each other by a hash of their texts, those without
-    doc_id come last; rows equal in both are one document. Of other columns nothing is read. An empty table gives no rows.
+    doc_id come last; rows equal in both are one document, which is compared once and has a row for each. Of other columns nothing
+    is read. An empty table gives no rows.
 
     Order is found on three numbers per document. Texts are shuffled once, by document, and read from there twice: to hand a
     document's beginning and sketch to its predecessor, and to meet what has come from the successor.
@@ -81,8 +84,8 @@ def compared_with_edited(docs: DataFrame, k: int = K, shingle: int = SHINGLE) ->
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
     listed = kept(texts.select("doc_id", "hash", F.length("text").cast("bigint").alias("n_chars")), "lengths")
     rows = listed.count()
-    once = listed.distinct()
-    total = once.count()
+    once = kept(listed.groupBy("doc_id", "hash", "n_chars").agg(F.count("*").alias("copies")), "documents-once")
+    total, most = once.agg(F.count("*"), F.max("copies")).first()
     if total < rows:
         texts = texts.dropDuplicates(["doc_id", "hash"])
     order = [F.col("doc_id").desc_nulls_last(), F.col("hash")]
@@ -100,6 +103,7 @@ def compared_with_edited(docs: DataFrame, k: int = K, shingle: int = SHINGLE) ->
         F.col("p.doc_id").alias("doc_id"),
         F.col("p.hash").alias("hash"),
         "n_chars",
+        "copies",
         F.substring("t.text", F.lit(1), third).alias("beginning"),
         F.col("t.text").alias("next_text"),
     )
@@ -109,14 +113,16 @@ def compared_with_edited(docs: DataFrame, k: int = K, shingle: int = SHINGLE) ->
         "t.doc_id",
         "t.text",
         "n.n_chars",
+        "n.copies",
         F.concat(F.substring("t.text", F.lit(1), F.expr("int(n_chars - n_chars div 3)")), "n.beginning").alias("edited"),
         "n.next_sketch",
     )
     done = with_sketch(met, F.col("text"), "sketch", k, shingle)
     done = with_sketch(done, F.col("edited"), "edited_sketch", k, shingle)
     sketch, edited = F.col("sketch"), F.col("edited_sketch")
-    return done.select(
+    done = done.select(
         "doc_id",
+        "copies",
         "n_chars",
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
         "sketch",
@@ -126,3 +132,10 @@ def compared_with_edited(docs: DataFrame, k: int = K, shingle: int = SHINGLE) ->
         containment(sketch, edited, k).alias("contained_edited"),
         distinct_shingles(sketch, k).alias("n_shingles"),
     )
+    if total < rows:
+        if most > COPIES_PER_TASK:  # deal the copies of one row out to many tasks
+            done = done.withColumn("from", F.explode(F.expr(f"sequence(0L, copies - 1, {COPIES_PER_TASK}L)")))
+            done = done.withColumn("copies", F.least(F.col("copies") - F.col("from"), F.lit(COPIES_PER_TASK)))
+            done = done.repartition("doc_id", "from").drop("from")
+        done = done.withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).drop("copy")
+    return done.drop("copies")

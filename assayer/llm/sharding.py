@@ -34,44 +34,51 @@ def grown(tree: Tree, weight: float = 1.0) -> Tree:
     return {**tree, f"added{shard}": {f"added{shard}": {shard: weight}}}
 
 
-def _draw(key: Column, level: str, children: Sequence[tuple[object, float, Column]]) -> Column:
-    """What the child with the least exponential draw gives; a child of weight w wins with the chance w / sum of weights.
+def _children(children: Sequence[tuple[str, float, int]]) -> Column:
+    """Siblings as an array: what is hashed with the key, the weight, and the number of the child."""
+    each = [F.struct(F.lit(n).alias("name"), F.lit(float(w)).alias("weight"), F.lit(i).alias("number")) for n, w, i in children]
+    return F.array(*each)
+
+
+def _drawn(key: Column, siblings: Column) -> Column:
+    """The number of the sibling with the least exponential draw; one of weight w wins with the chance w / sum of weights.
 
     A child's draw depends on the key, its name and its own weight only. A weight that rises draws rows to that child alone,
-    one that falls gives rows away from that child alone.
+    one that falls gives rows away from that child alone. Of equal draws the first child's wins.
     """
-    if len(children) == 1:
-        return children[0][2]
-    draws = []
-    for name, weight, inner in children:
-        digits = F.substring(F.md5(F.concat(key, F.lit(f"|{level}|{name}"))), 1, 13)
+
+    def draw(child: Column) -> Column:
+        digits = F.substring(F.md5(F.concat(key, child["name"])), 1, 13)
         share = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
-        draws.append((-F.log(share) / float(weight), inner))
-    chosen = draws[-1][1]
-    least = F.least(*(draw for draw, _ in draws))
-    for draw, inner in reversed(draws[:-1]):
-        chosen = F.when(draw == least, inner).otherwise(chosen)
-    return chosen
+        return F.struct((-F.log(share) / child["weight"]).alias("draw"), child["number"].alias("number"))
+
+    return F.array_min(F.transform(siblings, draw))["number"]
 
 
 def shard_of(key: Column, tree: Tree) -> Column:
     """The shard (int) of a key: a draw among the regions, then among the racks of that region, then among its shards.
 
-    Inner weights are sums of their shards'. Shards without a positive weight get nothing. A null key is a key of its own.
+    Inner weights are sums of their shards'. Shards without a positive weight get nothing. A null key is a key of its own. The tree
+    is data, arrays of siblings by the number of their parent, so the expression is as long for a thousand shards as for two.
     """
     text = F.coalesce(F.concat(F.lit("k"), key.cast("string")), F.lit("null"))
-    regions = []
+    regions: list[tuple[str, float, int]] = []
+    racks_of: list[Column] = []
+    shards_of: list[Column] = []
     for region, racks in tree.items():
         inner = []
         for rack, shards in racks.items():
-            leaves = [(s, w, F.lit(s).cast("int")) for s, w in shards.items() if w > 0]
+            leaves = [(f"|{region}/{rack}|{s}", w, s) for s, w in shards.items() if w > 0]
             if leaves:
-                inner.append((rack, sum(w for _, w, _ in leaves), _draw(text, f"{region}/{rack}", leaves)))
+                inner.append((f"|{region}|{rack}", sum(w for _, w, _ in leaves), len(shards_of)))
+                shards_of.append(_children(leaves))
         if inner:
-            regions.append((region, sum(w for _, w, _ in inner), _draw(text, region, inner)))
+            regions.append((f"||{region}", sum(w for _, w, _ in inner), len(racks_of)))
+            racks_of.append(_children(inner))
     if not regions:
         raise ValueError("no shard has a positive weight")
-    return _draw(text, "", regions)
+    rack = _drawn(text, F.get(F.array(*racks_of), _drawn(text, _children(regions))))
+    return _drawn(text, F.get(F.array(*shards_of), rack)).cast("int")
 
 
 def sharded(docs: DataFrame, tree: Tree, next_tree: Tree | None = None) -> DataFrame:

@@ -28,7 +28,8 @@ def brute_resemblance(a, b, k=B.K):
 
 
 def brute(docs):
-    """By document: what `compared_with_edited` gives, for distinct (doc_id, text)."""
+    """By row: what `compared_with_edited` gives; equal rows are one document."""
+    docs = list(docs)
     rows = sorted({(d, t or "") for d, t in docs}, key=lambda r: (r[0] is None, -(r[0] or 0), as_signed(xxhash.xxh64_intdigest(r[1].encode(), 42))))
     out = []
     for i, (doc_id, text) in enumerate(rows):
@@ -36,7 +37,8 @@ def brute(docs):
         third = len(text) // 3
         edited = text[: len(text) - third] + after[:third]
         a, b, c = brute_sketch(text), brute_sketch(edited), brute_sketch(after)
-        out.append((doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), a, b, brute_resemblance(a, b), brute_resemblance(a, c)))
+        row = (doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), a, b, brute_resemblance(a, b), brute_resemblance(a, c))
+        out += [row] * sum((d, t or "") == (doc_id, text) for d, t in docs)
     return sorted(map(repr, out))
 
 
@@ -57,6 +59,14 @@ def test_edge_rows(edge, nothing):
     assert B.compared_with_edited(nothing).collect() == []
 
 
+def test_repeated_rows_keep_their_rows(spark, monkeypatch):
+    rows = [(i, f"t{i} " * 9) for i in range(30)] * 2 + [(3, None)] * 3 + [(3, "")] * 2 + [(7, "t7 " * 9)] * 40
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    assert got(B.compared_with_edited(df)) == brute(rows)
+    monkeypatch.setattr(B, "COPIES_PER_TASK", 7)
+    assert got(B.compared_with_edited(df)) == brute(rows)
+
+
 def test_one_document_follows_itself(spark):
     df = spark.createDataFrame([(3, "a b c d e f g h i")], "doc_id bigint, text string")
     assert got(B.compared_with_edited(df)) == brute([(3, "a b c d e f g h i")])

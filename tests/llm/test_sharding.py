@@ -1,3 +1,5 @@
+import hashlib
+import math
 import zlib
 
 from pyspark.sql import functions as F
@@ -48,3 +50,24 @@ def test_numbering_spreads_equal_rows(spark):
     rows = spark.range(5_000).select(F.lit(1).alias("key"), "id").repartition(7)
     done = numbered(rows, [F.col("key")])
     assert sorted(r["position"] for r in done.collect()) == list(range(5_000))
+
+
+def plain_shard(key, tree):
+    """The descent by the definition."""
+
+    def least(level, children):
+        def draw(name):
+            share = (int(hashlib.md5(f"{key}|{level}|{name}".encode()).hexdigest()[:13], 16) + 0.5) / (1 << 52)
+            return -math.log(share) / children[name]
+
+        return min(children, key=draw)
+
+    region = least("", {r: sum(w for s in racks.values() for w in s.values()) for r, racks in tree.items()})
+    rack = least(region, {k: sum(s.values()) for k, s in tree[region].items()})
+    return least(f"{region}/{rack}", tree[region][rack])
+
+
+def test_a_thousand_shards(spark):
+    for tree in (even_tree(1_000), even_tree(1_000, per_rack=1_000), even_tree(300, per_rack=3, racks=20)):
+        rows = spark.range(300).select("id", shard_of(F.col("id"), tree).alias("shard")).collect()
+        assert all(r["shard"] == plain_shard(f"k{r['id']}", tree) for r in rows)
