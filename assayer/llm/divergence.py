@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -17,12 +16,13 @@ from pyspark.sql.window import Window
 
 from assayer.llm.common import kept, small_batches
 
-#: Runs of ASCII letters and of all bytes beyond ASCII: whole characters, as those bytes make up nothing else.
-TERM = re.compile(rb"[a-z\x80-\xff]+")
+#: Terms are runs of ASCII letters and of bytes beyond ASCII, which are whole characters, as those bytes make up nothing else: A-Z in
+#: lower case, every other byte a space.
+TO_TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 LEAST_DOCS = 10
 TOP = 10
 #: Bytes of the first prefixes; each level doubles them.
-FIRST_BYTES = 4
+FIRST_BYTES = 8
 #: Ends a term among its prefixes; no term has that byte.
 END = b"\x00"
 #: Bits of the filter that says which prefixes stay: 16 MB, whatever the corpus.
@@ -61,7 +61,7 @@ class _Gathered:
         self.lengths, self.codes, self.counts, self.source_of = (array("i") for _ in range(4))
 
     def add(self, text: bytes, source: str) -> int:
-        found = Counter(TERM.findall(text.lower()))  # of bytes: only A-Z change
+        found = Counter(text.translate(TO_TERMS).split())
         self.lengths.append(len(found))
         self.codes.extend(map(self.number.__getitem__, found))
         self.counts.extend(found.values())
@@ -210,7 +210,7 @@ def _next_level(rows: DataFrame, size: int, before: int, filtered) -> DataFrame:
 def frequent_terms(rows: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
     """(lang, term): terms that at least `least` documents of their language have; `rows` as `tokenised` gives them.
 
-    Level by level, prefixes of 4, 8, 16, ... bytes are counted by distinct documents and those in fewer than `least` discarded;
+    Level by level, prefixes of 8, 16, 32, ... bytes are counted by distinct documents and those in fewer than `least` discarded;
     only terms whose prefix has stayed are extended on the next level. A prefix with the end mark is a complete term and settled. What
     has stayed reaches the tasks as a bit filter of fixed size. Where that errs it lets through a prefix that is rare, and so is what
     extends it, which the next count discards: the terms are exact for any corpus.
@@ -260,7 +260,8 @@ def term_counts(rows: DataFrame, terms: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n"])
 
     partial = rows.select(*BLOCK_NAMES[:7]).mapInArrow(count, "lang string, source string, term string, n bigint")
-    summed = partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    # dealt out at once: a task has few counts of one group and term, so adding them up before would not pay
+    summed = partial.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
     return summed.join(terms, ["lang", "term"]).select("lang", "source", "term", "n")
 
 

@@ -29,7 +29,7 @@ HARD_STEP = 64
 #: Tokens that one run of the dynamic programme holds; the window it leaves open begins the next run.
 BLOCK = 1 << 19
 #: Cached pieces, and runs of pieces between white space, in two generations each; longer runs are split each time.
-CACHED, CACHED_CHARS = 500_000, 100
+CACHED, CACHED_CHARS = 150_000, 100
 #: Characters of a text that are split at once, up to the next white space.
 SLICE = 1 << 20
 

@@ -98,9 +98,9 @@ def test_rare_prefixes_go_no_further(made):
     rows = kept(D.tokenised(df), "test-terms")
     first = D._first_level(rows).filter("docs >= 10")
     bits = df.sparkSession.sparkContext.broadcast(bytes(D.Filter.of(first.filter("hex(prefix) NOT LIKE '%00'")).bits))
-    second = D._next_level(rows, 8, 4, bits).collect()
+    second = D._next_level(rows, 16, 8, bits).collect()
     stayed = {(r["lang"], bytes(r["prefix"])) for r in first.collect()}
-    assert second and all((r["lang"], bytes(r["prefix"])[:4]) in stayed for r in second)
+    assert second and all((r["lang"], bytes(r["prefix"])[:8]) in stayed for r in second)
 
 
 def test_counts_beyond_64_bits():
