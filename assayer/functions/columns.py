@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,18 @@ def column(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def free_names(source: Sequence[str], wanted: Sequence[str]) -> list[str]:
+    """`wanted`, each with as many prefixes `check_` as it takes to differ from the source's columns (in any
+    case of letters) and from each other."""
+    taken, names = {name.lower() for name in source}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"check_{name}"
+        taken.add(name.lower())
+        names.append(name)
+    return names
+
+
 def column_type(df: DataFrame, name: str | None) -> T.DataType:
     """Type of a top-level column; refuses a missing one with the names there are."""
     if not name or not isinstance(name, str):

@@ -9,31 +9,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayer.functions.columns import column, column_type
+from assayer.functions.columns import column, column_type, free_names
 from assayer.model import TAG_COLUMNS, Check
 from assayer.operators import registry
 from assayer.operators.keys import repeated_rows
 
-CONFIG = "__config_id"
-
-
-def free_names(source: Sequence[str], wanted: Sequence[str]) -> list[str]:
-    """`wanted`, each with as many prefixes `check_` as it takes to differ from the source's columns (in any
-    case of letters) and from each other."""
-    taken, names = {name.lower() for name in source}, []
-    for name in wanted:
-        while name.lower() in taken:
-            name = f"check_{name}"
-        taken.add(name.lower())
-        names.append(name)
-    return names
-
-
 def tag_names(source: Sequence[str]) -> list[str]:
     """Names of the tag columns among those of the source."""
     return free_names(source, TAG_COLUMNS)
 
 
+def config_name(source: Sequence[str]) -> str:
+    """Name of the column that says which check a row broke, until the tags are all that is left."""
+    return free_names([*source, *tag_names(source)], ["__config_id"])[0]
+
+
 def failed_schema(source: T.StructType) -> T.StructType:
     """Schema of the violating rows: the source's columns and three nullable texts."""
     names = tag_names([f.name for f in source.fields])
@@ -51,7 +41,7 @@ def failed_rows(
     comes twice. Checks that have no violating rows (groups, queries, unknown names) add none."""
     rows = tagged_rows(batch, checks, by, unique_mode)
     names = tag_names(batch.columns)
-    return rows.drop(CONFIG).withColumn(names[2], F.lit(run_id).cast("string"))
+    return rows.drop(config_name(batch.columns)).withColumn(names[2], F.lit(run_id).cast("string"))
 
 
 def tagged_rows(
@@ -61,9 +51,9 @@ def tagged_rows(
     unique_mode: str,
     failures: Mapping[int, int] | None = None,
 ) -> DataFrame:
-    """Violating rows with the check's name, parameters and config id. `failures` tells how many there
+    """Violating rows with the check's config id (under `config_name`), name and parameters. `failures` tells how many there
     are per config id, where the checks have been scored."""
-    names = tag_names(batch.columns)
+    names = [config_name(batch.columns), *tag_names(batch.columns)[:2]]
     parts = []
     row_level = [c for c in checks if registry.has_row_violations(c)]
     if row_level:
@@ -83,15 +73,15 @@ def tagged_rows(
                 keys_at_most=None if known is None else known // 2,
             )
             parts.append(
-                repeated.select("*", *[c.alias(n) for c, n in zip(_tags(check), [CONFIG, *names])])
+                repeated.select("*", *[c.alias(n) for c, n in zip(_tags(check), names)])
             )
     if not parts:
         text = F.lit(None).cast("string")
         return batch.filter(F.lit(False)).select(
             "*",
-            F.lit(None).cast("bigint").alias(CONFIG),
-            text.alias(names[0]),
+            F.lit(None).cast("bigint").alias(names[0]),
             text.alias(names[1]),
+            text.alias(names[2]),
         )
     return reduce(DataFrame.unionByName, parts)
 
@@ -108,7 +98,7 @@ def _row_level(batch: DataFrame, checks: Sequence[Check], names: Sequence[str])
         for v in violations
     ]
     marks = [
-        F.when(b, F.struct(*[c.alias(n) for c, n in zip(_tags(v.check), [CONFIG, *names])]))
+        F.when(b, F.struct(*[c.alias(n) for c, n in zip(_tags(v.check), names)]))
         for b, v in zip(broken, violations)
     ]
     return (

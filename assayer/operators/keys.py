@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from assayer.functions.columns import column, column_type, group_key
+from assayer.functions.columns import column, column_type, free_names, group_key
 from assayer.model import CheckError
 
 # A key with more rows than this gets one salt per so many rows. There are at most rows / ROWS_PER_SALT such keys,
@@ -63,57 +63,51 @@ def repeated_rows(
     for key in keys:
         rows = rows.filter(column(key).isNotNull())
     names = rows.columns
-    key_names = [f"__k{i}" for i in range(len(keys))]
-    row_names = [f"__r{i}" for i in range(len(keys))]
+    helpers = free_names(names, ["__n", "__least", "__first", "__hash", "__splits", "__salt", "__key_salt"])
+    n, least, at_least = helpers[:3]
+    salts = helpers[3:]
+    key_names = free_names(names, [f"__k{i}" for i in range(len(keys))])
+    row_names = free_names([*names, *key_names], [f"__r{i}" for i in range(len(keys))])
     row_keys = [_filled(rows, k) for k in keys]
-    least = []
-    if mode == "extra":
-        least = [F.min(_tie(tie)).alias("__least"), F.count(_tie(tie)).alias("__ties")]
-    counts = (
-        rows.groupBy(*[k.alias(n) for k, n in zip(row_keys, key_names)])
-        .agg(F.count(F.lit(1)).alias("__n"), *least)
-        .filter("__n > 1")
-    )
-    if least:
-        counts = counts.withColumn("__has_null", F.col("__n") > F.col("__ties"))
+    own = [k.alias(name) for k, name in zip(row_keys, key_names)]
+    if mode == "all":
+        counts = rows.groupBy(*own).agg(F.count(F.lit(1)).alias(n))
+    else:
+        # Rows per key and tie, then per key with its least tie and the rows that share it: one pass tells
+        # which keys' ties do not tell their rows apart. NULL comes before all other ties.
+        first = F.min(F.struct(F.col(least), F.col(n).alias(at_least)))
+        by_tie = rows.groupBy(*own, _tie(tie).alias(least)).agg(F.count(F.lit(1)).alias(n))
+        counts = by_tie.groupBy(*key_names).agg(F.sum(n).alias(n), first.alias(at_least))
+        counts = counts.select(*key_names, n, F.col(at_least).getField(least).alias(least), F.col(at_least).getField(at_least).alias(at_least))
+    counts = counts.filter(F.col(n) > 1)
     few = keys_at_most is not None and keys_at_most <= BROADCAST_KEYS
     few = few and _is_narrow(rows, [*keys, *(tie or [])], tie or [])
     spread = [column(c) for c in tie] if tie else _hashable(rows)
     rows = rows.withColumns(dict(zip(row_names, row_keys)))
     pairs = list(zip(row_names, key_names))
     if few:
-        counts = F.broadcast(counts.drop("__n", "__ties"))
+        counts = F.broadcast(counts.drop(n))
     else:
-        rows, counts = _salted(rows, row_names, spread, counts, key_names, rows_per_salt)
-        pairs.append(("__salt", "__key_salt"))
+        rows, counts = _salted(rows, row_names, spread, counts, key_names, rows_per_salt, n, salts)
+        pairs.append((salts[2], salts[3]))
     same = reduce(Column.__and__, [F.col(left) == F.col(right) for left, right in pairs])
     if mode == "all":
-        joined = rows.join(counts, same, "left_semi")
-    else:
-        # A NULL tie comes before all others, so where a key has one it is that row which stays.
-        first = F.when(F.col("__has_null"), _tie(tie).isNull()).otherwise(
-            _tie(tie).eqNullSafe(F.col("__least"))
-        )
-        met = rows.join(counts, same)
-        joined = met.filter(~first)
-        return joined.select(*map(column, names)).unionByName(
-            _tied_rows(met.filter(first), row_names, names, keys)
-        )
-    return joined.select(*map(column, names))
+        return rows.join(counts, same, "left_semi").select(*map(column, names))
+    stays = _tie(tie).eqNullSafe(F.col(least))
+    apart = rows.join(counts, same).filter(~stays).select(*map(column, names))
+    shared = rows.join(counts.filter(F.col(at_least) > 1), same).filter(stays)
+    return apart.unionByName(_tied_rows(shared.select(*map(column, names)), keys))
 
 
-def _tied_rows(first: DataFrame, row_names, names, keys) -> DataFrame:
-    """Of the rows with their key's least tie all but one; none where ties tell rows apart."""
-    several = (
-        first.groupBy(*row_names).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n")
-    )
-    tied = first.join(several, list(row_names), "left_semi").select(*map(column, names))
+def _tied_rows(tied: DataFrame, keys) -> DataFrame:
+    """Of rows that share their key's least tie all but one."""
     if all(_is_plain(f.dataType) for f in tied.schema.fields):
         return _all_but_least(tied, keys)
     # Rows that cannot be ordered as a whole: one of those with the least tie is as good as another.
+    place = free_names(tied.columns, ["__place"])[0]
     window = Window.partitionBy(*map(column, keys)).orderBy(F.lit(0))
-    placed = tied.withColumn("__place", F.row_number().over(window))
-    return placed.filter("__place > 1").select(*map(column, names))
+    placed = tied.withColumn(place, F.row_number().over(window))
+    return placed.filter(F.col(place) > 1).select(*map(column, tied.columns))
 
 
 def _filled(rows: DataFrame, name: str) -> Column:
@@ -128,45 +122,41 @@ def _tie(tie: Sequence[str]) -> Column:
     return column(tie[0]) if len(tie) == 1 else F.struct(*map(column, tie))
 
 
-def _salted(rows, row_names, spread, counts, key_names, rows_per_salt):
+def _salted(rows, row_names, spread, counts, key_names, rows_per_salt, n, names):
     """Both sides with a salt: 0, but for hot keys, whose count rows are repeated once per salt.
 
     Hot keys are told by hash. The salt is computed from the row's own values in `spread`, so a task
-    that runs again gives the same one.
+    that runs again gives the same one. `names` are those of the hash, the splits and either side's salt.
     """
-    # A hot key has more than one tie, so asking for it changes nothing; it keeps this branch's
-    # aggregate equal to the join's, and both read one shuffle.
-    tied = F.lit(True)
-    if "__ties" in counts.columns:
-        tied = F.col("__least").isNotNull() & (F.col("__ties") > 0)
+    hash_, splits, salt, key_salt = names
     hot = (
-        counts.filter((F.col("__n") > rows_per_salt) & tied)
+        counts.filter(F.col(n) > rows_per_salt)
         .select(
-            F.xxhash64(*key_names).alias("__hash"),
-            F.ceil(F.col("__n") / rows_per_salt).cast("bigint").alias("__splits"),
+            F.xxhash64(*key_names).alias(hash_),
+            F.ceil(F.col(n) / rows_per_salt).cast("bigint").alias(splits),
         )
-        .groupBy("__hash")
-        .agg(F.max("__splits").alias("__splits"))
+        .groupBy(hash_)
+        .agg(F.max(splits).alias(splits))
     )
     hot = F.broadcast(hot)  # two bigints a row
     salted_rows = (
-        rows.withColumn("__hash", F.xxhash64(*row_names))
-        .join(hot, "__hash", "left")
+        rows.withColumn(hash_, F.xxhash64(*row_names))
+        .join(hot, hash_, "left")
         .withColumn(
-            "__salt",
-            F.coalesce(F.pmod(F.xxhash64(*spread), F.col("__splits")), F.lit(0).cast("bigint")),
+            salt,
+            F.coalesce(F.pmod(F.xxhash64(*spread), F.col(splits)), F.lit(0).cast("bigint")),
         )
     )
     salted_counts = (
-        counts.withColumn("__hash", F.xxhash64(*key_names))
-        .join(hot, "__hash", "left")
+        counts.withColumn(hash_, F.xxhash64(*key_names))
+        .join(hot, hash_, "left")
         .withColumn(
-            "__key_salt",
+            key_salt,
             F.explode(
-                F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("__splits"), F.lit(1)) - 1)
+                F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(splits), F.lit(1)) - 1)
             ),
         )
-        .drop("__hash", "__splits", "__n", "__ties")
+        .drop(hash_, splits, n)
     )
     return salted_rows, salted_counts
 
@@ -196,29 +186,32 @@ def _all_but_least(repeated: DataFrame, keys: Sequence[str]) -> DataFrame:
         if not _is_plain(fld.dataType):
             raise CheckError(f"name tie columns: {fld.name!r} cannot be ordered")
     names = repeated.columns
-    least = (
-        repeated.groupBy(*[group_key(repeated, k).alias(f"__k{i}") for i, k in enumerate(keys)])
-        .agg(F.min(F.struct(*map(column, names))).alias("__least"))
-        .select(*[F.col("__least").getField(n).alias(n) for n in names], F.lit(-1).alias("__n"))
+    n, least = free_names(names, ["__n", "__least"])
+    key_names = free_names(names, [f"__k{i}" for i in range(len(keys))])
+    one_each = (
+        repeated.groupBy(*[group_key(repeated, k).alias(name) for k, name in zip(keys, key_names)])
+        .agg(F.min(F.struct(*map(column, names))).alias(least))
+        .select(*[F.col(least).getField(c).alias(c) for c in names], F.lit(-1).alias(n))
     )
     left = (
-        repeated.withColumn("__n", F.lit(1))
-        .unionByName(least)
+        repeated.withColumn(n, F.lit(1))
+        .unionByName(one_each)
         .groupBy(*map(column, names))
-        .agg(F.sum("__n").alias("__n"))
+        .agg(F.sum(n).alias(n))
     )
-    return _copied(left, names)
+    return _copied(left, names, n)
 
 
-def _copied(counted: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Each row as often as `__n` says. Many copies of one row are dealt out to many tasks."""
-    few = counted.filter((F.col("__n") > 0) & (F.col("__n") <= COPIES_PER_TASK))
+def _copied(counted: DataFrame, names: Sequence[str], n: str) -> DataFrame:
+    """Each row as often as `n` says. Many copies of one row are dealt out to many tasks."""
+    begin, copy = free_names([*names, n], ["__from", "__copy"])
+    few = counted.filter((F.col(n) > 0) & (F.col(n) <= COPIES_PER_TASK))
     many = (
-        counted.filter(F.col("__n") > COPIES_PER_TASK)
-        .withColumn("__from", F.explode(F.expr(f"sequence(0L, __n - 1, {COPIES_PER_TASK}L)")))
-        .repartition(*map(column, names), "__from")
-        .withColumn("__n", F.least(F.col("__n") - F.col("__from"), F.lit(COPIES_PER_TASK)))
-        .drop("__from")
+        counted.filter(F.col(n) > COPIES_PER_TASK)
+        .withColumn(begin, F.explode(F.expr(f"sequence(0L, {n} - 1, {COPIES_PER_TASK}L)")))
+        .repartition(*map(column, names), begin)
+        .withColumn(n, F.least(F.col(n) - F.col(begin), F.lit(COPIES_PER_TASK)))
+        .drop(begin)
     )
-    copies = F.explode(F.expr("sequence(1L, __n)"))
-    return few.unionByName(many).withColumn("__copy", copies).select(*map(column, names))
+    copies = F.explode(F.expr(f"sequence(1L, {n})"))
+    return few.unionByName(many).withColumn(copy, copies).select(*map(column, names))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayer.functions import predicates as P
-from assayer.functions.columns import column, column_type, typed_literal, typed_texts
+from assayer.functions.columns import column, column_type, free_names, typed_literal, typed_texts
 from assayer.model import (
     CONTAINS,
     CONTAINS_PRAF,
@@ -230,7 +230,7 @@ _row_checks[IN_SET] = _outside_set
 
 
 def _lookup(batch: DataFrame, check: Check, texts: list[str], dtype: T.DataType) -> Lookup:
-    key, marker = f"__set_{check.config_id}", f"__in_set_{check.config_id}"
+    key, marker = free_names(batch.columns, [f"__set_{check.config_id}", f"__in_set_{check.config_id}"])
     values = local_frame(batch.sparkSession, [(t,) for t in texts], "v string").select(
         F.col("v").cast(dtype).alias(key), F.lit(True).alias(marker)
     )

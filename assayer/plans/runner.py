@@ -8,7 +8,7 @@ one costs.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -19,11 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayer.functions.columns import column, column_type, typed_literal
+from assayer.functions.columns import column, column_type, free_names, typed_literal
 from assayer.functions.metrics import passed_message
 from assayer.model import Check, CheckError, Control
 from assayer.operators import registry
-from assayer.operators.failed import CONFIG, failed_schema, free_names, tag_names, tagged_rows
+from assayer.operators.failed import config_name, failed_schema, tag_names, tagged_rows
 from assayer.operators.scorecard import SCORE_SCHEMA, empty_score, observed_values, scorecard
 from assayer.plans import control as C
 from assayer.plans import details as D
@@ -133,22 +133,24 @@ class Unit:
         )
 
     def without_failing(self, error: Exception) -> None:
-        """After `error`, try each check by itself: those that raise become invalid, the others keep their scores.
-        Raises `error` again if no check by itself is to blame, or all of them are."""
-        bad = {}
-        for check in self.usable():
-            try:
-                own = _scores(self.batch, [check], {}, self.by, self.slices)
-                for df in (own, tagged_rows(self.batch, [check], self.by, "extra")):
-                    if df is not None:
-                        df.write.format("noop").mode("overwrite").save()
-            except Exception as own_error:  # whatever it is, it is this check's
-                bad[check.config_id] = str(own_error)
+        """After `error`, find the checks that raise: they become invalid, the others keep their scores. Raises
+        `error` again if no check by itself is to blame, or all of them are."""
+        bad: dict[int, str] = {}
+        for job in (self._scoring, self._tagging):
+            bad |= _culprits([c for c in self.usable() if c.config_id not in bad], job)
         if not bad or len(bad) == len(self.usable()):  # then it is not a check but the table
             raise error
         self.invalid.update(bad)
         self.scores = _scores(self.batch, self.checks, self.invalid, self.by, self.slices)
 
+    def _scoring(self, checks: list[Check]) -> None:
+        scores = _scores(self.batch, checks, {}, self.by, self.slices)
+        if scores is not None:
+            scores.write.format("noop").mode("overwrite").save()
+
+    def _tagging(self, checks: list[Check]) -> None:
+        tagged_rows(self.batch, checks, self.by, "extra").write.format("noop").mode("overwrite").save()
+
     def each_check(self) -> Column:
         """Repeats a job's row for every check: the checks are configuration, so this needs no join."""
         fields = T.StructType.fromDDL(UNIT_CHECKS_SCHEMA).fields[1:]
@@ -180,22 +182,38 @@ class Unit:
         if any(c.mostly < 1 for c in checks) and (self.by or failing is None):
             rows = self._of_failed_checks(rows, failing)
         run_tag = tag_names(self.batch.columns)[2]
-        return rows.drop(CONFIG).withColumn(run_tag, F.lit(run_id))
+        return rows.drop(config_name(self.batch.columns)).withColumn(run_tag, F.lit(run_id))
 
     def _of_failed_checks(self, rows: DataFrame, failing: DataFrame | None) -> DataFrame:
         if failing is None:
             failing = self.scores.filter(~F.col("expectation_status"))
-        failing = failing.select(
-            F.col("config_id").alias("__failing"), F.col("slice").alias("__slice")
-        )
+        config, slice_ = free_names(rows.columns, ["__failing", "__slice"])
+        failing = failing.select(F.col("config_id").alias(config), F.col("slice").alias(slice_))
         if self.few_slices:  # at most LOCAL_JOBS rows per check
             failing = F.broadcast(failing)
-        on = F.col(CONFIG) == F.col("__failing")
+        on = F.col(config_name(self.batch.columns)) == F.col(config)
         if self.by:
-            on = on & (column(self.by).cast("string") == F.col("__slice"))
+            on = on & (column(self.by).cast("string") == F.col(slice_))
         return rows.join(failing, on, "left_semi")
 
 
+def _culprits(checks: list[Check], job: Callable[[list[Check]], None], raises: bool = False) -> dict[int, str]:
+    """The checks that make `job` raise, with their errors: by halves, so one culprit of n costs some log n jobs.
+    `raises` where it is known that some of them do. None where they raise together only."""
+    if not checks:
+        return {}
+    if not raises or len(checks) == 1:
+        try:
+            job(checks)
+            return {}
+        except Exception as error:  # whatever it is, it is these checks'
+            if len(checks) == 1:
+                return {checks[0].config_id: str(error)}
+    half = len(checks) // 2
+    bad = _culprits(checks[:half], job)
+    return bad | _culprits(checks[half:], job, raises=not bad)
+
+
 def _details(spark: SparkSession, units: Sequence[Unit], run_id: str) -> DataFrame:
     """One row per job and check of the units; what has no score has that of an empty batch."""
     planned = _union([u.jobs.select("*", u.each_check()) for u in units], spark, PLANNED_SCHEMA)
@@ -539,16 +557,17 @@ def _slices_of(spark, jobs, few, dtype) -> tuple[DataFrame, DataFrame | None]:
 
 def _sliced(batch, by, dtype, jobs, slices) -> DataFrame:
     if slices is None:
-        wanted = jobs.select(F.col("slice").cast(dtype).alias("__wanted")).distinct()
-        size = F.coalesce(F.sum(F.octet_length(F.col("__wanted").cast("string")) + 64), F.lit(0))
-        seen = wanted.agg(F.min("__wanted").cast("string"), F.max("__wanted").cast("string"), size).first()
+        name = free_names(batch.columns, ["__wanted"])[0]
+        wanted = jobs.select(F.col("slice").cast(dtype).alias(name)).distinct()
+        size = F.coalesce(F.sum(F.octet_length(F.col(name).cast("string")) + 64), F.lit(0))
+        seen = wanted.agg(F.min(name).cast("string"), F.max(name).cast("string"), size).first()
         if seen[0] is None:
             return batch.filter(F.lit(False))
         if seen[2] <= BROADCAST_BYTES:
             wanted = F.broadcast(wanted)
         least, most = (typed_literal(text, dtype) for text in seen[:2])
         within = batch.filter(column(by).between(least, most))
-        return within.join(wanted, column(by) == F.col("__wanted"), "left_semi")
+        return within.join(wanted, column(by) == F.col(name), "left_semi")
     if not slices:
         return batch.filter(F.lit(False))
     return batch.filter(column(by).isin(*[typed_literal(text, dtype) for text in slices]))
