@@ -237,6 +237,21 @@ def check_query_value(spark, sf_dir):
     )
 
 
+@query("""SELECT o_custkey AS slice, 210::bigint AS config_id, count(DISTINCT o_orderstatus) + 1 = 4 AS expectation_status,
+      (count(DISTINCT o_orderstatus) + 1)::varchar AS details
+    FROM orders GROUP BY o_custkey""")
+def check_query_grouped_slices(spark, sf_dir):
+    """A query by customer that Spark cannot take apart by slice, so it groups by itself."""
+    sql = """SELECT {group}, count(*) FROM (
+        SELECT {group}, o_orderstatus FROM {active_batch} GROUP BY {group}, ROLLUP (o_orderstatus))
+      GROUP BY {group}"""
+    check = Check(210, QUERIED_UNIQUE, None, {"query": sql, "value": 4})
+    orders = _table(spark, sf_dir, "orders")
+    customers = orders.select(F.col("o_custkey").cast("string").alias("slice")).distinct()
+    scores = scorecard(orders, [check], "o_custkey", customers)
+    return scores.select("slice", "config_id", "expectation_status", "details")
+
+
 @query(
     _count_sql(202, "orders", "o_orderstatus NOT IN ('O', 'F')", "o_totalprice > 100000")
     + " UNION ALL "

@@ -59,9 +59,14 @@ class Violation:
     lookup: Lookup | None = None
 
 
+#: In the SQL of a query check the run column, or for a whole table a column with one value.
+GROUP = "{group}"
+
+
 @dataclass(frozen=True)
 class QueryCheck:
-    """SQL over `{active_batch}` whose first cell is judged by `success(observed, params)`."""
+    """SQL over `{active_batch}` whose first cell is judged by `success(observed, params)`. With `{group}` in it, it gives
+    a row for each group: the group, and the cell that is judged."""
 
     sql: str
     success: Callable[[Column, Mapping[str, Any]], Column]

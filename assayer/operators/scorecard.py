@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayer.functions.columns import column, column_type, group_key, quoted, typed_literal
+from assayer.functions.columns import column, column_type, free_names, group_key, quoted
 from assayer.model import SCORE_COLUMNS, Check, CheckError
 from assayer.operators import registry
 from assayer.sources.local import local_frame
@@ -260,30 +260,57 @@ def _query_scores(
 ) -> list[DataFrame]:
     query = registry.query_check(check)
     batch = _conditioned(batch, check)
+    if registry.GROUP in query.sql:
+        return [_query_by_group(batch, check, query, by, slices)]
     if by is None:
-        return [_query_score(batch, check, query, F.lit(None).cast("string"))]
+        return [_query_score(batch, check, query)]
     lateral = _query_per_slice(batch, check, query, by, slices)
-    if lateral is not None:
-        return [lateral]
-    if slices is None or isinstance(slices, DataFrame):
+    if lateral is None:
         raise CheckError(
-            "the query cannot be run for many slices at once: it needs an aggregate or a limit over "
-            "{active_batch} that Spark can group by the run column"
+            "the query cannot be run for all slices at once: it needs an aggregate or a limit over {active_batch} "
+            "that Spark can group by the run column, or {group}, which names it, among its columns and groups"
         )
-    dtype = column_type(batch, by)
-    values = [typed_literal(text, dtype) for text in slices]
-    return [_query_score(batch.filter(column(by) == v), check, query, v) for v in values]
+    return [lateral]
 
 
-def _query_score(batch: DataFrame, check: Check, query, slice_value: Column) -> DataFrame:
+def _query_by_group(
+    batch: DataFrame, check: Check, query, by: str | None, slices: Sequence[str] | DataFrame | None
+) -> DataFrame:
+    """Scores of a query that does its own grouping: its columns are `{group}` and what it observes there.
+
+    One pass whatever the number of slices. A whole table is one group. A slice for which the query gives no row has
+    nothing observed; of several rows the least counts.
+    """
+    spark = batch.sparkSession
+    group = by or free_names(batch.columns, ["__group"])[0]
+    rows = batch if by else batch.withColumn(group, F.lit(1))
+    result = _by_position(spark.sql(query.sql.replace(registry.GROUP, quoted(group)), active_batch=rows))
+    if len(result.columns) < 2:
+        raise CheckError("a query with {group} must give the group and a value")
+    seen = result.groupBy(F.col("c0").alias("slice")).agg(F.min("c1").alias("observed"))
+    if by is None:
+        seen = seen.agg(F.min("observed").alias("observed"))
+    else:
+        seen = _wanted_slices(batch, by, slices).join(seen, "slice", "left")
+    return _observed(seen.withColumn("met", query.success(F.col("observed"), check.params)), check, by)
+
+
+def _wanted_slices(batch: DataFrame, by: str, slices: Sequence[str] | DataFrame | None) -> DataFrame:
+    """The distinct `slice` values that are asked for, in the run column's type; all there are where none are told."""
+    if slices is None:
+        return batch.select(column(by).alias("slice")).filter("slice IS NOT NULL").distinct()
+    if not isinstance(slices, DataFrame):
+        slices = local_frame(batch.sparkSession, [(s,) for s in slices], "slice string")
+    return slices.select(F.col("slice").cast(column_type(batch, by)).alias("slice"))
+
+
+def _query_score(batch: DataFrame, check: Check, query) -> DataFrame:
     spark = batch.sparkSession
     result = spark.sql(query.sql, active_batch=batch)
     cell = _by_position(result).select(F.col("c0").alias("observed")).limit(1)
     # A global aggregate gives its one row also where the query gives none.
-    seen = cell.agg(F.first("observed").alias("observed")).withColumns(
-        {"met": query.success(F.col("observed"), check.params), "slice": slice_value}
-    )
-    return _observed(seen, check, "slice")
+    seen = cell.agg(F.first("observed").alias("observed"))
+    return _observed(seen.withColumn("met", query.success(F.col("observed"), check.params)), check, None)
 
 
 def _by_position(result: DataFrame) -> DataFrame:
@@ -298,13 +325,7 @@ def _query_per_slice(
     None where it cannot."""
     spark, rows, wanted = batch.sparkSession, f"rows_{uuid4().hex}", f"slices_{uuid4().hex}"
     names = [f"c{i}" for i in range(len(spark.sql(query.sql, active_batch=batch).columns))]
-    if slices is None:
-        values = batch.select(column(by).alias("slice")).filter("slice IS NOT NULL").distinct()
-    else:
-        values = slices
-        if not isinstance(slices, DataFrame):
-            values = local_frame(spark, [(s,) for s in slices], "slice string")
-        values = values.select(F.col("slice").cast(column_type(batch, by)).alias("slice"))
+    values = _wanted_slices(batch, by, slices)
     batch.createOrReplaceTempView(rows)
     values.createOrReplaceTempView(wanted)
     own = f"(SELECT * FROM {rows} WHERE {rows}.{quoted(by)} = {wanted}.slice)"

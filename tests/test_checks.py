@@ -219,6 +219,37 @@ def test_query_on_slices_is_one_scan(spark):
         assert plan.count("LogicalRDD") == other.count("LogicalRDD") <= 2
 
 
+ROLLED = "SELECT {0}count(*) FROM (SELECT {0}n % 3 FROM {{active_batch}} GROUP BY {0}ROLLUP (n % 3)){1}"
+
+
+@pytest.mark.parametrize("slices", [["1"], [str(g) for g in range(600)]])
+def test_query_on_slices_groups_by_itself_or_is_refused(spark, slices):
+    """Alike for any number of slices: SQL that Spark cannot take apart by slice needs to name its group."""
+    df = spark.createDataFrame([(i % 600, i) for i in range(3_000)], "g int, n int")
+    check = Check(1, QUERIED_UNIQUE, None, {"query": ROLLED.format("", ""), "value": 3})
+    with pytest.raises(CheckError):
+        scorecard(df, [check], "g", slices)
+    sql = ROLLED.format("{group}, ", " GROUP BY {group}")
+    check = Check(1, QUERIED_UNIQUE, None, {"query": sql, "value": 2})
+    scores = scorecard(df, [check], "g", slices)
+    want = {int(s): 1 + len({n % 3 for n in range(int(s), 3_000, 600)}) for s in slices}
+    got = {r["slice"]: (r["details"], r["expectation_status"]) for r in scores.collect()}
+    assert got == {s: (str(n), n == 2) for s, n in want.items()}
+    plan = scores._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") <= 2  # the rows and the slices
+
+
+def test_grouped_query_on_a_table_and_on_slices_without_rows(spark):
+    df = spark.createDataFrame([(1, 5), (1, 6), (2, 7)], "g int, __group int")
+    sql = "SELECT {group}, count(*) FROM {active_batch} GROUP BY {group}"
+    row = score(df, QUERIED_UNIQUE, query=sql, value=3)
+    assert row["expectation_status"] is True and row["details"] == "3"
+    by = {r["slice"]: r["details"] for r in scorecard(df, [Check(1, QUERIED_UNIQUE, None, {"query": sql, "value": 2})], "g", ["1", "2", "9"]).collect()}
+    assert by == {1: "2", 2: "1", 9: None}
+    with pytest.raises(CheckError):
+        score(df, QUERIED_UNIQUE, query="SELECT {group} FROM {active_batch} GROUP BY {group}", value=3)
+
+
 def test_names_of_any_kind(spark):
     for name in ("a b", "a.b", "a`b", "slice", "n", "key", "value", "order"):
         quoted = name.replace("`", "``")

@@ -168,3 +168,27 @@ def test_ties_that_are_not_unique_lose_no_row(spark, at_most):
 def test_rows_with_maps_and_one_tie(spark):
     df = spark.sql("SELECT 1 AS k, 1 AS t, map('a', id) AS m FROM range(3)")
     assert repeated_rows(df, ["k"], "extra", ["t"]).count() == 2
+
+
+HELPERS = ["__n", "__least", "__first", "__hash", "__splits", "__salt", "__key_salt", "__k0", "__r0", "__place", "__from", "__copy", "__config_id", "__HASH2"]
+
+
+@pytest.mark.parametrize("mode, tie, rows_per_salt, at_most", [("all", None, 2, None), ("extra", ["id"], 2, None), ("extra", ["t"], 100, 50), ("extra", None, 100, None)])
+def test_source_columns_with_names_of_helpers(spark, monkeypatch, mode, tie, rows_per_salt, at_most):
+    """Violating rows are the source's own, whatever its columns are called."""
+    monkeypatch.setattr(keys, "COPIES_PER_TASK", 2)
+    schema = "id int, k string, t int, " + ", ".join(f"`{h}` int" for h in HELPERS)
+    rows = [(i, f"k{i // 3}", 0 if tie == ["t"] else i, *range(100 + i, 100 + i + len(HELPERS))) for i in range(12)]
+    rows += [rows[0]] * 7
+    df = spark.createDataFrame(rows, schema)
+    assert Counter(map(tuple, repeated_rows(df, ["k"], mode, tie, rows_per_salt, at_most).collect())) == brute(rows, 1, mode)
+    key = spark.createDataFrame([(r[3], r[0]) for r in rows], "__hash int, `__r0` int")
+    assert repeated_rows(key, ["__hash"], "all", ["__r0"], 2).count() == 8
+
+
+def test_failed_rows_and_value_sets_with_names_of_helpers(spark, monkeypatch):
+    monkeypatch.setattr(registry, "INLINE_VALUES", 1)
+    df = spark.createDataFrame([("a", 1, 2, 3, 4), ("z", 5, 6, 7, 8)], "v string, __set_1 int, __in_set_1 int, __config_id int, __failing int")
+    check = Check(1, IN_SET, "v", {"value_set": ["a", "b"]}, "p")
+    assert [tuple(r) for r in failed_rows(df, [check], "r").collect()] == [("z", 5, 6, 7, 8, IN_SET, "p", "r")]
+    assert scorecard(df, [check]).first()["failure"] == 1

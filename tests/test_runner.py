@@ -3,7 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from assayer import register_row_check, run_jobs
+from assayer import Check, register_row_check, run_jobs
 from assayer.catalog import fixture
 from assayer.model import (
     CHECKS_SCHEMA,
@@ -339,3 +339,16 @@ def test_own_output_can_be_checked(spark, tmp_path):
     row = results.saved_failed(str(tmp_path), results.units[0]).first().asDict()
     assert [row[c] for c in ("run_id", "check_run_id", "check_batch", "Parameters", "v")] == ["a", "b", "c", "d", None]
     assert row["check_check_run_id"] == "r" and row["check_check_batch"] == "full" and row["check_parameters"] == "{}"
+
+
+@pytest.mark.parametrize("culprits", [{41}, {3, 60}, set()])
+def test_raising_checks_are_found_by_halves(culprits):
+    checks, jobs = [Check(i, NOT_NULL, "v", {}) for i in range(64)], []
+
+    def job(some):
+        jobs.append(some)
+        if culprits & {c.config_id for c in some} or not culprits and len(some) > 40:
+            raise RuntimeError("boom")
+
+    assert runner._culprits(checks, job).keys() == culprits
+    assert len(jobs) < 16 * max(1, len(culprits))
