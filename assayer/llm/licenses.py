@@ -1,4 +1,4 @@
-"""Licence scans: lines, paragraphs and whole texts against licence templates by word bigrams."""
+"""Licence scans: lines, paragraphs, whole texts and windows of words against licence templates by word bigrams."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping, Sequence
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -171,57 +172,106 @@ class Templates:
         t = self.threshold
         return range(bisect_left(self.sizes, size * t / (2 - t) - 1e-9), bisect_right(self.sizes, size * (2 - t) / t + 1e-9))
 
-    def best(self, words: Sequence[str], one: bool = False) -> list[tuple[float, int, str]]:
-        """(coefficient, template's bigrams, name) of the templates that reach the threshold; of `one`, the best of those that name
-        the versions and variants that `words` name."""
+    def best(self, words: Sequence[str]) -> tuple[float, int, str] | None:
+        """(coefficient, template's bigrams, name) of the template that `words` resemble most, where one reaches the threshold and
+        names the versions and variants that `words` name."""
         size = len(words) - 1
         among = self.candidates(size) if size > 0 else range(0)
         if not among:
-            return []
+            return None
         pairs = list(zip(words, words[1:], strict=False))
         found = {i for p in pairs if p in self.having for i in self.having[p] if i in among}
         if not found:
-            return []
+            return None
         counts, out = Counter(pairs), []
         for i in found:
             shared = sum(min(n, self.counts[i][p]) for p, n in counts.items() if p in self.counts[i])
             if (dice := 2 * shared / (size + self.sizes[i])) >= self.threshold:
-                out.append((dice, self.sizes[i], self.names[i], self.marks[i]))
-        if one and out:
-            own = marks(words)
-            out = sorted((h for h in out if h[3] == own), key=lambda h: (-h[0], -h[1], h[2]))[:1]
-        return [h[:3] for h in out]
+                out.append((-dice, -self.sizes[i], self.names[i], self.marks[i]))
+        own = marks(words) if out else None
+        dice, size, name, _ = min((h for h in out if h[3] == own), default=(None,) * 4)
+        return None if name is None else (-dice, -size, name)
 
+    def windows(self, words: Sequence[str]) -> list[tuple[float, int, str, int, frozenset[str]]]:
+        """(coefficient, template's bigrams, name, first word, the template's marks) of the windows that reach the threshold: as long as
+        the template, beginning at one of its bigrams or ending with `words`. No other window shares more with it."""
+        places: dict[int, list[tuple[int, tuple[str, str]]]] = defaultdict(list)
+        for at, pair in enumerate(zip(words, words[1:], strict=False)):
+            if pair in self.having:
+                for i in self.having[pair]:
+                    places[i].append((at, pair))
+        out = []
+        for i, own in places.items():
+            size, last = self.sizes[i], len(words) - 1 - self.sizes[i]
+            least = self.threshold * size
+            if last < 0 or len(own) < least:
+                continue
+            for at, shared in self._shared(self.counts[i], size, own, last):
+                if shared >= least:
+                    out.append((shared / size, size, self.names[i], at, self.marks[i]))
+        return out
 
-def scan(text: str | None, templates: Templates, one: bool = False) -> list[tuple[float, int, str, str, int]]:
-    """(coefficient, template's bigrams, licence, kind of unit, its first line) of each match: each line, each paragraph of
-    several lines and the whole text are units. With `one`, a unit has one match at most (see `Templates.best`)."""
+    @staticmethod
+    def _shared(template: Counter, size: int, places: list[tuple[int, tuple[str, str]]], last: int) -> Iterator[tuple[int, int]]:
+        """(begin, bigrams shared with the template) of the windows that begin at `places` up to `last`, and of the last one."""
+        held: Counter = Counter()
+        shared = ahead = 0
+        for begin, gone in [*(p for p in places if p[0] < last), (last, None)]:
+            while ahead < len(places) and places[ahead][0] < begin + size:
+                pair = places[ahead][1]
+                held[pair] += 1
+                shared += held[pair] <= template[pair]
+                ahead += 1
+            if gone is None:
+                break
+            yield begin, shared
+            shared -= held[gone] <= template[gone]
+            held[gone] -= 1
+        yield last, shared
+
+
+def scan(text: str | None, templates: Templates) -> list[tuple[float, int, str, str, int]]:
+    """(coefficient, template's bigrams, licence, kind of unit, its first line) of each match, best first.
+
+    Each line, each paragraph of several lines and the whole text are units with one match at most (see `Templates.best`). So that a licence
+    between other paragraphs or within a line is named too, each template is also compared with windows of its own size, whatever
+    their lines. A window counts if it names the versions and variants that the template names, and if no better match
+    (a higher coefficient, then the larger template, a unit before a window, the first name) has any of its words.
+    """
     lines = [normalised(line) for line in (text or "").split("\n")]
-    out = []
-    for i, words in enumerate(lines):
-        out += [(*hit, "line", i) for hit in templates.best(words, one)]
+    starts, words = list(accumulate(map(len, lines), initial=0)), list(chain.from_iterable(lines))
+    units = [(i, i + 1, "line") for i in range(len(lines))]
     if len(lines) > 1:
-        begin = 0
-        blocks = []
+        begin, whole = 0, (0, len(lines), "text")
         for i in range(len(lines) + 1):
             if i == len(lines) or not lines[i]:
-                if i - begin > 1:
-                    blocks.append((begin, i, "paragraph"))
+                if 1 < i - begin < len(lines):
+                    units.append((begin, i, "paragraph"))
                 begin = i + 1
-        whole = (0, len(lines), "text")
-        for a, b, kind in [*(x for x in blocks if x[:2] != whole[:2]), whole]:
-            if templates.candidates(sum(map(len, lines[a:b])) - 1):
-                out += [(*hit, kind, a) for hit in templates.best([w for line in lines[a:b] for w in line], one)]
+        units.append(whole)
+    found = []  # in the order in which they count; a window's marks are read when its turn comes
+    for a, b, kind in units:
+        if templates.candidates(starts[b] - starts[a] - 1) and (hit := templates.best(words[starts[a] : starts[b]])):
+            found.append((-hit[0], -hit[1], False, hit[2], starts[a], starts[b], kind, a, None))
+    for dice, size, name, begin, said in templates.windows(words):
+        line = bisect_right(starts, begin) - 1
+        found.append((-dice, -size, True, name, begin, begin + size + 1, "window", line, said))
+    out, taken = [], bytearray(len(words))
+    for dice, size, window, name, begin, end, kind, line, said in sorted(found, key=lambda h: h[:8]):
+        if window and (taken.find(1, begin, end) >= 0 or marks(words[begin:end]) != said):
+            continue
+        taken[begin:end] = b"\1" * (end - begin)
+        out.append((-dice, -size, name, kind, line))
     return out
 
 
 def scanned(docs: DataFrame, texts: Mapping[str, Sequence[str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, license, dice, unit, line, licenses of every row of `docs` (doc_id, text).
 
-    A unit matches its best template of equal versions and variants. The best match of the document (its coefficient, the kind of unit and its first line from 0) and the names of all matches,
-    sorted and joined by commas; nulls if none reaches the threshold. Of equal coefficients the larger template counts, then the first
-    name, then the first line. Null and empty texts match nothing; repeated rows get the same answer. Of other columns nothing is
-    read. An empty table gives no rows. Each text is scanned where it lies; nothing is shuffled.
+    The best match of the document (its coefficient, the kind of unit (line, paragraph, text or window) and its first line from 0)
+    and the names of all matches (see `scan`), sorted and joined by commas; nulls if none reaches the threshold. Of equal coefficients
+    the larger template counts, then the first name, then the first line. Null and empty texts match nothing; repeated rows get the same answer. Of
+    other columns nothing is read. An empty table gives no rows. Each text is scanned where it lies; nothing is shuffled.
     """
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +279,7 @@ def scanned(docs: DataFrame, texts: Mapping[str, Sequence[str]] = TEMPLATES, thr
         for batch in batches:
             column, rows = batch.column(1), []
             for i in range(len(column)):
-                hits = scan(column[i].as_py(), templates, True)
+                hits = scan(column[i].as_py(), templates)
                 dice, _, name, unit, line = min(hits, key=lambda h: (-h[0], -h[1], h[2], h[4], h[3]), default=(None,) * 5)
                 rows.append((name, dice, unit, line, ",".join(sorted({h[2] for h in hits})) or None))
             types = [pa.string(), pa.float64(), pa.string(), pa.int64(), pa.string()]
