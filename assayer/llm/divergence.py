@@ -41,8 +41,6 @@ BLOCK_TYPES = [pa.string(), *[pa.binary()] * 4, pa.list_(pa.string()), pa.binary
 OUT_ROWS = 1 << 16
 #: Numbers of a block of terms by sources, and terms of it at most.
 CELLS, CHUNK = 1 << 20, 4096
-#: Languages up to this number have their totals broadcast.
-BROADCAST_ROWS = 100_000
 
 
 class _Numbers(dict):
@@ -283,11 +281,36 @@ def shares(counts, total: int, terms: int) -> np.ndarray:
     return np.array(exact, np.int64).reshape(counts.shape)
 
 
-def _divergences(counts: DataFrame, totals: _Totals) -> DataFrame:
-    """(lang, one, other, value): for numbers one < other of a language's sources the sum of (p - q)^2 div (p + q) over its terms.
-
-    All counts of a term meet as one row of a matrix of terms by sources, at most as long as there are sources; a task adds up
-    its terms and hands on one row per pair of sources.
+class _Best:
+    """For each source of a language the `top` terms of the largest values, of equal ones the first in byte order; terms come in that order."""
+
+    def __init__(self, sources: int, top: int):
+        self.top, self.values, self.terms = top, [np.zeros(0, np.int64)] * sources, [np.zeros(0, object)] * sources
+        self.least = np.full(sources, -1, np.int64)  # only what is larger can still come in
+
+    def add(self, terms: np.ndarray, value: np.ndarray) -> None:
+        """`value` has a row per term and a column per source; below 0 is none."""
+        row, column = np.nonzero(value > self.least)
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        ends = np.flatnonzero(np.concatenate([column[1:] != column[:-1], [True]])) + 1 if len(column) else []
+        begin = 0
+        for end in ends:
+            k, own = column[begin], row[begin:end]
+            values = np.concatenate([self.values[k], value[own, k]])
+            first = np.argsort(-values, kind="stable")[: self.top]
+            self.values[k], self.terms[k] = values[first], np.concatenate([self.terms[k], terms[own]])[first]
+            if len(first) == self.top:
+                self.least[k] = self.values[k][-1]
+            begin = end
+
+
+def _divergences(counts: DataFrame, totals: _Totals, top: int) -> DataFrame:
+    """(lang, one, other, term, value), parts that tasks have added up.
+
+    For numbers one < other of a language's sources the sum of (p - q)^2 div (p + q) over the task's terms, without `term`; and without
+    `other` the `top` of the task's terms that source `one` has more often than its language. All counts of a term meet as one row of a
+    matrix of terms by sources, at most as long as there are sources; a task hands on one row per pair of sources and `top` per source.
     """
     said = counts.sparkSession.sparkContext.broadcast(totals)
 
@@ -295,13 +318,14 @@ def _divergences(counts: DataFrame, totals: _Totals) -> DataFrame:
         t: _Totals = said.value
         place = {lang: {s: i for i, s in enumerate(names)} for lang, names in t.sources.items()}
         sums: dict[str, np.ndarray] = {}
-        lang, rows, at, last = None, [], [], None
+        best: dict[str, _Best] = {}
+        lang, rows, at, terms, last = None, [], [], [], None
 
         def closed() -> None:
             if not rows:
                 return
             names = t.sources[lang]
-            n = np.zeros((at[-1][0] + 1, len(names)), np.int64)
+            n = np.zeros((len(terms), len(names)), np.int64)
             i, j = np.array(at).T
             n[i, j] = rows
             p = np.stack([shares(n[:, k], t.n[lang][k], t.terms[lang]) for k in range(len(names))], axis=1)
@@ -309,30 +333,36 @@ def _divergences(counts: DataFrame, totals: _Totals) -> DataFrame:
             for k in range(len(names) - 1):
                 q = p[:, k : k + 1]
                 total[k, k + 1 :] += ((p[:, k + 1 :] - q) ** 2 // (p[:, k + 1 :] + q)).sum(axis=0)
+            q = shares(n.sum(axis=1), sum(t.n[lang]), t.terms[lang])[:, None]
+            more = np.where((n > 0) & (p > q), (p - q) ** 2 // (p + q), -1)
+            best.setdefault(lang, _Best(len(names), top)).add(np.array(terms, object), more)
             rows.clear()
             at.clear()
+            terms.clear()
 
         for batch in batches:
             for new, source, term, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if new != lang or term != last:
-                    if new != lang or at and at[-1][0] + 1 >= max(1, min(CHUNK, CELLS // len(t.sources[lang]))):
+                    if new != lang or len(terms) >= max(1, min(CHUNK, CELLS // len(t.sources[lang]))):
                         closed()
                         lang = new
-                    row, last = at[-1][0] + 1 if at else 0, term
-                at.append((row, place[lang][source]))
+                    last = term
+                    terms.append(term)
+                at.append((len(terms) - 1, place[lang][source]))
                 rows.append(n)
         closed()
+        types = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64()]
         for lang, total in sums.items():
-            for k in range(len(total) - 1):
-                other = np.arange(k + 1, len(total))
-                columns = [[lang] * len(other), [k] * len(other), other.tolist(), total[k, k + 1 :].tolist()]
-                types = [pa.string(), pa.int32(), pa.int32(), pa.int64()]
+            for k in range(len(total)):
+                other, own = np.arange(k + 1, len(total)), best[lang]
+                size = len(other) + len(own.terms[k])
+                others, words = [*other.tolist(), *[None] * len(own.terms[k])], [*[None] * len(other), *own.terms[k]]
+                columns = [[lang] * size, [k] * size, others, words, [*total[k, k + 1 :].tolist(), *own.values[k].tolist()]]
                 arrays = [pa.array(c, x) for c, x in zip(columns, types, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["lang", "one", "other", "value"])
+                yield pa.RecordBatch.from_arrays(arrays, names=["lang", "one", "other", "term", "value"])
 
     dealt = counts.select("lang", "source", "term", "n").repartition("lang", "term").sortWithinPartitions("lang", "term")
-    partial = dealt.mapInArrow(add_up, "lang string, one int, other int, value bigint")
-    return partial.groupBy("lang", "one", "other").agg(F.sum("value").alias("value"))
+    return dealt.mapInArrow(add_up, "lang string, one int, other int, term string, value bigint")
 
 
 def audited(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP) -> DataFrame:
@@ -372,23 +402,15 @@ def audited(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP) -> DataFra
         F.least("a.place", "b.place").alias("one"),
         F.greatest("a.place", "b.place").alias("other"),
     )
-    both = both.join(_divergences(counts, totals), ["lang", "one", "other"], "left")
+    parts = kept(_divergences(counts, totals, top), "divergences")
+    summed = parts.filter("term IS NULL").groupBy("lang", "one", "other").agg(F.sum("value").alias("value"))
+    both = both.join(summed, ["lang", "one", "other"], "left")
     group = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     pairs = both.select("lang", "source", F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0)).alias("value"))
     pairs = pairs.withColumn("rank", F.row_number().over(group))
 
-    whole = [(lang, sum(n), vocabulary.get(lang, 0)) for lang, n in totals.n.items()]
-    whole = spark.createDataFrame(whole, "lang string, lang_total bigint, terms bigint")
-    whole = F.broadcast(whole) if len(totals.n) <= BROADCAST_ROWS else whole
-    own = listed.select("lang", "source", F.col("n").alias("total"))
-    own = F.broadcast(own) if sum(map(len, totals.n.values())) <= BROADCAST_ROWS else own
-    across = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
-    met = counts.join(across, ["lang", "term"]).join(whole, "lang").join(own, ["lang", "source"])
-
-    def share(count: str, total: str):
-        return F.expr(f"1 + cast(1000000000 as decimal(38, 0)) * ({count} + 2) div ({total} + 2 * terms)")
-
-    met = met.withColumns({"p": share("n", "total"), "q": share("lang_n", "lang_total")}).filter("p > q")
-    best = met.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), F.expr("(p - q) * (p - q) div (p + q)").alias("value"))
+    own = listed.select("lang", "source", F.col("place").alias("one"))
+    best = parts.filter("term IS NOT NULL").join(own, ["lang", "one"])
+    best = best.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value")
     best = best.withColumn("rank", F.row_number().over(group)).filter(F.col("rank") <= top)
     return pairs.unionByName(best)

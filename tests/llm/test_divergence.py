@@ -1,6 +1,7 @@
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from assayer.llm import divergence as D
@@ -119,3 +120,17 @@ def test_blocks_are_closed_when_full(monkeypatch):
     block = next(D._blocks([gathered.out()]))
     assert block.terms == [b"a", b"abcd", b"abcde", b"b"] and block.sources == ["x", "y"] and block.source_of.tolist() == [0, 1, 0]
     assert sorted(zip(block.row.tolist(), block.codes.tolist(), block.counts.tolist())) == [(0, 0, 1), (0, 3, 2), (2, 0, 1), (2, 1, 1), (2, 2, 1)]
+
+
+def test_best_terms_over_chunks_with_ties():
+    draw = np.random.default_rng(5)
+    for most in (1, 3, 10):
+        value = draw.integers(-1, 6, (200, 4))
+        value[:, 3] = -1  # a source without any
+        terms = np.array([f"t{i:03}" for i in range(200)], object)
+        best = D._Best(4, most)
+        for cut in np.split(np.arange(200), [1, 7, 7, 90]):
+            best.add(terms[cut], value[cut])
+        for k in range(4):
+            expected = sorted((-v, t) for v, t in zip(value[:, k].tolist(), terms) if v >= 0)[:most]
+            assert list(zip((-best.values[k]).tolist(), best.terms[k])) == expected
