@@ -16,19 +16,25 @@ from assayer.llm.common import kept, packed, small_batches, unpacked
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
-#: Metric -> numerator (over n_words), its scale, least spread of a group in that scale, whether small values are rejected too.
+#: Metric -> numerator (over n_words), its scale, whether its values lie around a middle (rejected on both sides) or trail off from 0.
 METRICS = {
-    "word_length": ("word_chars", 1_000, 700, True),
-    "symbols": ("n_symbols", 100_000, 5_000, False),
-    "dup_lines": ("n_dup_lines", 100_000, 2_000, False),
-    "repeats": ("n_repeat_words", 100_000, 15_000, False),
+    "word_length": ("word_chars", 1_000, True),
+    "symbols": ("n_symbols", 100_000, False),
+    "dup_lines": ("n_dup_lines", 100_000, False),
+    "repeats": ("n_repeat_words", 100_000, False),
 }
-#: A value is rejected beyond its group's quartile by more than so many quartile distances.
-FENCE = 3
+#: A value around a middle is rejected beyond its group's quartile by more than so many quartile distances.
+FENCE = 6
+#: Of values that trail off those are rejected that lie beyond the first empty stretch above the median in which values grow so many times.
+VALLEY = 4
+#: Added to both ends of such a stretch: one occurrence in the 50 words that a judged document has at least, the coarsest step of a rate.
+STEP = 100_000 // 50
 #: Groups with fewer rows take the thresholds of their language, and languages with fewer those of all rows.
 LEAST_ROWS = 50
 #: Threshold rows up to this number are broadcast.
 BROADCAST_ROWS = 100_000
+#: The bound of a metric without one.
+UNBOUNDED = (1 << 63) - 1
 
 
 def _repeat_words(words: list[bytes]) -> int:
@@ -88,7 +94,7 @@ def measured(docs: DataFrame, with_text: bool) -> DataFrame:
 
 
 def _metric(name: str) -> Column:
-    numerator, scale, _, _ = METRICS[name]
+    numerator, scale, _ = METRICS[name]
     return F.expr(f"{numerator} * {scale} div n_words")
 
 
@@ -112,8 +118,11 @@ def sketched(rows: DataFrame) -> DataFrame:
 def thresholds(sketch: DataFrame) -> DataFrame:
     """lang, source and the bounds of each metric, one row per group of `sketch`.
 
-    Quartiles come from the group's own sketch, or where that has under LEAST_ROWS rows from the merged one of its language,
-    or of all. A bound lies FENCE times the quartile distance (at least the metric's least spread) beyond the quartile.
+    All bounds are read off the group's own sketch, or where that has under LEAST_ROWS rows off the merged one of its language,
+    or of all. Around a middle they lie FENCE quartile distances beyond the quartiles, each quartile taken at the far edge of its bin.
+    Values that trail off from 0, as most documents have none of what is counted, have no spread to go by: there the bound is
+    the last value before the first valley above the median, an empty stretch of the sketch over which values grow at least
+    VALLEY times. A group whose values trail off without a valley has no such bound.
     """
     nothing = F.lit(None).cast("string")
     levels = (
@@ -124,30 +133,39 @@ def thresholds(sketch: DataFrame) -> DataFrame:
         .agg(F.sum("n").alias("n"))
     )
     group = Window.partitionBy("level", "lang", "source", "metric")
-    below = levels.withColumn("total", F.sum("n").over(group)).withColumn(
-        "upto", F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    )
+    upward = group.orderBy("bin")
     first = F.expr("shiftleft(bin & 31, int(shiftright(bin, 5)))")
     last = F.expr("shiftleft((bin & 31) + 1, int(shiftright(bin, 5))) - 1")
+    below = levels.withColumns(
+        {
+            "total": F.sum("n").over(group),
+            "upto": F.sum("n").over(upward.rowsBetween(Window.unboundedPreceding, 0)),
+            "next": F.lead(first).over(upward),
+        }
+    )
+    valley = (F.col("upto") * 2 >= F.col("total")) & (F.col("next") + STEP >= VALLEY * (last + STEP))
     quartiles = below.groupBy("level", "lang", "source", "metric").agg(
         F.max("total").alias("total"),
         F.min(F.when(F.col("upto") * 4 >= F.col("total"), first)).alias("q1"),
         F.min(F.when(F.col("upto") * 4 >= F.col("total") * 3, last)).alias("q3"),
+        F.coalesce(F.min(F.when(valley, last)), F.lit(UNBOUNDED)).alias("end"),
     )
-    bounds = []
-    for name, (_, _, spread, _) in METRICS.items():
+    reach = FENCE * (F.col("q3") - F.col("q1"))
+    names, bounds = [], []
+    for name, (_, _, centred) in METRICS.items():
         own = F.col("metric") == name
-        reach = FENCE * F.greatest(F.col("q3") - F.col("q1"), F.lit(spread))
-        bounds.append(F.max(F.when(own, F.col("q1") - reach)).alias(f"{name}_least"))
-        bounds.append(F.max(F.when(own, F.col("q3") + reach)).alias(f"{name}_most"))
+        if centred:
+            names.append(f"{name}_least")
+            bounds.append(F.max(F.when(own, F.col("q1") - reach)).alias(names[-1]))
+        names.append(f"{name}_most")
+        bounds.append(F.max(F.when(own, F.col("q3") + reach if centred else F.col("end"))).alias(names[-1]))
     wide = quartiles.groupBy("level", "lang", "source").agg(F.max("total").alias("rows"), *bounds)
-    names = [b for m in METRICS for b in (f"{m}_least", f"{m}_most")]
 
     def at(level: int, alias: str) -> DataFrame:
         packed = F.when(F.col("rows") >= LEAST_ROWS, F.struct(*names)).alias(alias)
         return wide.filter(F.col("level") == level).select("lang", "source", packed)
 
-    everyone = wide.filter("level = 0").select(*names).first()  # one row of eight numbers
+    everyone = wide.filter("level = 0").select(*names).first()  # one row of five numbers
     fallback = F.struct(*(F.lit(everyone[n] if everyone else None).cast("bigint").alias(n) for n in names))
     own, language = at(2, "own").alias("o"), at(1, "language").alias("l")
     joined = own.join(language, F.col("o.lang").eqNullSafe(F.col("l.lang")), "left")
@@ -176,9 +194,9 @@ def judged(docs: DataFrame, with_text: bool = True) -> DataFrame:
         bounds = F.broadcast(bounds)
     same = F.col("r.lang").eqNullSafe(F.col("b.lang")) & F.col("r.source").eqNullSafe(F.col("b.source"))
     fine = ~F.col("base_failed")
-    for name, (_, _, _, both) in METRICS.items():
+    for name, (_, _, centred) in METRICS.items():
         fine &= F.when(F.col("n_words") > 0, _metric(name)) <= F.col(f"{name}_most")
-        if both:
+        if centred:
             fine &= F.when(F.col("n_words") > 0, _metric(name)) >= F.col(f"{name}_least")
     carried = ["text", "row"] if with_text else ["row"]
     return rows.alias("r").join(bounds, same, "left").select(

@@ -97,8 +97,8 @@ def op3_adaptive_quality(spark, sf_dir):
 
 def _quality_sql() -> str:
     metrics = ", ".join(
-        f"{{'metric': '{m}', 'x': {n} * {scale} // n_words, 'spread': {spread}, 'low': {str(low).lower()}}}"
-        for m, (n, scale, spread, low) in quality.METRICS.items()
+        f"{{'metric': '{m}', 'x': {n} * {scale} // n_words, 'centred': {str(centred).lower()}}}"
+        for m, (n, scale, centred) in quality.METRICS.items()
     )
     word = "[^\\x20\\x09-\\x0D]"
     levels = " UNION ALL ".join(
@@ -127,19 +127,23 @@ m AS (SELECT doc_id, lang, source, unnest([{metrics}], recursive := true) FROM f
 b AS (SELECT lang, source, metric, shift * 32 + (x >> shift) AS bin
       FROM (SELECT *, greatest(length(bin(x)) - 5, 0) AS shift FROM m)),
 v AS ({levels}),
-u AS (SELECT *, sum(n) OVER g AS total, sum(n) OVER (g ORDER BY bin) AS upto FROM v
-      WINDOW g AS (PARTITION BY level, lang, source, metric)),
+u AS (SELECT *, (bin & 31) << (bin >> 5) AS low, (((bin & 31) + 1) << (bin >> 5)) - 1 AS high, sum(n) OVER g AS total,
+             sum(n) OVER (g ORDER BY bin) AS upto, lead((bin & 31) << (bin >> 5)) OVER (g ORDER BY bin) AS up
+      FROM v WINDOW g AS (PARTITION BY level, lang, source, metric)),
 q AS (SELECT level, lang, source, metric, max(total) AS total,
-             min((bin & 31) << (bin >> 5)) FILTER (WHERE upto * 4 >= total) AS q1,
-             min((((bin & 31) + 1) << (bin >> 5)) - 1) FILTER (WHERE upto * 4 >= total * 3) AS q3
+             min(low) FILTER (WHERE upto * 4 >= total) AS q1,
+             min(high) FILTER (WHERE upto * 4 >= total * 3) AS q3,
+             coalesce(min(high) FILTER (WHERE upto * 2 >= total AND up + {quality.STEP} >= {quality.VALLEY} * (high + {quality.STEP})),
+                      {quality.UNBOUNDED}) AS last
       FROM u GROUP BY level, lang, source, metric),
-j AS (SELECT m.*, coalesce(o.q1, g.q1, e.q1) AS q1, coalesce(o.q3, g.q3, e.q3) AS q3
+j AS (SELECT m.*, coalesce(o.q1, g.q1, e.q1) AS q1, coalesce(o.q3, g.q3, e.q3) AS q3,
+             coalesce(o.last, g.last, e.last) AS last
       FROM m LEFT JOIN q o ON {same.format(2, quality.LEAST_ROWS).replace("q.", "o.")}
                           AND o.lang IS NOT DISTINCT FROM m.lang AND o.source IS NOT DISTINCT FROM m.source
              LEFT JOIN q g ON {same.format(1, quality.LEAST_ROWS).replace("q.", "g.")} AND g.lang IS NOT DISTINCT FROM m.lang
              LEFT JOIN q e ON {same.format(0, 0).replace("q.", "e.")}),
-k AS (SELECT doc_id, bool_and(x <= q3 + {quality.FENCE} * greatest(q3 - q1, spread)
-                              AND (NOT low OR x >= q1 - {quality.FENCE} * greatest(q3 - q1, spread))) AS fine
+k AS (SELECT doc_id, bool_and(CASE WHEN centred THEN x BETWEEN q1 - {quality.FENCE} * (q3 - q1) AND q3 + {quality.FENCE} * (q3 - q1)
+                              ELSE x <= last END) AS fine
       FROM j GROUP BY doc_id)
 SELECT f.doc_id, {", ".join(quality.STATS)}, base_failed, coalesce(fine, false) AS kept
 FROM f LEFT JOIN k ON f.doc_id = k.doc_id"""

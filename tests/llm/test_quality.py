@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -25,16 +26,21 @@ def test_stats(texts):
         assert text_stats(text) == brute_stats(text)
 
 
-def quartiles(values):
-    """The first and third, as a sketch with bins of a sixteenth gives them."""
+def bounds(values, centred):
+    """Least and greatest value that stays, by values rounded to bins of a sixteenth."""
 
     def edges(x):
         shift = max(0, x.bit_length() - 5)
         return (x >> shift) << shift, ((x >> shift) + 1 << shift) - 1
 
-    ordered = sorted(values)
+    ordered = [edges(x) for x in sorted(values)]
     at = lambda part: ordered[-(-len(ordered) * part // 4) - 1]
-    return edges(at(1))[0], edges(at(3))[1]
+    if centred:
+        q1, q3 = at(1)[0], at(3)[1]
+        return q1 - quality.FENCE * (q3 - q1), q3 + quality.FENCE * (q3 - q1)
+    step = quality.STEP
+    upper = [e for e in ordered if e >= at(2)]
+    return 0, next((a[1] for a, b in zip(upper, upper[1:]) if a != b and b[0] + step >= quality.VALLEY * (a[1] + step)), math.inf)
 
 
 def test_thresholds_by_brute_force(documents, texts):
@@ -44,7 +50,7 @@ def test_thresholds_by_brute_force(documents, texts):
     fine = {d for d, s in stats.items() if s["n_words"] >= 50 and 100 * s["n_repeat_words"] <= 50 * s["n_words"]}
 
     def metric(d, m):
-        numerator, scale, _, _ = quality.METRICS[m]
+        numerator, scale, _ = quality.METRICS[m]
         return stats[d][numerator] * scale // stats[d]["n_words"]
 
     def kept(d):
@@ -54,10 +60,9 @@ def test_thresholds_by_brute_force(documents, texts):
             group = [x for x in fine if names[x][: len(chosen)] == chosen]
             if len(group) >= quality.LEAST_ROWS:
                 break
-        for m, (_, _, spread, both) in quality.METRICS.items():
-            q1, q3 = quartiles([metric(x, m) for x in group])
-            reach = quality.FENCE * max(q3 - q1, spread)
-            if metric(d, m) > q3 + reach or both and metric(d, m) < q1 - reach:
+        for m, (_, _, centred) in quality.METRICS.items():
+            least, most = bounds([metric(x, m) for x in group], centred)
+            if not least <= metric(d, m) <= most:
                 return False
         return True
 
@@ -92,3 +97,16 @@ def test_edge_rows(edge, nothing):
     assert kept.columns == edge.columns
     assert sorted(r["text"] for r in kept.collect()) == sorted([PROSE, PROSE, PROSE, PROSE + " more"])
     assert accepted(nothing).collect() == [] and judged(nothing).collect() == []
+
+
+def test_bounds_follow_the_group(spark):
+    """What is rejected in a source without symbols stays in one where documents have them at every rate; copies of junk do not move a bound."""
+
+    def text(symbols):
+        return " ".join([f"word{i}x" for i in range(100 - symbols)] + ["#"] * symbols)
+
+    rows = [("prose", 0)] * 100 + [("prose", 1)] * 3 + [("prose", 40)] * 45 + [("code", k) for k in range(0, 45) for _ in range(3)]
+    df = spark.createDataFrame([(i, text(k), "en", s, k) for i, (s, k) in enumerate(rows)], "doc_id int, text string, lang string, source string, k int")
+    got = {(r["source"], r["k"]): r["kept"] for r in judged(df).select("row.source", "row.k", "kept").collect()}
+    assert got["prose", 0] and got["prose", 1] and not got["prose", 40]
+    assert all(got["code", k] for k in range(0, 36))
