@@ -44,10 +44,10 @@ CELLS, CHUNK = 1 << 20, 4096
 
 
 class _Numbers(dict):
-    """Numbers of terms, as they come."""
+    """Numbers of values, as they come."""
 
-    def __missing__(self, term: bytes) -> int:
-        number = self[term] = len(self)
+    def __missing__(self, value) -> int:
+        number = self[value] = len(self)
         return number
 
 
@@ -55,24 +55,26 @@ class _Gathered:
     """A block of one language as it grows."""
 
     def __init__(self, lang: str):
-        self.lang, self.number, self.places = lang, _Numbers(), _Numbers()
-        self.lengths, self.codes, self.counts, self.source_of = (array("i") for _ in range(4))
+        self.lang, self.places = lang, _Numbers()
+        self.lengths, self.source_of = array("i"), array("i")
+        self.said: list[bytes] = []  # each row's distinct terms, and their occurrences
+        self.counts: list[int] = []
 
     def add(self, text: bytes, source: str) -> int:
         found = Counter(text.translate(TO_TERMS).split())
         self.lengths.append(len(found))
-        self.codes.extend(map(self.number.__getitem__, found))
+        self.said.extend(found)
         self.counts.extend(found.values())
         self.source_of.append(self.places[source])
         return len(found)
 
     def out(self) -> pa.RecordBatch:
-        terms = sorted(self.number)
-        place = np.empty(len(terms), "<i4")
-        place[np.fromiter(map(self.number.__getitem__, terms), np.int64, len(terms))] = np.arange(len(terms))
-        lengths, codes = np.array(self.lengths, "<i4"), place[np.array(self.codes, np.int64)]
+        terms = sorted(set(self.said))
+        place = dict(zip(terms, range(len(terms)), strict=True))
+        codes = np.fromiter(map(place.__getitem__, self.said), "<i4", len(self.said))
+        lengths = np.array(self.lengths, "<i4")
         prefixes, of = _stems(terms, FIRST_BYTES)
-        docs = _documents(np.repeat(np.arange(len(lengths)), lengths), of[codes], len(prefixes))
+        docs = _documents(np.repeat(np.arange(len(lengths)), lengths), of[codes], of, len(prefixes))
         numbers = [x.tobytes() for x in (lengths, codes, np.array(self.counts, "<i4"), np.array(self.source_of, "<i4"))]
         row = [self.lang, b" ".join(terms), *numbers[:3], list(self.places), numbers[3], prefixes, docs]
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, BLOCK_TYPES, strict=True)], names=BLOCK_NAMES)
@@ -87,10 +89,19 @@ def _stems(terms: list[bytes], size: int) -> tuple[list[bytes], np.ndarray]:
     return [t if len(t) == size else t + END for t in own], np.cumsum(changes) - 1
 
 
-def _documents(row: np.ndarray, prefix: np.ndarray, prefixes: int) -> list[int]:
-    """For each prefix the rows that have it; a row counts once, however many of its terms begin with it."""
+def _documents(row: np.ndarray, prefix: np.ndarray, of: np.ndarray, prefixes: int) -> list[int]:
+    """For each prefix the rows that have it; a row counts once, however many of its terms begin with it.
+
+    `row` and `prefix` are those of each row's distinct terms, `of` is the prefix of each distinct term. Only where several terms
+    share a prefix can a row have it twice.
+    """
+    docs = np.bincount(prefix, minlength=prefixes)
+    several = np.bincount(of, minlength=prefixes) > 1
+    shared = several[prefix]
     width = max(1, prefixes)
-    return np.bincount(np.unique(row * width + prefix) % width, minlength=prefixes).tolist()
+    once = np.unique(row[shared] * width + prefix[shared]) % width
+    docs[several] = np.bincount(once, minlength=prefixes)[several]
+    return docs.tolist()
 
 
 def tokenised(docs: DataFrame) -> DataFrame:
@@ -197,7 +208,7 @@ def _next_level(rows: DataFrame, size: int, before: int, filtered) -> DataFrame:
             prefix_of = np.full(len(block.terms), -1, np.int64)
             prefix_of[left] = of
             prefix = prefix_of[block.codes]
-            docs = _documents(block.row[prefix >= 0], prefix[prefix >= 0], len(prefixes))
+            docs = _documents(block.row[prefix >= 0], prefix[prefix >= 0], of, len(prefixes))
             columns = [pa.repeat(block.lang, len(docs)), pa.array(prefixes, pa.binary()), pa.array(docs, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "prefix", "docs"])
 
