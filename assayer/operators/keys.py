@@ -28,6 +28,8 @@ ROWS_PER_SALT = 1_000_000
 BROADCAST_KEYS = 500_000
 # So many copies of one row are written by one task.
 COPIES_PER_TASK = 100_000
+# Types of values that are compared and shuffled as a few bytes.
+FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 
 def duplicate_groups(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -52,13 +54,21 @@ def repeated_rows(
     mode "all" gives every row of such a key, "extra" all but one. Which one is left out is decided by
     `tie`, columns that tell a key's rows apart: the row with the least tie stays (where several rows share
     it, the least of these by all columns). Without `tie` the least row by all its columns stays, which also holds for rows that are copies of each other.
+    There the table's first columns of fixed width are the tie: the least by all columns is among the least by these, and only
+    rows that share it are compared as a whole.
     `keys_at_most` is how many keys can repeat, where that is known.
     """
     if mode not in ("all", "extra"):
         raise CheckError(f"mode must be 'extra' or 'all', not {mode!r}")
+    spread = [column(c) for c in tie] if tie else _hashable(rows)
     if mode == "extra" and not tie:
-        every = repeated_rows(rows, keys, "all", None, rows_per_salt, keys_at_most)
-        return _all_but_least(every, keys)
+        for fld in rows.schema.fields:
+            if not _is_plain(fld.dataType):
+                raise CheckError(f"name tie columns: {fld.name!r} cannot be ordered")
+        tie = _first_columns(rows, keys)
+        if not tie:
+            every = repeated_rows(rows, keys, "all", None, rows_per_salt, keys_at_most)
+            return _all_but_least(every, keys)
 
     for key in keys:
         rows = rows.filter(column(key).isNotNull())
@@ -82,7 +92,6 @@ def repeated_rows(
     counts = counts.filter(F.col(n) > 1)
     few = keys_at_most is not None and keys_at_most <= BROADCAST_KEYS
     few = few and _is_narrow(rows, [*keys, *(tie or [])], tie or [])
-    spread = [column(c) for c in tie] if tie else _hashable(rows)
     rows = rows.withColumns(dict(zip(row_names, row_keys)))
     pairs = list(zip(row_names, key_names))
     if few:
@@ -163,14 +172,26 @@ def _salted(rows, row_names, spread, counts, key_names, rows_per_salt, n, names)
 
 def _is_narrow(rows: DataFrame, names: Sequence[str], kept_whole: Sequence[str]) -> bool:
     """Whether keys and ties are of bounded width; texts are, as keys, by their digest."""
-    fixed = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
     return all(
-        isinstance(column_type(rows, n), fixed)
+        isinstance(column_type(rows, n), FIXED_WIDTH)
         or (column_type(rows, n) == T.StringType() and n not in kept_whole)
         for n in names
     )
 
 
+def _first_columns(rows: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The columns of fixed width that the table begins with, keys left out: rows of a key that differ in them are ordered by them
+    as by all columns."""
+    own, first = {k.lower() for k in keys}, []
+    for fld in rows.schema.fields:
+        if fld.name.lower() in own:
+            continue
+        if not isinstance(fld.dataType, FIXED_WIDTH):
+            break
+        first.append(fld.name)
+    return first
+
+
 def _is_plain(dtype: T.DataType) -> bool:
     """Whether values of a type can be hashed and ordered."""
     return not any(t in dtype.simpleString() for t in ("map<", "variant"))

@@ -165,6 +165,25 @@ def test_ties_that_are_not_unique_lose_no_row(spark, at_most):
     assert sorted(tuple(r) for r in got.collect()) == sorted([("a", 5, 2), ("b", None, 4), ("c", 1, 5), ("c", 2, 6)], key=str)
 
 
+@pytest.mark.parametrize("schema", ["n int, k string, t string, m int", "k string, n int, m int, t string", "t string, n int, m int, k string", "n double, m int, t string, k string"])
+@pytest.mark.parametrize("at_most", [None, 50])
+def test_least_by_all_columns_whatever_their_order(spark, schema, at_most):
+    """First columns that tie, NULLs among them, copies, and a text before the numbers."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    values = [{"k": f"k{i % 7}", "n": None if i % 5 == 0 else i % 3, "m": i % 2, "t": f"t{i % 11}"} for i in range(120)]
+    rows = [tuple(float(v[c]) if c == "n" and "n double" in schema and v[c] is not None else v[c] for c in names) for v in values * 2]
+    df = spark.createDataFrame(rows, schema).repartition(5)
+    got = repeated_rows(df, ["k"], "extra", None, 10, at_most).collect()
+    assert Counter(map(tuple, got)) == brute(rows, names.index("k"), "extra")
+    both = repeated_rows(df, ["k", "n"], "extra", None, 10, at_most).collect()
+    groups = defaultdict(list)
+    for row in rows:
+        if row[names.index("n")] is not None:
+            groups[row[names.index("k")], row[names.index("n")]].append(row)
+    want = Counter(r for g in groups.values() for r in sorted(g, key=lambda r: tuple((v is not None, v) for v in r))[1:])
+    assert Counter(map(tuple, both)) == want
+
+
 def test_rows_with_maps_and_one_tie(spark):
     df = spark.sql("SELECT 1 AS k, 1 AS t, map('a', id) AS m FROM range(3)")
     assert repeated_rows(df, ["k"], "extra", ["t"]).count() == 2

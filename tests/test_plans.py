@@ -103,6 +103,16 @@ def test_repeated_rows_without_window(spark, sf, no_broadcast):
         assert "ReusedExchange" in text  # the counts are shuffled once
 
 
+def test_untied_repeated_rows_are_chosen_by_their_first_columns(spark, sf, no_broadcast):
+    """Whole rows are neither grouped nor ordered where the first columns tell a key's rows apart."""
+    text = final_plan(QUERIES["failed_rows_unique_untied"](spark, sf))
+    # n_chars is in whole rows only
+    assert "n_chars" in text
+    for line in text.split("\n"):
+        if "Aggregate" in line or "Exchange hashpartitioning" in line:
+            assert "n_chars" not in line
+
+
 def test_aqe_can_split_what_is_not_salted(spark, no_broadcast):
     """Both inputs of the join come straight from a shuffle, which is what AQE needs to split one."""
     settings = {
