@@ -22,8 +22,10 @@ ARCHIVE_BYTES = 256 << 20
 #: Repeated digests up to this number are broadcast: about 20 MB.
 BROADCAST_ROWS = 200_000
 CHUNK = 1 << 20
-#: A record whose head is longer is damaged.
-HEAD_BYTES = 1 << 20
+#: A record whose head is longer is damaged: a URL of over 300 MB, each byte escaped.
+HEAD_BYTES = 1 << 30
+#: A block whose HTTP head is longer is damaged.
+HTTP_BYTES = 1 << 20
 LEVEL = 6
 DATE = "2024-01-01T00:00:00Z"
 #: Fixed values of the format.
@@ -149,13 +151,16 @@ def _head(data: bytes) -> dict[str, str]:
 
 def read_record(pieces: Iterator[bytes], with_payload: bool) -> dict:
     """The record of one member: framed by Content-Length, digests verified. Holds the payload only if it is asked for."""
-    data = b""
-    while (end := data.find(b"\r\n\r\n")) < 0:
-        if len(data) > HEAD_BYTES:
+    read, end = bytearray(), -1
+    while end < 0:
+        if len(read) > HEAD_BYTES:
             raise Damaged("a record has no end of its head")
         if not (piece := next(pieces, b"")):
             raise Damaged("a record ends within its head")
-        data += piece
+        looked = max(0, len(read) - 3)  # the end may lie across two pieces
+        read += piece
+        end = read.find(b"\r\n\r\n", looked)
+    data = bytes(read)
     if not data.startswith(b"WARC/1."):
         raise Damaged("a member does not begin with a WARC version")
     head, data = _head(data[:end]), data[end + 4 :]
@@ -170,7 +175,7 @@ def read_record(pieces: Iterator[bytes], with_payload: bool) -> dict:
             http += take
             if (end := http.find(b"\r\n\r\n")) >= 0:
                 take, http, in_payload = http[end + 4 :], http[:end], True
-            elif len(http) > HEAD_BYTES:
+            elif len(http) > HTTP_BYTES:
                 raise Damaged("a block has no end of its HTTP head")
         if in_payload:
             payload.update(take)

@@ -5,6 +5,8 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from assayer.llm import language as G
 
 from .conftest import edge_rows
@@ -97,3 +99,74 @@ def test_edge_rows(edge, nothing, model):
     blank = G.fitted(nothing)
     assert blank.languages == [] and {tuple(r[2:]) for r in G.identified(edge, blank).collect()} == {("und", 0.0)}
     assert G.fitted(edge).languages  # learns from what there is
+
+
+def plain_softmax(x):
+    e = [math.exp(v - max(x)) for v in x]
+    return [v / sum(e) for v in e]
+
+
+def plain_features(text, idf, dims):
+    counts = brute_counts(text, dims)
+    values = {i: (1 + math.log(counts[i])) * idf[i] for i in range(dims) if counts[i]}
+    norm = math.sqrt(sum(v * v for v in values.values())) or 1.0
+    return {**{i: v / norm for i, v in values.items()}, dims: 1.0}
+
+
+def plain_ftrl(rows, classes, n_classes, s):
+    """Follow-the-regularised-leader, one weight at a time."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(c, i):
+        if abs(z[c, i]) <= s.l1:
+            return 0.0
+        return -(z[c, i] - math.copysign(s.l1, z[c, i])) / ((s.beta + math.sqrt(n[c, i])) / s.alpha + s.l2)
+
+    order = np.random.default_rng(s.seed)
+    for _ in range(s.epochs):
+        for row in order.permutation(len(rows)):
+            w = {(c, i): weight(c, i) for c in range(n_classes) for i in rows[row]}
+            p = plain_softmax([sum(w[c, i] * v for i, v in rows[row].items()) for c in range(n_classes)])
+            for c in range(n_classes):
+                for i, v in rows[row].items():
+                    g = (p[c] - (c == classes[row])) * v
+                    z[c, i] += g - (math.sqrt(n[c, i] + g * g) - math.sqrt(n[c, i])) / s.alpha * w[c, i]
+                    n[c, i] += g * g
+    return weight
+
+
+def test_labels_and_scores_by_brute_force(documents):
+    """Fitting and predicting by plain loops over the rows that may be learned from."""
+    s = G.Settings(dims=128, epochs=2)
+    docs = documents.filter("doc_id < 90")
+    place = (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(s.seed)), F.lit(1 << 30)) / float(1 << 30)).alias("place")
+    rows = docs.select("doc_id", "text", "lang", place).collect()
+    learned = sorted((r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1), key=lambda r: (r["place"], r["lang"], r["text"]))
+    languages = sorted({r["lang"] for r in learned})
+    found = [brute_counts(r["text"], s.dims) > 0 for r in learned]
+    idf = [math.log((1 + len(learned)) / (1 + sum(f[i] for f in found))) + 1 for i in range(s.dims)]
+    features = [plain_features(r["text"], idf, s.dims) for r in learned]
+    classes = [languages.index(r["lang"]) for r in learned]
+    train, back = ([i for i in range(len(learned)) if (i % 5 == 4) is held] for held in (False, True))
+    weight = plain_ftrl([features[i] for i in train], [classes[i] for i in train], len(languages), s)
+
+    def logits(values):
+        return [sum(weight(c, i) * v for i, v in values.items()) for c in range(len(languages))]
+
+    doubt = 1 / (len(back) + 2)
+
+    def loss(t):
+        total = 0.0
+        for i in back:
+            p = plain_softmax([x / t for x in logits(features[i])])
+            total -= sum((doubt / len(languages) + (1 - doubt) * (c == classes[i])) * math.log(p[c]) for c in range(len(languages)))
+        return total
+
+    model = G.fitted(docs, s)
+    assert model.languages == languages and np.allclose(model.idf, idf)
+    assert np.allclose(model.weights, [[weight(c, i) for i in range(s.dims + 1)] for c in range(len(languages))], atol=1e-5)
+    assert loss(model.temperature) <= min(loss(model.temperature * f) for f in (0.9, 0.99, 1.01, 1.1)) + 1e-9
+    got = {r["doc_id"]: r for r in G.identified(docs, model).collect()}
+    for r in rows:
+        p = plain_softmax([x / model.temperature for x in logits(plain_features(r["text"], idf, s.dims))])
+        assert got[r["doc_id"]]["lang_pred"] == languages[p.index(max(p))] and got[r["doc_id"]]["score"] == pytest.approx(max(p), abs=1e-4)

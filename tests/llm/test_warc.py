@@ -132,3 +132,10 @@ def test_members_in_small_pieces(monkeypatch):
             return data[self.at - n : self.at]
 
     assert [warc.read_record(m, True)["payload_bytes"] for m in warc._members(Stream())] == list(range(30))
+
+
+def test_urls_of_any_length(spark):
+    rows = [(1, "http://a/" + "x" * 3_500_000, BIG, None, None), (2, "http://b/" + " " * 400_000, BIG, None, None)]
+    back = {r["page_id"]: r for r in warc.round_trip(pages(spark, rows)).collect()}
+    assert back[1]["url"] == rows[0][1] and back[2]["url"] == "http://b/" + "%20" * 400_000
+    assert back[2]["refers_to"] == 1
