@@ -41,12 +41,13 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 
 @dataclass(frozen=True)
 class Lookup:
-    """A value set too long for an IN list: `values` has the columns `key` and `marker`."""
+    """A value set too long for an IN list: `values` has the columns `key` and `marker`. `small` if it is broadcast."""
 
     values: DataFrame
     key: str
     marker: str
     on: str
+    small: bool
 
 
 @dataclass(frozen=True)
@@ -239,6 +240,7 @@ def _lookup(batch: DataFrame, check: Check, texts: list[str], dtype: T.DataType)
     values = local_frame(batch.sparkSession, [(t,) for t in texts], "v string").select(
         F.col("v").cast(dtype).alias(key), F.lit(True).alias(marker)
     )
-    if sum(map(len, texts)) * 4 + 32 * len(texts) <= BROADCAST_BYTES:
+    small = sum(map(len, texts)) * 4 + 32 * len(texts) <= BROADCAST_BYTES
+    if small:
         values = F.broadcast(values)
-    return Lookup(values, key, marker, check.column)
+    return Lookup(values, key, marker, check.column, small)

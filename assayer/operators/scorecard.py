@@ -141,6 +141,15 @@ def _shaped(df: DataFrame, by: str | None, **values: str) -> DataFrame:
 
 def _row_scores(batch: DataFrame, checks: Sequence[Check], by: str | None) -> DataFrame:
     violations = [registry.violation(batch, c) for c in checks]
+    joined = [v.check for v in violations if v.lookup is not None and not v.lookup.small]
+    violations = [v for v in violations if v.lookup is None or v.lookup.small]
+    parts = [_value_scores(batch, c, by) for c in joined]
+    if violations:
+        parts.append(_one_pass_scores(batch, violations, by))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _one_pass_scores(batch: DataFrame, violations: Sequence[registry.Violation], by: str | None) -> DataFrame:
     counts, rows = [], []
     for i, v in enumerate(violations):
         scope, name = v.check.row_condition, quoted(v.check.column)
@@ -176,6 +185,31 @@ def _row_scores(batch: DataFrame, checks: Sequence[Check], by: str | None) -> Da
     )
 
 
+def _value_scores(batch: DataFrame, check: Check, by: str | None) -> DataFrame:
+    """Scores of a check whose value set is too large to broadcast: the column's values are counted first and only these meet the
+    set, each once, so no row is shuffled and no common value or NULL is a hot key."""
+    scope = F.expr(check.row_condition) if check.row_condition else F.lit(True)
+    counted = batch.groupBy(*_slice(batch, by), column(check.column).alias("value")).agg(F.count_if(scope).alias("n"))
+    outside = registry.violation(counted, Check(check.config_id, check.name, "value", check.params, check.text))
+    totals = (
+        registry.with_lookups(counted, [outside])
+        .groupBy(*(["slice"] if by else []))
+        .agg(
+            F.expr("coalesce(sum(n), 0L) AS scanned"),
+            F.expr("coalesce(sum(n) FILTER (WHERE value IS NOT NULL), 0L) AS present"),
+            F.coalesce(F.sum(F.when(outside.broken, F.col("n"))), F.lit(0).cast("bigint")).alias("failure"),
+        )
+    )
+    return _shaped(
+        totals.withColumn("mostly", F.lit(check.mostly)),
+        by,
+        config_id=f"{check.config_id}L",
+        expectation_status=f"({WITHIN_TOLERANCE})",
+        success="scanned - failure",
+        details="CAST(NULL AS string)",
+    )
+
+
 def _unique_scores(batch: DataFrame, check: Check, by: str | None) -> DataFrame:
     registry.repeated_row_options(batch, check)
     totals = (

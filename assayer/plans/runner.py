@@ -399,31 +399,24 @@ class Results:
         batch = free_names(tagged, [sinks.BATCH])[0]
         return f"{base}/failed/{unit.schema}.{unit.table}", {run_tag: self.run_id, batch: unit.name}
 
+    def _saved(self, base: str, folder: str, schema: str) -> DataFrame:
+        return sinks.read_run(self.spark, f"{base}/{folder}", schema, run_id=self.run_id)
+
     def saved_details(self, base: str) -> DataFrame:
         """The run's details as saved, with the unit they come from."""
-        partitions = f"run_id, {sinks.BATCH}"
-        saved = sinks.read_partitions(self.spark, f"{base}/details", DETAILS_SCHEMA, partitions)
-        return saved.filter(F.col("run_id") == self.run_id)
+        return self._saved(base, "details", DETAILS_SCHEMA)
 
     def saved_metrics(self, base: str) -> DataFrame:
-        partitions = f"run_id, {sinks.BATCH}"
-        saved = sinks.read_partitions(self.spark, f"{base}/metrics", METRICS_SCHEMA, partitions)
-        return saved.filter(F.col("run_id") == self.run_id)
+        return self._saved(base, "metrics", METRICS_SCHEMA)
 
     def saved_suite_metrics(self, base: str) -> DataFrame:
-        partitions = f"run_id, {sinks.BATCH}"
-        path = f"{base}/suite_metrics"
-        saved = sinks.read_partitions(self.spark, path, SUITE_METRICS_SCHEMA, partitions)
-        return saved.filter(F.col("run_id") == self.run_id)
+        return self._saved(base, "suite_metrics", SUITE_METRICS_SCHEMA)
 
     def saved_observed(self, base: str) -> DataFrame:
-        partitions = f"run_id, {sinks.BATCH}"
-        saved = sinks.read_partitions(self.spark, f"{base}/observed", OBSERVED_SCHEMA, partitions)
-        return saved.filter(F.col("run_id") == self.run_id)
+        return self._saved(base, "observed", OBSERVED_SCHEMA)
 
     def saved_checks(self, base: str) -> DataFrame:
-        saved = sinks.read_partitions(self.spark, f"{base}/checks", PLAN_SCHEMA, "run_id")
-        return saved.filter(F.col("run_id") == self.run_id)
+        return sinks.read_partition(self.spark, f"{base}/checks", PLAN_SCHEMA, run_id=self.run_id)
 
     def saved_failed(self, base: str, unit: Unit) -> DataFrame:
         path, names = self._failed_place(unit, base)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from urllib.parse import quote, unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +50,21 @@ def read_partition(
     return df.withColumns({name: F.lit(value) for name, value in values.items()})
 
 
+def read_run(spark: SparkSession, path: str, schema: T.StructType | str, **values: str) -> DataFrame:
+    """The batches of one run, read from the run's own folder: however many other runs there are, none is listed. A run that has
+    written no batch has no rows."""
+    fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    files = T.StructType([*[f for f in fields if f.name not in values], T.StructField(BATCH, T.StringType())])
+    try:
+        df = spark.read.schema(files).parquet(partition_path(path, **values))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        df = spark.createDataFrame([], files)
+    df = df.withColumns({name: F.lit(value) for name, value in values.items()})
+    return df.select(*[f.name for f in fields if f.name not in values], *values, BATCH)
+
+
 def write_ledger(
     ledger: DataFrame, base: str, snapshot: str, previous: DataFrame | None = None
 ) -> str:

@@ -145,6 +145,29 @@ def test_long_value_set(spark, monkeypatch, name):
     assert Counter(r["v"] for r in rows.collect()) == {0: 10, 4: 10, 5: 10}
 
 
+@pytest.mark.parametrize("by", [None, "g"])
+@pytest.mark.parametrize("condition", [None, "id % 2 = 0"])
+def test_value_sets_too_large_to_broadcast(spark, monkeypatch, by, condition):
+    """Scores as with an IN list; nine tenths of the rows hold one value, and NULLs are many."""
+    rows = [(i, "hot" if i % 10 else [None, "in 1", "out", "in 2"][i // 10 % 4], f"g{i % 3}") for i in range(900)] + [(1, "out", "odd ids only")]
+    df = spark.createDataFrame(rows, "id int, v string, g string").repartition(6)
+    params = {"value_set": ["hot", "in 1", "in 2", "in 3", None], "mostly": 0.97, **({"row_condition": condition} if condition else {})}
+    checks = [Check(1, IN_SET, "v", params), Check(2, NOT_NULL, "v")]
+    want = sorted(map(str, scorecard(df, checks, by).collect()))
+    monkeypatch.setattr(registry, "INLINE_VALUES", 2)
+    monkeypatch.setattr(registry, "BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = scorecard(df, checks, by)
+        assert sorted(map(str, got.collect())) == want
+        # the set meets counted values: below the join, on either side, there is an aggregate
+        text = scorecard(df, checks[:1], by)._jdf.queryExecution().optimizedPlan().toString()
+        join = text[text.index("Join LeftOuter") :]
+        assert "Aggregate" in join and "id#" not in join.split("Aggregate")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_long_texts_are_told_apart(spark):
     long = "x" * 500
     texts = [long, long, long + "y", "short", "short", "#" + "0" * 64, None, ""]

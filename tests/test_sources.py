@@ -168,6 +168,23 @@ def test_partitions_are_replaced(spark, tmp_path):
     assert sinks.read_partitions(spark, path, one.schema, "run").filter("run = '007'").isEmpty()
 
 
+def test_a_run_is_read_from_its_own_folder(spark, tmp_path):
+    """Folders of a thousand other runs are not looked into: what lies there is no Parquet."""
+    path, schema = tmp_path / "t", "id int, run_id string, name string"
+    for i in range(1_000):
+        other = path / f"run_id={i}" / "check_batch=x"
+        other.mkdir(parents=True)
+        (other / "part.parquet").write_bytes(b"none")
+    rows = spark.createDataFrame([(1, "r 1", "a")], schema)
+    for batch in ("a/b full", "007"):
+        sinks.write_partition(rows, str(path), run_id="r 1", check_batch=batch)
+    back = sinks.read_run(spark, str(path), schema, run_id="r 1")
+    assert back.columns == ["id", "name", "run_id", "check_batch"] and all("run_id=r%25201/" in f for f in back.inputFiles())
+    assert sorted(map(tuple, back.collect())) == [(1, "a", "r 1", "007"), (1, "a", "r 1", "a/b full")]
+    none = sinks.read_run(spark, str(path), schema, run_id="not there")
+    assert none.columns == back.columns and none.isEmpty()
+
+
 def test_ledger_snapshots(spark, tmp_path):
     base = str(tmp_path)
     sinks.write_ledger(spark.range(2), base, "r 1")
