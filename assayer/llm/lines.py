@@ -18,6 +18,8 @@ STRIP = b" \t\n\x0b\x0c\r"
 SHARD_KEYS = 100_000
 #: Arrays up to this size go to every task; larger ones stay apart and the lines come to them.
 BROADCAST_BYTES = 64 << 20
+#: Line hashes that probe a shard in one task, where lines come to the shards.
+GROUP_LINES = 500_000
 #: Bytes of a key's slot, and a bound of what the hash itself takes for it.
 SLOT_BYTES = 8 + 4 + 8 + 1
 _STEP = 0x9E3779B97F4A7C15
@@ -263,10 +265,10 @@ def _probe(shard_row, shards: int, high, low, doc, known, least: int) -> np.ndar
 def _probed_in_shards(docs: DataFrame, arrays: DataFrame, shards: int, least_chars: int, least_docs: int) -> DataFrame:
     """doc_id, drops (key hashes whose lines go): lines are dealt over pieces of the shards and probe the arrays there.
 
-    A shard's lines are salted over many tasks by doc_id, each with a copy of the arrays, so that a very common line is no
-    task of its own.
+    Each document's distinct hashes are kept first. The shard with most of them says over how many tasks the lines of a shard
+    are dealt, each with a copy of its arrays (by doc_id and hash, so that neither a very common line nor the rows without doc_id
+    are a task of their own): about GROUP_LINES come to one, whatever the corpus.
     """
-    salts = 16
 
     def hashed(batches):
         for batch in small_batches(batches):
@@ -289,15 +291,14 @@ def _probed_in_shards(docs: DataFrame, arrays: DataFrame, shards: int, least_cha
 
     high = F.conv(F.hex(F.substring("hash", 1, 8)), 16, -10).cast("bigint")
     lines = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(hashed, "doc_id bigint, hash binary")
-    lines = lines.select(
-        "doc_id",
-        "hash",
-        F.pmod(F.shiftright(high, 20), F.lit(shards)).cast("int").alias("shard"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"),
-    )
+    shard = F.pmod(F.shiftright(high, 20), F.lit(shards)).cast("int").alias("shard")
+    lines = kept(lines.distinct().select("doc_id", "hash", shard), "line-hashes")
+    most = lines.groupBy("shard").count().agg(F.max("count")).first()[0] or 0
+    salts = max(1, -(-most // GROUP_LINES))
+    lines = lines.withColumn("salt", F.pmod(F.xxhash64("doc_id", "hash"), F.lit(salts)).cast("int"))
     copies = arrays.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     hits = lines.groupBy("shard", "salt").cogroup(copies.groupBy("shard", "salt")).applyInPandas(probed, "doc_id bigint, hash binary")
-    return hits.distinct().groupBy("doc_id").agg(F.collect_list("hash").alias("drops"))
+    return hits.groupBy("doc_id").agg(F.collect_list("hash").alias("drops"))
 
 
 def digest(result: DataFrame) -> DataFrame:

@@ -58,6 +58,7 @@ def shared_lines():
 @pytest.mark.parametrize("broadcast_bytes", [L.BROADCAST_BYTES, 0])
 def test_shared_lines(spark, broadcast_bytes, monkeypatch):
     monkeypatch.setattr(L, "SHARD_KEYS", 1)  # several shards
+    monkeypatch.setattr(L, "GROUP_LINES", 2)  # each in several tasks
     df = spark.createDataFrame(shared_lines(), "doc_id bigint, text string").repartition(4)
     assert got(df, broadcast_bytes=broadcast_bytes) == brute(shared_lines())
 
